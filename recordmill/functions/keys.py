@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the key rule. The separator cannot occur in cleaned text, and
+# Fixed values of the key rule. The separator is a control character, and
 # the token keeps null apart from the empty text.
 KEY_SEPARATOR = "\u001f"
-NULL_TOKEN = "\u0000null"
+NULL_TOKEN = "\u001enull"
 
 
 def surrogate_key(columns: Sequence[Column | str]) -> Column:
