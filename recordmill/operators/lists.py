@@ -45,23 +45,30 @@ def text_list(
     alias: str,
     aggregates: Sequence[Column] = (),
     part_bytes: int = PART_BYTES,
+    at_most: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Group by ``keys``: the aggregates, and the ordered list of ``item``.
 
     Result columns: keys, ``list_part``, the aggregates (values of the whole
     group, repeated on every part) and ``alias``. Null items are left out; a
     group without items has a null list.
+
+    ``at_most`` names rows that are cheaper to measure and hold every item of
+    every group under some of the keys: (rows, item column). When even their
+    groups are within the bound, the lists are too.
     """
     keys = list(keys)
     item_cols = [item.alias("__item"), *[o.alias(f"__o{i}") for i, o in enumerate(order)]]
     named = df.select("*", *item_cols)
     size = F.coalesce(F.octet_length("__item") + F.lit(len(separator.encode())), F.lit(0))
 
-    measured = named.groupBy(*keys).agg(F.sum(size.cast("bigint")).alias("__bytes"))
-    large = measured.where(F.col("__bytes") > part_bytes)
-    found = large.agg(F.count("*").alias("n"), F.sum("__bytes").alias("bytes")).first()
     by = [*(f"__o{i}" for i in range(len(order))), "__item"]
     whole = _listagg(separator, by).alias(alias)
+    large = _large_groups(named, keys, size, part_bytes)
+    if at_most and not _count(_large_groups(*_bounding(at_most, keys, separator), part_bytes))["n"]:
+        found = {"n": 0}
+    else:
+        found = _count(large)
     if not found["n"]:
         return (
             named.groupBy(*keys)
@@ -87,6 +94,21 @@ def text_list(
     return small_lists.unionByName(large_lists)
 
 
+def _large_groups(rows: DataFrame, keys: Sequence[str], size: Column, part_bytes: int) -> DataFrame:
+    measured = rows.groupBy(*keys).agg(F.sum(size.cast("bigint")).alias("__bytes"))
+    return measured.where(F.col("__bytes") > part_bytes)
+
+
+def _count(large: DataFrame):
+    return large.agg(F.count("*").alias("n"), F.sum("__bytes").alias("bytes")).first()
+
+
+def _bounding(at_most: tuple[DataFrame, str], keys: Sequence[str], separator: str):
+    rows, item = at_most
+    size = F.coalesce(F.octet_length(item) + F.lit(len(separator.encode())), F.lit(0))
+    return rows, [k for k in keys if k in rows.columns], size
+
+
 def _names(aggregates: Sequence[Column], df: DataFrame) -> list[str]:
     return df.groupBy().agg(*aggregates).columns if aggregates else []
 

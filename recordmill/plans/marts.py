@@ -85,6 +85,7 @@ def pubblicazione(
         "; ",
         "titles",
         [F.count("*").alias("publication_count")],
+        at_most=(student_publications.select("matricola", "titolo"), "titolo"),
     )
     mart = grouped.join(_people(students, *PERSON, "ciclo"), "matricola").select(
         "matricola", *PERSON, "ciclo", "anno", "publication_count", PART, "titles"
@@ -126,6 +127,7 @@ def pubblicazione_tutori(publications: DataFrame, students: DataFrame, ordered:
         "; ",
         "titoli",
         [F.count("*").alias("n_pub")],
+        at_most=(publications.select(label.alias("autore"), "anno", "titolo"), "titolo"),
     ).select("autore", "anno", "n_pub", PART, "titoli")
     return _sorted(mart, ordered, F.desc("n_pub"), ["autore", "anno", PART])
 
@@ -158,6 +160,7 @@ def distribuzione_di_ore(
         ", ",
         "insegnamenti",
         [F.sum(F.col(h) * F.col("times")).cast("decimal(18,2)").alias(out) for out, h in HOURS.items()],
+        at_most=(enrolled, "cod_ins"),
     )
     zero = F.lit(0).cast("decimal(18,2)")
     mart = (

@@ -10,5 +10,24 @@ TABLES = (
 )
 
 
+# Row keys of the tables worth spreading.
+LARGE = {
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+    "orders": ("o_orderkey",),
+    "documents": ("doc_id",),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _spread(spark, df, LARGE[name]) if name in LARGE else df
+
+
+def _spread(spark: SparkSession, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Use all cores on a file that has fewer row groups than there are cores.
+
+    One row group is one task, and typing text is bound by the processor. A table
+    with enough splits, as any large one has, is left as it is.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
