@@ -18,7 +18,7 @@ from datetime import datetime
 
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,7 +50,7 @@ def _odd_quotes(line: Column) -> Column:
 
 
 def _clean_header(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(line, "^﻿", ""), r"\r\z", "")
+    return F.regexp_replace(line, r"^\x{FEFF}|\r\z", "")
 
 
 def _small_files(spark: SparkSession, paths: str | Sequence[str], spec: SourceSpec, limit: int) -> DataFrame:
@@ -170,8 +170,9 @@ def _escaped(path: str) -> str:
 
 def read_group(
     spark: SparkSession, spec: SourceSpec, paths: Sequence[str], header: str, multiline: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Files with one header line: (rows by column name, rows longer than the header)."""
+) -> tuple[DataFrame, DataFrame, Observation]:
+    """Files with one header line: rows by column name, rows longer than the header,
+    and the number of the latter, known once the former are written."""
     delimiter = spec.separator or delimiter_of(header)
     names = header_names(header, delimiter)
     if spec.separator is None and _swallowed(header, delimiter):
@@ -190,8 +191,16 @@ def read_group(
     again = F.from_csv(F.col(CORRUPT), F.lit(wider), {"sep": delimiter, "quote": '"', "escape": '"'})
     too_long = F.col(CORRUPT).isNotNull() & again.getField(f"c{len(names)}").isNotNull()
     flagged = rows.withColumn("__long", F.coalesce(too_long, F.lit(False)))
-    good = _named(flagged.where(~F.col("__long")), spec, names, positions)
-    return good, flagged.where("__long").select("source_file", F.col(CORRUPT).alias("raw_line"))
+    return _split_long(flagged, F.col(CORRUPT), spec, names, positions)
+
+
+def _split_long(flagged, raw, spec, names, positions):
+    seen = Observation()
+    watched = flagged.observe(seen, F.count_if("__long").alias("long"))
+    good = _named(watched.where(~F.col("__long")), spec, names, positions)
+    # Spark refuses a CSV query of the raw line alone, so a second column goes with it.
+    long_rows = flagged.where("__long").select("source_file", F.coalesce(raw, F.col(positions[0])).alias("raw_line"))
+    return good, long_rows, seen
 
 
 def _read_swallowed(spark, spec, paths, names, delimiter):
@@ -203,9 +212,8 @@ def _read_swallowed(spark, spec, paths, names, delimiter):
     )
     positions = [f"c{i}" for i in range(len(names))]
     split = rows.select("source_file", "__fields", *[F.get("__fields", F.lit(i)).alias(c) for i, c in enumerate(positions)])
-    long = F.size("__fields") > len(names)
-    raw = F.array_join("__fields", ";").alias("raw_line")
-    return _named(split.where(~long), spec, names, positions), split.where(long).select("source_file", raw)
+    flagged = split.withColumn("__long", F.size("__fields") > len(names))
+    return _split_long(flagged, F.array_join("__fields", ";"), spec, names, positions)
 
 
 def _named(rows: DataFrame, spec: SourceSpec, names: list[str], positions: list[str]) -> DataFrame:
@@ -279,10 +287,14 @@ def ingest(
     parts = []
     for number, ((header, multiline), group) in enumerate(sorted(groups.items())):
         try:
-            good, long_rows = read_group(spark, spec, group, header, multiline)
-            part = store.append("staging", spec.table, staged(good, spec, run_id, stamp), f"{run_id}-{spec.name}-{number}-{stamp:%H%M%S%f}")
+            good, long_rows, seen = read_group(spark, spec, group, header, multiline)
+            part = f"{run_id}-{spec.name}-{stamp:%H%M%S%f}-{number}"
+            store.write_part("staging", spec.table, staged(good, spec, run_id, stamp), part)
+            if seen.get["long"]:
+                _quarantine(store, spec, long_rows, run_id, stamp)
+            # Visible only now: a failure above leaves nothing of these files behind.
+            store.commit("staging", spec.table, "append", part)
             parts.append(part)
-            _quarantine(store, spec, long_rows, run_id, stamp)
             outcome.update({p: ("LOADED", None) for p in group})
         except Exception as error:  # noqa: BLE001 - one bad group must not stop the run
             outcome.update({p: ("FAILED", str(error)[:2000]) for p in group})
@@ -294,9 +306,7 @@ def ingest(
 
 
 def _quarantine(store: Store, spec: SourceSpec, rows: DataFrame, run_id: str, stamp: datetime) -> None:
-    """Keep rows that could not be read; nothing is written when there are none."""
-    if rows.isEmpty():
-        return
+    """Keep the rows that could not be read."""
     kept = rows.select(
         F.lit(run_id).alias("run_id"), "source_file", F.lit(stamp).cast("timestamp").alias("loaded_at"),
         "raw_line", F.array(F.lit("row longer than header")).alias("reasons"),
@@ -345,9 +355,11 @@ def ingest_all(
             with store.step(run_id, f"ingest.{spec.name}") as facts:
                 events = ingest(spark, spec, root, store, run_id, **options)
                 totals = events.agg(
-                    F.count("*").alias("files"), F.sum("rows_loaded").alias("rows"), F.count_if(F.col("status") == "FAILED").alias("bad")
+                    F.count("*").alias("files"),
+                    F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows"),
+                    F.count_if(F.col("status") == "FAILED").alias("bad"),
                 ).first()
-                facts.update(rows_in=totals.files, rows_out=totals.rows or 0)
+                facts.update(rows_in=totals.files, rows_out=totals.rows)
                 if totals.bad:
                     failed.append(f"{spec.name}: {totals.bad} files failed")
         except Exception as error:  # noqa: BLE001

@@ -66,7 +66,7 @@ class Store:
 
     # --- tables ---------------------------------------------------------------
 
-    def _commit(self, layer: str, table: str, kind: str, part: str) -> None:
+    def commit(self, layer: str, table: str, kind: str, part: str) -> None:
         self.append_log("commits", [(layer, table, kind, part, now())])
 
     def _parts(self, layer: str, table: str) -> list[str]:
@@ -79,10 +79,14 @@ class Store:
 
     def _write(self, layer: str, table: str, df: DataFrame, kind: str, part: str | None) -> str:
         part = part or uuid.uuid4().hex
-        df.write.mode("overwrite").parquet(f"{self.root}/{layer}/{table}/{part}")
-        self._commit(layer, table, kind, part)
+        self.write_part(layer, table, df, part)
+        self.commit(layer, table, kind, part)
         return part
 
+    def write_part(self, layer: str, table: str, df: DataFrame, part: str) -> None:
+        """Write a part without making it visible."""
+        df.write.mode("overwrite").parquet(f"{self.root}/{layer}/{table}/{part}")
+
     def append(self, layer: str, table: str, df: DataFrame, part: str | None = None) -> str:
         return self._write(layer, table, df, "append", part)
 
