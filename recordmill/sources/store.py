@@ -14,7 +14,6 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,10 +58,13 @@ class Store:
         rows.select(*columns).write.mode("append").parquet(self._log_path(name))
 
     def read_log(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOGS[name]).parquet(self._log_path(name))
-        except AnalysisException:
+        if not self._exists(self._log_path(name)):
             return self.spark.createDataFrame([], LOGS[name])
+        return self.spark.read.schema(LOGS[name]).parquet(self._log_path(name))
+
+    def _exists(self, path: str) -> bool:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
     # --- tables ---------------------------------------------------------------
 
