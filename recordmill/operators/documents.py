@@ -56,17 +56,26 @@ def document_lines(pages: Column) -> Column:
 
 def line_rows(documents: DataFrame) -> DataFrame:
     """(document_id, line_number, line), lines counted from 1."""
-    lines = documents.select("document_id", F.posexplode(document_lines(F.col("pages"))).alias("n", "line"))
+    lines = _exploded(documents.withColumn("__lines", document_lines(F.col("pages"))), "__lines", "line")
     return lines.select("document_id", (F.col("n") + 1).alias("line_number"), "line")
 
 
-def section(lines: Column, start: str = START_MARKER, ends: Sequence[str] = END_MARKERS) -> Column:
-    """Lines after the first start marker up to the next end marker or the end."""
-    begin = F.array_position(lines, start)
-    rest = F.when(begin > 0, F.slice(lines, begin.cast("int") + 1, F.size(lines)))
-    stop = F.array_position(F.transform(rest, lambda x: x.isin(*ends)), True)
-    cut = F.when(stop > 0, F.slice(rest, F.lit(1), stop.cast("int") - 1)).otherwise(rest)
-    return F.coalesce(cut, F.array().cast("array<string>"))
+def _exploded(documents: DataFrame, array: str, item: str) -> DataFrame:
+    """Items with their position ``n``.
+
+    The outer form keeps the planner from adding a "not empty" filter, which would be
+    pushed to the scan and make the array a second time there.
+    """
+    rows = documents.select("document_id", "source_file", F.posexplode_outer(array).alias("n", item))
+    return rows.where(F.col("n").isNotNull())
+
+
+def _first_of(lines: Column, values: Sequence[str]) -> Column:
+    return F.array_position(F.transform(lines, lambda x: x.isin(*values)), True).cast("int")
+
+
+def _up_to(lines: Column, stop: Column) -> Column:
+    return F.when(stop > 0, F.slice(lines, F.lit(1), stop - 1)).otherwise(lines)
 
 
 def section_rows(
@@ -133,14 +142,26 @@ def company_parts(line: Column) -> tuple[Column, Column]:
 
 
 def parsed(documents: DataFrame) -> DataFrame:
-    """Documents with their record array; a document with an ``error`` has none."""
-    found = records(section(document_lines(F.col("pages"))))
-    return documents.withColumn("records", F.when(F.col("error").isNull(), found))
+    """Documents with their record array; a document with an ``error`` has none.
+
+    The steps are separate columns: each array is made once and then read, where one
+    nested expression would make it again for every mention.
+    """
+    begin, rest, stop = F.col("__begin"), F.col("__rest"), F.col("__stop")
+    steps = (
+        documents.withColumn("__lines", F.when(F.col("error").isNull(), document_lines(F.col("pages"))))
+        .withColumn("__begin", F.array_position("__lines", START_MARKER).cast("int"))
+        .withColumn("__rest", F.when(begin > 0, F.slice("__lines", begin + 1, F.size("__lines"))))
+        .withColumn("__stop", _first_of(rest, END_MARKERS))
+        .withColumn("__section", F.coalesce(_up_to(rest, stop), F.array().cast("array<string>")))
+        .withColumn("records", F.when(F.col("error").isNull(), records(F.col("__section"))))
+    )
+    return steps.drop("__lines", "__begin", "__rest", "__stop", "__section")
 
 
 def role_rows(parsed_documents: DataFrame) -> DataFrame:
     """One row per record, counted from 1."""
-    rows = parsed_documents.select("document_id", "source_file", F.posexplode("records").alias("n", "r"))
+    rows = _exploded(parsed_documents, "records", "r")
     company, kind = company_parts(F.col("r.company_line"))
     return rows.select(
         "document_id", "source_file", (F.col("n") + 1).alias("role_index"), F.col("r.title").alias("title"), company.alias("company"),

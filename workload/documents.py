@@ -308,7 +308,9 @@ def _enriched(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, _scratch(spark))
     parsed = docs.parsed(_profiles(spark, d))
     waiting = docs.document_status(parsed).withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
-    en.enrich(store, waiting, docs.role_rows(parsed), TASK, en.predict_by_rules)
+    store.replace("staging", "doc_roles", docs.role_rows(parsed))
+    store.replace("etl", "documents", waiting)
+    en.enrich(store, store.read("etl", "documents"), store.read("staging", "doc_roles"), TASK, en.predict_by_rules)
     status = store.read("core", "entity_status")
     after = store.read("etl", "documents").select("document_id", "status")
     return after.join(status, "document_id", "left").select(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from recordmill.plans import core, marts, serving
+from recordmill.session import shared_dir
 from workload.oracle import METRICS, sql, whole
 from workload.staging import staging
 
@@ -34,6 +37,17 @@ MART_INPUTS = {
 }
 
 
+# Marts with text lists read their inputs more than once (sizes first, then lists).
+LISTS = ("ore_di_formazione", "pubblicazione", "pubblicazione_tutori", "distribuzione_di_ore")
+
+
+def snapshot(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The table as stored between two layers."""
+    path = f"{shared_dir(spark)}/layer-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def mart(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     if name == "stato_lavorativo":
         return marts.stato_lavorativo(
@@ -42,7 +56,10 @@ def mart(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
             staging(spark, sf_dir, "work_experience_raw"),
         )
     build, inputs = MART_INPUTS[name]
-    return build(*[core_table(spark, sf_dir, t) for t in inputs], **options)
+    tables = [core_table(spark, sf_dir, t) for t in inputs]
+    if name in LISTS:
+        tables = [snapshot(spark, t) for t in tables]
+    return build(*tables, **options)
 
 
 def _short(name: str) -> str:
@@ -86,7 +103,8 @@ for _name in [*MART_INPUTS, "stato_lavorativo"]:
 
 
 def _panel(name: str, mart_name: str, build, query: str) -> None:
-    QUERIES[f"panel_{name}"] = lambda spark, d: build(mart(spark, d, mart_name))
+    """A panel reads the stored mart."""
+    QUERIES[f"panel_{name}"] = lambda spark, d: build(snapshot(spark, mart(spark, d, mart_name)))
     ORACLE[f"panel_{name}"] = sql(query, f"mart_{_short(mart_name)}")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recordmill.operators import quality as dq
 from recordmill.plans import core
 from recordmill.plans.checks import core_checks
-from workload.layers import MOBILITY, core_table
+from workload.layers import MOBILITY, core_table, snapshot
 from workload.oracle import sql
 from workload.staging import staging
 from workload.tables import table
@@ -25,7 +25,7 @@ def _short(name: str) -> str:
 def _report(spark: SparkSession, d: str) -> DataFrame:
     checks = core_checks(THIS_YEAR)
     tables = {c.table for c in checks} | {c.parent for c in checks if c.parent}
-    return dq.run_checks({t: core_table(spark, d, t) for t in tables}, checks, "r1", STAMP).drop("created_at")
+    return dq.run_checks({t: snapshot(spark, core_table(spark, d, t)) for t in sorted(tables)}, checks, "r1", STAMP).drop("created_at")
 
 
 def _check_sql(c: dq.Check) -> str:
