@@ -89,9 +89,11 @@ def not_validated_yet(asked: DataFrame, calls: DataFrame, task: Task) -> DataFra
     return asked.join(done.select(*keys), keys, "left_anti")
 
 
-def call(asked: DataFrame, predict: Predict, max_retries: int = 2) -> DataFrame:
+def call(asked: DataFrame, predict: Predict, max_retries: int = 2, tasks: int | None = None) -> DataFrame:
     """Answers of ``predict``, called per Arrow batch inside the tasks.
 
+    Calls are slow and rows small, so the prompts are spread by number, not by size.
+
     A batch that keeps failing is asked one by one, so an error stays with its document.
     """
 
@@ -126,7 +128,9 @@ def call(asked: DataFrame, predict: Predict, max_retries: int = 2) -> DataFrame:
                 }
             )
 
-    return asked.select("document_id", "input_hash_sha256", "prompt").mapInPandas(ask, CALL)
+    tasks = tasks or asked.sparkSession.sparkContext.defaultParallelism
+    spread = asked.select("document_id", "input_hash_sha256", "prompt").repartition(tasks, "document_id", "input_hash_sha256")
+    return spread.mapInPandas(ask, CALL)
 
 
 def json_candidate(text: Column) -> Column:

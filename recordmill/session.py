@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Runtime settings only: they can be applied to a session that already exists.
@@ -22,6 +24,9 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    # Functions of this package that run inside tasks travel by value, so the package
+    # need not be installed on the executors.
+    cloudpickle.register_pickle_by_value(sys.modules["recordmill"])
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

@@ -344,6 +344,14 @@ def _events(spark, found, outcome, loaded, spec, run_id, stamp) -> DataFrame:
     )
 
 
+def _totals(events: DataFrame):
+    return events.agg(
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("status") == "FAILED").alias("bad"),
+    ).first()
+
+
 def ingest_all(
     spark: SparkSession, specs: Sequence[SourceSpec], root: str, store: Store, triggered_by: str = "manual", **options
 ) -> str:
@@ -353,15 +361,16 @@ def ingest_all(
     for spec in specs:
         try:
             with store.step(run_id, f"ingest.{spec.name}") as facts:
-                events = ingest(spark, spec, root, store, run_id, **options)
-                totals = events.agg(
-                    F.count("*").alias("files"),
-                    F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows"),
-                    F.count_if(F.col("status") == "FAILED").alias("bad"),
-                ).first()
-                facts.update(rows_in=totals.files, rows_out=totals.rows)
-                if totals.bad:
-                    failed.append(f"{spec.name}: {totals.bad} files failed")
+                files = rows = bad = 0
+                while True:
+                    totals = _totals(ingest(spark, spec, root, store, run_id, **options))
+                    files, rows, bad = files + totals.files, rows + totals.rows, bad + totals.bad
+                    # Failed files stay new, so a call that only failed would not end.
+                    if totals.files < options.get("files_per_call", FILES_PER_CALL) or totals.bad:
+                        break
+                facts.update(rows_in=files, rows_out=rows)
+                if bad:
+                    failed.append(f"{spec.name}: {bad} files failed")
         except Exception as error:  # noqa: BLE001
             failed.append(f"{spec.name}: {error}")
     store.finish_run(run_id, "FAILED" if failed else "SUCCESS", "; ".join(failed)[:2000] or None)
