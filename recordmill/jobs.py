@@ -12,7 +12,7 @@ from recordmill.operators.enrich import Predict, Task, enrich
 from recordmill.operators.quality import enforce, run_checks
 from recordmill.plans import checks, core, marts
 from recordmill.sources.ingest import ingest_all
-from recordmill.sources.pages import Extract, discover, page_texts
+from recordmill.sources.pages import Extract, discover, first_copies, page_texts
 from recordmill.sources.specs import SPECS, SourceSpec
 from recordmill.sources.store import Store, now
 
@@ -81,7 +81,7 @@ def parse_documents(spark: SparkSession, root: str, store: Store, extract: Extra
     run_id = store.start_run("document_lane")
     try:
         with store.step(run_id, "documents.parse") as facts:
-            pages = page_texts(discover(spark, root, pattern), extract)
+            pages = first_copies(page_texts(discover(spark, root, pattern), extract))
             store.replace("staging", "documents_in_work", docs.parsed(pages))
             work = store.read("staging", "documents_in_work")
             facts["rows_in"] = work.count()

@@ -15,11 +15,8 @@ DOCUMENT = "document_id string, source_path string, source_file string, pages ar
 
 
 def discover(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
-    """All matching files below ``root``, one row per distinct content.
-
-    The id is the hash of the content; of equal files the first path counts.
-    """
-    files = (
+    """All matching files below ``root``; the id is the hash of the content."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -31,7 +28,14 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFram
             "content",
         )
     )
-    return keep_first(files, ["document_id"], [F.col("source_path").asc()])
+
+
+def first_copies(documents: DataFrame) -> DataFrame:
+    """One row per distinct content: of equal files the first path counts.
+
+    Taken after the texts are read, so that texts are shuffled and not file contents.
+    """
+    return keep_first(documents, ["document_id"], [F.col("source_path").asc()])
 
 
 def page_texts(files: DataFrame, extract: Extract) -> DataFrame:
