@@ -37,32 +37,26 @@ def _sorted(df: DataFrame, ordered: bool, first: Column, ties: list[str]) -> Dat
 
 def ore_di_formazione(attivita_interne: DataFrame, students: DataFrame, ordered: bool = False) -> DataFrame:
     """Hard and soft training hours per student, cycle and year, with the course list."""
-    zero = F.lit(0).cast("decimal(10,2)")
-    rows = attivita_interne.where(F.col("punti") > 0).select(
-        "matricola",
-        "ciclo",
-        "anno",
-        "nome_insegnamento",
-        F.when(F.col("tipo_form") == "Hard", F.col("ore_riconosciute")).otherwise(zero).alias("hard"),
-        F.when(F.col("tipo_form") == "Soft", F.col("ore_riconosciute")).otherwise(zero).alias("soft"),
-    )
-    kind = F.when(F.col("hard") != 0, "Hard").when(F.col("soft") != 0, "Soft").otherwise("N/A")
-    amount = (
-        F.when(F.col("hard") != 0, F.col("hard").cast("string"))
-        .when(F.col("soft") != 0, F.col("soft").cast("string"))
-        .otherwise("0")
-    )
+    credited = attivita_interne.where(F.col("punti") > 0)
+    counts = F.col("tipo_form").isin("Hard", "Soft") & (F.col("ore_riconosciute") != 0)
+    kind = F.when(counts, F.col("tipo_form"))
+    amount = F.when(counts, F.col("ore_riconosciute").cast("string"))
     course = F.concat(
-        F.lit("TIPO: "), kind, F.lit(", CORSO: "), F.col("nome_insegnamento"), F.lit(", ORE: "), amount
-    )
+        F.lit("TIPO: "), F.coalesce(kind, F.lit("N/A")), F.lit(", CORSO: "), F.col("nome_insegnamento"),
+        F.lit(", ORE: "), F.coalesce(amount, F.lit("0")),
+    )
+
+    def total_of(form: str) -> Column:
+        return money(F.coalesce(F.sum(F.when(F.col("tipo_form") == form, F.col("ore_riconosciute"))), F.lit(0)))
+
     grouped = text_list(
-        rows,
+        credited,
         ["matricola", "ciclo", "anno"],
         course,
         [F.col("nome_insegnamento")],
         "\n\n",
         "corsi_ore",
-        [money(F.sum("hard")).alias("ore_hard"), money(F.sum("soft")).alias("ore_soft")],
+        [total_of("Hard").alias("ore_hard"), total_of("Soft").alias("ore_soft")],
     )
     mart = grouped.join(_people(students, *PERSON), "matricola", "left").select(
         "matricola", *PERSON, "ciclo", "anno", "ore_hard", "ore_soft", PART, "corsi_ore"

@@ -65,6 +65,8 @@ def _same(*names: str) -> dict[str, str]:
 _OF_STUDENT = {"matricola": STUDENT_IN_NAME, "ciclo": CYCLE_IN_FOLDER}
 _OF_COURSE = {"cod_ins": COURSE_IN_NAME, "anno": YEAR_IN_NAME}
 
+# Where the files of each source lie, their delimiter, and the column
+# that each of their headers becomes.
 SPECS = {
     s.name: s
     for s in (

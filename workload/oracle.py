@@ -287,79 +287,71 @@ CTES["core_course_teachers"] = (
 # --- marts ------------------------------------------------------------------
 
 CTES["mart_ore_di_formazione"] = (
-    """select a.matricola, s.cognome, s.nome, a.ciclo, a.anno, a.ore_hard, a.ore_soft, 0 as list_part, a.corsi_ore
-    from (select matricola, ciclo, anno, cast(sum(hard) as decimal(18,2)) as ore_hard,
-                 cast(sum(soft) as decimal(18,2)) as ore_soft,
-                 string_agg(item, chr(10) || chr(10) order by nome_insegnamento, item) as corsi_ore
-          from (select *, 'TIPO: ' || case when hard <> 0 then 'Hard' when soft <> 0 then 'Soft' else 'N/A' end
-                       || ', CORSO: ' || nome_insegnamento || ', ORE: '
-                       || case when hard <> 0 then cast(hard as varchar)
-                               when soft <> 0 then cast(soft as varchar) else '0' end as item
-                from (select *, case when tipo_form = 'Hard' then ore_riconosciute else 0 end as hard,
-                             case when tipo_form = 'Soft' then ore_riconosciute else 0 end as soft
-                      from core_attivita_interne where punti > 0))
-          group by 1, 2, 3) a
-    left join core_students s on a.matricola = s.matricola_dottorando""",
+    """select a.*, 0 as list_part, s.cognome, s.nome
+    from (select matricola, ciclo, anno,
+                 cast(coalesce(sum(ore_riconosciute) filter (tipo_form = 'Hard'), 0) as decimal(18,2)) as ore_hard,
+                 cast(coalesce(sum(ore_riconosciute) filter (tipo_form = 'Soft'), 0) as decimal(18,2)) as ore_soft,
+                 string_agg('TIPO: ' || coalesce(kind, 'N/A') || ', CORSO: ' || nome_insegnamento || ', ORE: '
+                            || if(kind is null, '0', ore_riconosciute::varchar), chr(10) || chr(10)
+                            order by nome_insegnamento, coalesce(kind, 'N/A'),
+                                     if(kind is null, '0', ore_riconosciute::varchar)) as corsi_ore
+          from (select *, if(ore_riconosciute <> 0 and tipo_form in ('Hard', 'Soft'), tipo_form, null) as kind
+                from core_attivita_interne where punti > 0)
+          group by all) a
+    left join (select matricola_dottorando as matricola, cognome, nome from core_students) s using (matricola)""",
     ["core_attivita_interne", "core_students"],
 )
 CTES["mart_pubblicazione"] = (
-    """select st.matricola_dottorando as matricola, st.cognome, st.nome, st.ciclo, pb.anno,
-              count(*) as publication_count, 0 as list_part, string_agg(sp.titolo, '; ' order by sp.titolo) as titles
-    from core_students st
-    left join core_student_publications sp on st.matricola_dottorando = sp.matricola
-    left join core_publications pb on sp.titolo = pb.titolo
-    where pb.titolo <> '' group by 1, 2, 3, 4, 5""",
+    """select matricola, cognome, nome, ciclo, anno, n as publication_count, 0 as list_part, titles
+    from (select matricola, anno, count(*) as n, string_agg(titolo, '; ' order by titolo) as titles
+          from core_publications join core_student_publications using (titolo) group by all)
+    join (select matricola_dottorando as matricola, cognome, nome, ciclo from core_students) using (matricola)""",
     ["core_students", "core_student_publications", "core_publications"],
 )
 CTES["mart_pubblicazione_dettaglio"] = (
-    """select s.matricola_dottorando as matricola, t.cognome, t.nome, t.ciclo, t.numero_journal as "Journal",
-              t.numero_conferenze as "Conferenze", t.numero_capitoli as "Capitoli", t.numero_poster as "Poster",
-              t.numero_abstract as "Abstract", t.numero_brevetti as "Brevetti"
-    from core_stat_pubb t left join core_students s on t.cognome = s.cognome and t.nome = s.nome""",
+    """select person.matricola, c.cognome, c.nome, c.ciclo, numero_journal as "Journal", numero_conferenze as "Conferenze",
+              numero_capitoli as "Capitoli", numero_poster as "Poster", numero_abstract as "Abstract",
+              numero_brevetti as "Brevetti"
+    from core_stat_pubb c
+    left join (select matricola_dottorando as matricola, cognome, nome from core_students) person using (cognome, nome)""",
     ["core_stat_pubb", "core_students"],
 )
-_first = "left(regexp_replace({}, '\\.', '', 'g'), 1)"
+_initial = "replace({}, '.', '')[1]"
 CTES["mart_pubblicazione_tutori"] = (
-    f"""select autore_cognome || ' ' || {_first.format("autore_nome")} || '.' as autore, anno, count(*) as n_pub,
+    f"""select autore_cognome || ' ' || {_initial.format("autore_nome")} || '.' as autore, anno, count(*) as n_pub,
                0 as list_part, string_agg(titolo, '; ' order by titolo) as titoli
-    from core_publications p
-    where not exists (select 1 from core_students s
-                      where trim(lower(s.cognome)) = trim(lower(p.autore_cognome))
-                        and {_first.format("trim(lower(s.nome))")} = {_first.format("trim(lower(p.autore_nome))")})
-    group by 1, 2""",
+    from (select *, trim(lower(autore_cognome)) as sn, {_initial.format("trim(lower(autore_nome))")} as gn
+          from core_publications) p
+    anti join (select trim(lower(cognome)) as sn, {_initial.format("trim(lower(nome))")} as gn from core_students) s
+           on p.sn = s.sn and p.gn = s.gn
+    group by all""",
     ["core_publications", "core_students"],
 )
 CTES["mart_distribuzione_di_ore"] = (
-    """select st.matricola_dottorando as matricola, st.nome, st.cognome, st.ciclo, sc.anno,
-              cast(coalesce(sum(cd.h_les), 0) as decimal(18,2)) as hour_les,
-              cast(coalesce(sum(cd.h_ex), 0) as decimal(18,2)) as hour_ex,
-              cast(coalesce(sum(cd.h_lab), 0) as decimal(18,2)) as hour_lab,
-              cast(coalesce(sum(cd.h_tut), 0) as decimal(18,2)) as hour_tut, 0 as list_part,
-              string_agg(distinct cd.cod_ins, ', ' order by cd.cod_ins) as insegnamenti
-    from core_students st
-    left join core_students_courses sc on st.matricola_dottorando = sc.matricola
-    left join core_course_details cd on sc.cod_ins = cd.cod_ins and sc.anno = cd.anno
-    group by 1, 2, 3, 4, 5""",
+    "select matricola, nome, cognome, ciclo, t.anno, "
+    + ", ".join(f"cast(coalesce({k}, 0) as decimal(18,2)) as hour_{k}" for k in ("les", "ex", "lab", "tut"))
+    + """, 0 as list_part, insegnamenti
+    from (select matricola_dottorando as matricola, nome, cognome, ciclo from core_students)
+    left join (select matricola, e.anno, sum(h_les) as les, sum(h_ex) as ex, sum(h_lab) as lab, sum(h_tut) as tut,
+                      string_agg(distinct d.cod_ins, ', ' order by d.cod_ins) as insegnamenti
+               from core_students_courses e
+               left join core_course_details d on d.cod_ins = e.cod_ins and d.anno = e.anno
+               where matricola is not null group by matricola, e.anno) t using (matricola)""",
     ["core_students", "core_students_courses", "core_course_details"],
 )
-_default = "coalesce(nullif(trim({0}), ''), 'No experience section in linkedin page') as {0}"
+_CLEAN_NAME = "array_to_string(list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> ''), ' ')"
+_OR_DEFAULT = "if(d.source_file is null, 'Unknown', coalesce(nullif(trim({0}), ''), 'No experience section in linkedin page'))"
 CTES["mart_stato_lavorativo"] = (
-    f"""select s.matricola_dottorando as matricola, s.nome, s.cognome, s.ciclo, f.is_current_phd,
-               case when f.person is null then 'Unknown' else f.current_employer end as employer,
-               case when f.person is null then 'Unknown' else f.current_title end as title,
-               case when f.person is null then 'Unknown' else f.since_month end as since,
-               f.evidence as linkedin_exact_phrasing
+    f"""with files as (select distinct document_id, source_file from stg_work_experience_raw),
+    newest as (select * from stg_phd_status join files using (document_id)
+               qualify row_number() over (partition by source_file
+                                          order by since_month desc nulls last, document_id) = 1)
+    select matricola_dottorando as matricola, nome, cognome, ciclo, is_current_phd,
+           {_OR_DEFAULT.format("current_employer")} as employer, {_OR_DEFAULT.format("current_title")} as title,
+           {_OR_DEFAULT.format("since_month")} as since, evidence as linkedin_exact_phrasing
     from core_students s
-    left join (select split_part(source_file, ' _', 1) as person, is_current_phd, evidence,
-                      {_default.format("current_employer")}, {_default.format("current_title")},
-                      {_default.format("since_month")}
-               from (select ps.*, w.source_file, row_number() over (
-                            partition by w.source_file
-                            order by ps.since_month desc nulls last, ps.document_id) as rn
-                     from stg_phd_status ps left join stg_work_experience_raw w on ps.document_id = w.document_id)
-               where rn = 1) f
-      on lower(regexp_replace(trim(s.nome || ' ' || s.cognome), '\\s+', ' ', 'g'))
-       = lower(regexp_replace(trim(f.person), '\\s+', ' ', 'g'))""",
+    left join newest d on {_CLEAN_NAME.format("s.nome || ' ' || s.cognome")}
+                        = {_CLEAN_NAME.format("string_split(d.source_file, ' _')[1]")}""",
     ["core_students", "stg_phd_status", "stg_work_experience_raw"],
 )
 CTES["mart_mobilita"] = (
