@@ -76,6 +76,18 @@ def check_core_layer(store: Store, run_id: str, this_year: int) -> DataFrame:
     return stored
 
 
+def check_control_tables(store: Store, run_id: str) -> DataFrame:
+    """Check the status values of the control tables and store the results."""
+    logs = ("file_manifest", "step_metrics", "validation_results", "llm_calls")
+    tables = {name: store.read_log(name) for name in logs}
+    tables |= {"runs": store.runs(), "documents": store.read("etl", "documents", DOCUMENTS)}
+    results = run_checks(tables, checks.CONTROL_CHECKS, run_id, f"{now():%Y-%m-%d %H:%M:%S}")
+    store.append_log("validation_results", results)
+    stored = store.read_log("validation_results").where(F.col("run_id") == run_id)
+    enforce(stored)
+    return stored
+
+
 def parse_documents(spark: SparkSession, root: str, store: Store, extract: Extract, pattern: str = "*.pdf") -> str:
     """Register document files, store their pages and role records, and set their status."""
     run_id = store.start_run("document_lane")

@@ -125,6 +125,8 @@ def test_every_job(spark, root, tmp_path):
     results = {(r.object_name, r.check_name): r.status for r in store.read_log("validation_results").collect()}
     assert len(results) == 59
     assert results[("students", "unique.matricola_dottorando")] == "PASS"
+    control = jobs.check_control_tables(store, "r2").collect()
+    assert len(control) == 7 and {r.status for r in control} == {"PASS"}
 
 
 def test_candidates_and_validation(spark):
