@@ -137,9 +137,13 @@ def manifest(store: Store, scope: str = "keys") -> DataFrame:
     )
 
 
-def new_files(files: DataFrame, store: Store, scope: str = "keys") -> DataFrame:
-    """Files to load: content not yet LOADED or SKIPPED, first path of equal content."""
-    done = manifest(store, scope).where(F.col("status").isin("LOADED", "SKIPPED")).select(*_identity(scope))
+def new_files(files: DataFrame, store: Store, scope: str = "keys", run_id: str | None = None) -> DataFrame:
+    """Files to load: content not yet LOADED or SKIPPED, first path of equal content.
+
+    A file that failed earlier in the run ``run_id`` waits for the next run.
+    """
+    settled = F.col("status").isin("LOADED", "SKIPPED") | F.col("run_id").eqNullSafe(F.lit(run_id))
+    done = manifest(store, scope).where(settled).select(*_identity(scope))
     return keep_first(files.join(done, _identity(scope), "left_anti"), _identity(scope), [F.col("file_path").asc()])
 
 
@@ -263,7 +267,7 @@ def ingest(
     """
     stamp = now()
     files = fingerprint(spark, spec, paths or f"{root}/{spec.glob}", whole_file_bytes)
-    todo = new_files(files, store, scope).orderBy("file_path").limit(files_per_call)
+    todo = new_files(files, store, scope, run_id).orderBy("file_path").limit(files_per_call)
     found = todo.select(
         "file_path", "file_name", "file_keys", "file_hash_sha256", "file_size_bytes", "header", "is_empty", "multiline"
     ).collect()
@@ -365,8 +369,7 @@ def ingest_all(
                 while True:
                     totals = _totals(ingest(spark, spec, root, store, run_id, **options))
                     files, rows, bad = files + totals.files, rows + totals.rows, bad + totals.bad
-                    # Failed files stay new, so a call that only failed would not end.
-                    if totals.files < options.get("files_per_call", FILES_PER_CALL) or totals.bad:
+                    if totals.files < options.get("files_per_call", FILES_PER_CALL):
                         break
                 facts.update(rows_in=files, rows_out=rows)
                 if bad:

@@ -169,3 +169,15 @@ def test_upsert_and_insert_absent(spark, tmp_path):
     store.insert_absent("core", "t", spark.createDataFrame([(3, "x"), (4, "z"), (4, "y")], "k int, v string"), "k", ["v"])
     assert rows(store.read("core", "t"), "k", "v") == [(1, "a"), (2, "c"), (3, "d"), (4, "y")]
     assert store.read("core", "none", "k int").count() == 0
+
+
+def test_calls_of_few_files_load_them_all(spark, tmp_path):
+    root = str(tmp_path)
+    write(f"{root}/a.csv", "y\n1\n")
+    write(f"{root}/b.csv", "x,y\n1,2\n")
+    write(f"{root}/c.csv", "x,y\n3,4\n")
+    spec = SourceSpec("any", "any", "*.csv", ",", {"x": "x", "y": "y"}, strict=True)
+    store = Store(spark, str(tmp_path / "store"))
+    ingest_all(spark, [spec], root, store, files_per_call=1)
+    assert rows(store.read("staging", "any"), "x", "y") == [("1", "2"), ("3", "4")]
+    assert sorted(r.status for r in store.read_log("file_manifest").collect()) == ["FAILED", "LOADED", "LOADED"]
