@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 
 from recordmill.llm import mixture, quality
 from recordmill.llm.common import read, small_batches, workspace
-from recordmill.llm.queries import labelled
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the line model keep."""
-    small_batches(spark)
-    model = quality.fit(labelled(spark, sf_dir, read(spark, sf_dir, "documents")))
-    kept = quality.judged(docs, model).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    model = quality.fit(read(small_batches(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return quality.filtered(docs, model).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,17 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sample(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` rows of ``docs`` whose doc_id is among the first ``n`` of ``keys`` in order of a hash.
+
+    Ids are picked before texts are touched; the picked ids are at most ``n`` rows, so they are broadcast.
+    Other columns of ``keys`` come along.
+    """
+    picked = keys.orderBy(F.xxhash64("doc_id"), *keys.columns).limit(n)
+    rows = docs.join(F.broadcast(picked), "doc_id")
+    return rows.orderBy(F.xxhash64("doc_id"), *rows.columns).limit(n)
+
+
 def words(text: str) -> Column:
     """SQL form of the words of a text column; null has none."""
     return F.expr(f"regexp_extract_all(coalesce({text}, ''), '[^\\\\x20\\\\x09-\\\\x0D]+', 0)")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.llm.common import sample
 from recordmill.llm.crf import gradients, viterbi
 from recordmill.llm.spans import Span, apart, digest, listed, ordered
 
@@ -224,14 +225,8 @@ def training_windows(texts: list[str], synthetic: int = 700) -> tuple[np.ndarray
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS, hidden: int = HIDDEN) -> Tagger:
     """Train on generated labelled texts and on the base spans of at most ``sample_rows`` rows of the table, taken
     in order of a hash of the id from those that hold a digit or ``@``."""
-    rows = (
-        docs.select("doc_id", "text")
-        .where(F.col("text").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-        .limit(sample_rows)
-        .select("text")
-        .collect()
-    )
+    held = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
+    rows = sample(held, held.select("doc_id"), sample_rows).collect()
     ids, tags = training_windows([r.text for r in rows])
     r = np.random.default_rng(3)
     k = len(KINDS) + 1

@@ -8,9 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from recordmill.llm.common import sample
 from recordmill.llm.crf import gradients, viterbi
 
 # Fixed values of the base rules.
@@ -103,20 +104,15 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.stack(columns, 1).astype(np.float64), in_words, sizes
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = 60) -> LineModel:
-    """Fit on at most ``sample_rows`` rows (doc_id, text, quality), taken in order of a hash of the id.
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = 60) -> LineModel:
+    """Fit on at most ``sample_rows`` labelled documents, taken in order of a hash of the id.
 
-    Lines of good documents count as content, lines of bad ones as boilerplate. Rows without a text or a
-    label are left out; with no row of either kind every line counts as content.
+    ``docs`` needs doc_id and text, ``labels`` doc_id and quality. Lines of good documents count as content, lines
+    of bad ones as boilerplate. Rows without a text or a label are left out; with labels of one kind only, or none,
+    every line counts as content.
     """
-    rows = (
-        labelled.where("text is not null and quality is not null")
-        .select("doc_id", "text", "quality")
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "quality")
-        .limit(sample_rows)
-        .select("text", "quality")
-        .collect()
-    )
+    known = labels.where("quality is not null").select("doc_id", "quality")
+    rows = sample(docs.where("text is not null").select("doc_id", "text"), known, sample_rows).collect()
     n_features = line_features([""])[0].shape[1]
     weights, trans, start = np.zeros((n_features, 2)), np.zeros((2, 2)), np.zeros(2)
     if len({r.quality for r in rows}) < 2:
@@ -205,3 +201,18 @@ def judged(docs: DataFrame, model: LineModel, min_content: float = MIN_CONTENT)
             )
 
     return docs.select("doc_id", "text").mapInPandas(judge, SCHEMA)
+
+
+def filtered(docs: DataFrame, model: LineModel, min_content: float = MIN_CONTENT) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` would keep, with all their columns; no shuffle."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            if texts:
+                base = np.array([base_rules(t) for t in texts], dtype=np.int64)
+                _, chars, content = content_share(texts, model)
+                failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
+                yield batch.filter(pa.array(~failed & (content / np.maximum(chars, 1) >= min_content)))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from recordmill.llm import mixture, pii, quality, secret_scan
+from recordmill.llm import mixture, pii, quality, secret_scan, sharding, tokens, warc
 from recordmill.llm.common import read, small_batches
 
 
-def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
-
-
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(small_batches(spark), sf_dir, "documents")
     return pii.detected(docs, pii.fit(docs))
@@ -25,15 +22,37 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(read(small_batches(spark), sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read(small_batches(spark), sf_dir, "pages")).drop("url")
+
+
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded(read(small_batches(spark), sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = sharding.resharded(read(spark, sf_dir, "documents"))
+    # a block holds few rows, and the rows before it in its shard are known
+    in_block = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        (F.col("before") + F.row_number().over(in_block) - 1).alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(small_batches(spark), sf_dir, "documents")
-    return quality.judged(docs, quality.fit(labelled(spark, sf_dir, docs)))
+    return quality.judged(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixture": op2_mixture,
     "op5_secrets": op5_secrets,
+    "op7_warc": op7_warc,
+    "op8_tokens": op8_tokens,
+    "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
