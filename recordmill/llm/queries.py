@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm import mixture, pii, quality, secret_scan, sharding, tokens, warc
+from recordmill.llm import decontaminate, mixture, ngram_join, pii, quality, secret_scan, sharding, tokens, warc
 from recordmill.llm.common import read, small_batches
 
 
@@ -18,10 +18,18 @@ def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed(read(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(read(small_batches(spark), sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(read(small_batches(spark), sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read(small_batches(spark), sf_dir, "pages")).drop("url")
 
@@ -49,7 +57,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixture": op2_mixture,
+    "op3_ngram_join": op3_ngram_join,
     "op5_secrets": op5_secrets,
+    "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
     "op8_tokens": op8_tokens,
     "op9_sharding": op9_sharding,
