@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.llm import mixture, quality
+from recordmill.llm import decontaminate, mixture, ngram_join, quality, tokens
 from recordmill.llm.common import read, small_batches, workspace
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,6 +19,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filtered(docs, model).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of linked documents the one with the smallest id."""
+    small_batches(spark)
+    classes = ngram_join.joined(docs)
+    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
+    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    # rows that agree in id and text are copies of each other
+    return stay.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.cleaned(docs, read(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     taken = mixture.mixed(docs).where("copies > 0").select("doc_id", "copies")
@@ -26,9 +41,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return each.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as id files, read back: doc_id, start, n_tokens, ids_crc32."""
+    small_batches(spark)
+    return tokens.encoded(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("mix", mix),
+    ("token_files", token_files),
 ]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm import decontaminate, mixture, ngram_join, pii, quality, secret_scan, sharding, tokens, warc
+from recordmill.llm import decontaminate, mixture, ngram_join, pii, quality, secret_scan, sharding, substring, tokens, warc
 from recordmill.llm.common import read, small_batches
 
 
@@ -22,6 +22,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(read(small_batches(spark), sf_dir, "documents"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(read(small_batches(spark), sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(read(small_batches(spark), sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixture": op2_mixture,
     "op3_ngram_join": op3_ngram_join,
+    "op4_substring": op4_substring,
     "op5_secrets": op5_secrets,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
