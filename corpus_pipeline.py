@@ -35,10 +35,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it."""
-    taken = mixture.mixed(docs).where("copies > 0").select("doc_id", "copies")
-    each = docs.select(*COLUMNS).join(taken, "doc_id")
-    return each.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    """Each document as often as the mixture takes it; rows of one id go by the one that is taken most often."""
+    taken = mixture.mixed(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
+    each = docs.select(*COLUMNS).join(taken, docs["doc_id"].eqNullSafe(taken["id"]))
+    return each.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

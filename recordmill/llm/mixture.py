@@ -77,6 +77,11 @@ def duals(cells: DataFrame, sources: DataFrame, folder: str, max_rate: float = M
     takes the Newton point if it lies inside, else the middle. A source whose target is its limit needs an infinite
     dual and is full from the start (``dual`` 50 times the scale is beyond the cap for every size).
     """
+
+    def exact(x: Column) -> Column:
+        # decimals add up to the same number in any order, so that reruns agree to the last bit
+        return F.sum(x.cast("decimal(38,6)")).cast("double")
+
     full = F.col("target") >= F.lit(max_rate) * F.col("source_size") * (1 - 1e-12)
     state = sources.withColumns(
         {"low": F.lit(-60.0), "high": F.lit(60.0), "dual": F.lit(0.0), "done": full | (F.col("source_size") == 0)}
@@ -92,8 +97,8 @@ def duals(cells: DataFrame, sources: DataFrame, folder: str, max_rate: float = M
             .select("skey", "n", F.col("size").cast("double").alias("size"), "mean_size", rate.alias("rate"))
             .groupBy("skey")
             .agg(
-                F.sum(F.col("n") * F.col("size") * F.col("rate")).alias("words"),
-                F.sum(
+                exact(F.col("n") * F.col("size") * F.col("rate")).alias("words"),
+                exact(
                     F.when(F.col("rate") < max_rate, F.col("n") * F.col("size") * F.col("size") * F.col("rate") / F.col("mean_size"))
                     .otherwise(0.0)
                 ).alias("slope"),

@@ -42,8 +42,8 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded(read(small_batches(spark), sf_dir, "documents"))
 
 
-def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = sharding.resharded(read(spark, sf_dir, "documents"))
+def sharded(docs: DataFrame) -> DataFrame:
+    rows, _ = sharding.resharded(docs)
     # a block holds few rows, and the rows before it in its shard are known
     in_block = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
     return rows.select(
@@ -53,6 +53,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(small_batches(spark), sf_dir, "documents")
     return quality.judged(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
