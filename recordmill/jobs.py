@@ -63,7 +63,7 @@ def build_mart_layer(store: Store) -> dict[str, DataFrame]:
     roles = store.read("staging", "doc_roles", ROLES)
     for name, mart in marts.build_marts(core_layer(store), status, roles).items():
         store.replace("marts", name, mart)
-    return {n: store.read("marts", n) for n in marts.build_marts(core_layer(store), status, roles)}
+    return {n: store.read("marts", n) for n in marts.MART_NAMES}
 
 
 def check_core_layer(store: Store, run_id: str, this_year: int) -> DataFrame:
@@ -115,7 +115,7 @@ def parse_documents(spark: SparkSession, root: str, store: Store, extract: Extra
             facts["rows_out"] = facts["rows_in"]
         store.finish_run(run_id, "SUCCESS")
     except Exception as error:
-        store.finish_run(run_id, "FAILED", str(error)[:2000])
+        store.finish_run(run_id, "FAILED", str(error))
         raise
     return run_id
 

@@ -23,9 +23,11 @@ def keep_latest(
     df: DataFrame,
     keys: Sequence[str],
     latest: Sequence[str] = ("loaded_at", "source_file"),
+    same: Sequence[str] = (),
 ) -> DataFrame:
     """The newest row per key. Ties go on to the remaining columns, ascending, so
-    two rows that still tie are equal and either is right."""
+    two rows that still tie are equal and either is right. Columns named in ``same``
+    agree in all rows of a key and need not be sorted by."""
     newest = [F.col(c).desc_nulls_last() for c in latest]
-    rest = [F.col(c).asc_nulls_first() for c in sorted(df.columns) if c not in {*keys, *latest}]
+    rest = [F.col(c).asc_nulls_first() for c in sorted(df.columns) if c not in {*keys, *latest, *same}]
     return keep_first(df, keys, newest + rest)

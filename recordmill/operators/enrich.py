@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.keys import text_hash
-from recordmill.operators.lists import PART, text_list
+from recordmill.operators.lists import text_list
 from recordmill.sources.store import Store, merged
 
 ROLES_TOKEN = "{{ROLES}}"
@@ -49,15 +49,20 @@ def attempts(calls: DataFrame, task: Task) -> DataFrame:
     return own.where(bad).groupBy("document_id").agg(F.count("*").alias("attempts"))
 
 
-def work_list(documents: DataFrame, calls: DataFrame, task: Task) -> DataFrame:
-    """Parsed documents, and failed ones with attempts left, newest first."""
+def due_documents(documents: DataFrame, calls: DataFrame, task: Task) -> DataFrame:
+    """Parsed documents, and failed ones with attempts left, in no order."""
     counted = documents.join(attempts(calls, task), "document_id", "left").withColumn(
         "attempts", F.coalesce("attempts", F.lit(0))
     )
     due = F.col("status").isin("PARSED", "NEEDS_REVIEW") | (
         (F.col("status") == "FAILED") & (F.col("attempts") < task.max_attempts)
     )
-    return counted.where(due).orderBy(F.col("ingested_at").desc_nulls_last(), "document_id")
+    return counted.where(due)
+
+
+def work_list(documents: DataFrame, calls: DataFrame, task: Task) -> DataFrame:
+    """The due documents, newest first."""
+    return due_documents(documents, calls, task).orderBy(F.col("ingested_at").desc_nulls_last(), "document_id")
 
 
 def _shown(column: str) -> Column:
@@ -65,14 +70,14 @@ def _shown(column: str) -> Column:
 
 
 def prompts(roles: DataFrame, task: Task) -> DataFrame:
-    """(document_id, list_part, prompt, input_hash_sha256); documents without roles have none."""
+    """(document_id, prompt, input_hash_sha256); documents without roles have none."""
     line = F.concat(
         F.lit("- "), _shown("title"), F.lit(" | "), _shown("company"), F.lit(" | "), _shown("dates"),
         F.lit(" | "), _shown("location"),
     )
     blocks = text_list(roles, ["document_id"], line, [F.col("role_index")], "\n", "roles_block")
     prompt = F.replace(F.lit(task.template), F.lit(ROLES_TOKEN), F.col("roles_block"))
-    return blocks.select("document_id", PART, prompt.alias("prompt")).withColumn(
+    return blocks.select("document_id", prompt.alias("prompt")).withColumn(
         "input_hash_sha256", text_hash("prompt")
     )
 
@@ -246,7 +251,7 @@ def enrich(store: Store, documents: DataFrame, roles: DataFrame, task: Task, pre
     run_id = store.start_run("enrich_status")
     try:
         calls = store.read_log("llm_calls")
-        due = work_list(documents, calls, task).where(F.col("attempts") < task.max_attempts)
+        due = due_documents(documents, calls, task).where(F.col("attempts") < task.max_attempts)
         asked = not_validated_yet(prompts(roles.join(due.select("document_id"), "document_id", "left_semi"), task), calls, task)
         with store.step(run_id, "enrich.calls") as facts:
             answers = validated(call(asked, predict, task.max_retries))
@@ -260,7 +265,7 @@ def enrich(store: Store, documents: DataFrame, roles: DataFrame, task: Task, pre
         store.replace("etl", "documents", status_after(documents, logged, enriched))
         store.finish_run(run_id, "SUCCESS")
     except Exception as error:
-        store.finish_run(run_id, "FAILED", str(error)[:2000])
+        store.finish_run(run_id, "FAILED", str(error))
         raise
     return run_id
 
@@ -286,11 +291,25 @@ def since_month(dates: Column) -> Column:
     return F.date_format(start, "yyyy-MM")
 
 
+# The months of the input's dates.
+MONTH_NUMBERS = {
+    "Jan": 1, "Feb": 2, "Mar": 3, "Apr": 4, "May": 5, "Jun": 6, "Jul": 7, "Aug": 8, "Sep": 9, "Oct": 10, "Nov": 11, "Dec": 12,
+}
+
+
+def _month_of(dates: str) -> str | None:
+    found = re.match(r"(\w{3})\s+(\d{4})", dates)
+    return f"{found[2]}-{MONTH_NUMBERS[found[1]]:02d}" if found and found[1] in MONTH_NUMBERS else None
+
+
 def predict_by_rules(texts: Sequence[str]) -> list[str]:
-    """The same rules as a ``predict`` function over rendered prompts."""
+    """The same rules as a ``predict`` function over rendered prompts.
+
+    A role is a line ``- title | company | dates | location``. It is split from the right, so a title may hold a bar.
+    """
     answers = []
     for text in texts:
-        lines = [ln[2:].split(" | ") for ln in text.split("\n") if ln.startswith("- ") and ln.count(" | ") >= 3]
+        lines = [ln[2:].rsplit(" | ", 3) for ln in text.split("\n") if ln.startswith("- ") and ln.count(" | ") >= 3]
         now = [p for p in lines if re.search(CURRENT, p[2])]
         role = now[0] if now else None
         answers.append(
@@ -299,7 +318,7 @@ def predict_by_rules(texts: Sequence[str]) -> list[str]:
                     "is_current_phd": bool(re.search(PHD_TITLE, role[0])) if role else None,
                     "current_employer": role[1] if role else None,
                     "current_title": role[0] if role else None,
-                    "since_month": None,
+                    "since_month": _month_of(role[2]) if role else None,
                     "evidence": " | ".join(role[:3]) if role else "Unknown",
                 }
             )

@@ -1,25 +1,18 @@
-"""Ordered text lists per group (string aggregation) that stay bounded per task.
+"""Ordered text lists per group (string aggregation), and their items as rows.
 
-A text list is one cell, so the cell must fit a task. Groups are measured first,
-with map-side combine. Groups within the bound take one ``listagg``. A larger
-group comes back as several rows, numbered by ``list_part``: its rows are spread
-over ranges of the sort order, offsets of the ranges give every item its place,
-and each part is aggregated on its own. Joining the parts of a group with the
-separator gives exactly the whole list; nothing is cut off.
+A list is one cell of one row, whatever its size. Where lists may outgrow a cell, take ``list_items``: the same
+items as rows, with their sort columns, without any grouping.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.session import ensure_checkpoint_dir
-
-PART = "list_part"
-PART_BYTES = 32 * 1024 * 1024
+# A text cell holds less than 2 GiB; a longer list fails and names its group.
+CELL_BYTES = (1 << 31) - (1 << 16)
 
 
 def _literal(text: str) -> str:
@@ -31,11 +24,6 @@ def _listagg(separator: str, order: Sequence[str], text: str = "__item") -> Colu
     return F.expr(f"listagg({text}, {_literal(separator)}) WITHIN GROUP (ORDER BY {by})")
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    tests = [left[k].eqNullSafe(right[f"__k_{k}"]) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def text_list(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,118 +32,26 @@ def text_list(
     separator: str,
     alias: str,
     aggregates: Sequence[Column] = (),
-    part_bytes: int = PART_BYTES,
-    at_most: tuple[DataFrame, str] | None = None,
+    cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
-    """Group by ``keys``: the aggregates, and the ordered list of ``item``.
-
-    Result columns: keys, ``list_part``, the aggregates (values of the whole
-    group, repeated on every part) and ``alias``. Null items are left out; a
-    group without items has a null list.
+    """Group by ``keys``: one row per group with the aggregates and the ordered list of ``item``.
 
-    ``at_most`` names rows that are cheaper to measure and hold every item of
-    every group under some of the keys: (rows, item column). When even their
-    groups are within the bound, the lists are too.
+    Null items are left out; a group without items has a null list. Equal places in ``order`` go by the item. A list
+    of more than ``cell_bytes`` fails and names its keys.
     """
     keys = list(keys)
-    item_cols = [item.alias("__item"), *[o.alias(f"__o{i}") for i, o in enumerate(order)]]
-    named = df.select("*", *item_cols)
-    size = F.coalesce(F.octet_length("__item") + F.lit(len(separator.encode())), F.lit(0))
-
+    named = df.select("*", item.alias("__item"), *[o.alias(f"__o{i}") for i, o in enumerate(order)])
     by = [*(f"__o{i}" for i in range(len(order))), "__item"]
-    whole = _listagg(separator, by).alias(alias)
-    large = _large_groups(named, keys, size, part_bytes)
-    if at_most and not _count(_large_groups(*_bounding(at_most, keys, separator), part_bytes))["n"]:
-        found = {"n": 0}
-    else:
-        found = _count(large)
-    if not found["n"]:
-        return (
-            named.groupBy(*keys)
-            .agg(*aggregates, whole)
-            .select(*keys, F.lit(0).alias(PART), *_names(aggregates, df), alias)
-        )
-
-    large_keys = large.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
-    is_large = _same_keys(named, large_keys, keys)
-    small_lists = (
-        named.join(large_keys, is_large, "left_anti")
-        .groupBy(*keys)
-        .agg(*aggregates, whole)
-        .select(*keys, F.lit(0).alias(PART), *_names(aggregates, df), alias)
-    )
-    large_rows = named.join(large_keys, is_large, "left_semi")
-    parts = _split_lists(large_rows, keys, by, size, found["bytes"], separator, alias, part_bytes)
-    totals = large_rows.groupBy(*keys).agg(*(aggregates or [F.count("*").alias("__n")]))
-    totals = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *_names(aggregates, df))
-    large_lists = parts.join(totals, _same_keys(parts, totals, keys)).select(
-        *keys, PART, *_names(aggregates, df), alias
-    )
-    return small_lists.unionByName(large_lists)
-
-
-def _large_groups(rows: DataFrame, keys: Sequence[str], size: Column, part_bytes: int) -> DataFrame:
-    measured = rows.groupBy(*keys).agg(F.sum(size.cast("bigint")).alias("__bytes"))
-    return measured.where(F.col("__bytes") > part_bytes)
-
-
-def _count(large: DataFrame):
-    return large.agg(F.count("*").alias("n"), F.sum("__bytes").alias("bytes")).first()
-
-
-def _bounding(at_most: tuple[DataFrame, str], keys: Sequence[str], separator: str):
-    rows, item = at_most
-    size = F.coalesce(F.octet_length(item) + F.lit(len(separator.encode())), F.lit(0))
-    return rows, [k for k in keys if k in rows.columns], size
-
-
-def _names(aggregates: Sequence[Column], df: DataFrame) -> list[str]:
-    return df.groupBy().agg(*aggregates).columns if aggregates else []
-
-
-def _split_lists(rows, keys, by, size, total_bytes, separator, alias, part_bytes):
-    ensure_checkpoint_dir(rows.sparkSession)
-    # Equal items are counted first and come back as blocks of at most one part, so
-    # that a range never fills up with copies of one item.
-    per_block = F.greatest(F.lit(1), F.floor(F.lit(part_bytes) / size)).cast("bigint")
-    blocks = (
-        rows.where(F.col("__item").isNotNull())
-        .groupBy(*keys, *by)
-        .agg(F.count("*").alias("__copies"))
-        .withColumn("__per_block", per_block)
-        .withColumn("__block", F.explode(F.expr("sequence(0, (__copies - 1) div __per_block)")))
-        .withColumn("__n", F.expr("least(__per_block, __copies - __block * __per_block)").cast("int"))
-        .withColumn(
-            "__text",
-            F.concat(F.expr(f"repeat(concat(__item, {_literal(separator)}), __n - 1)"), F.col("__item")),
-        )
-        .withColumn("__size", F.col("__n") * size)
-    )
-    by = [*by, "__block"]
-    order = [F.col(c).asc_nulls_last() for c in by]
-    ranges = max(2, -(-int(total_bytes) // part_bytes))
-    # The range number must not change between its two uses below, so it is made once
-    # and written to the shared folder.
-    placed = (
-        blocks.select(*keys, *by, "__text", "__size")
-        .repartitionByRange(ranges, *keys, *order)
-        .withColumn("__range", F.spark_partition_id())
-        .checkpoint()
-    )
-    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "__range")
-        .agg(F.sum("__size").alias("__range_size"))
-        .withColumn("__offset", F.coalesce(F.sum("__range_size").over(before), F.lit(0)))
-        .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__range").alias("__k___range"), "__offset")
-    )
-    within = (
-        Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    start = F.col("__offset") + F.coalesce(F.sum("__size").over(within), F.lit(0))
-    return (
-        placed.join(offsets, _same_keys(placed, offsets, [*keys, "__range"]))
-        .withColumn(PART, F.floor(start / part_bytes).cast("int"))
-        .groupBy(*keys, PART)
-        .agg(_listagg(separator, by, "__text").alias(alias))
-    )
+    size = F.sum((F.octet_length("__item") + F.lit(len(separator.encode()))).cast("bigint"))
+    grouped = named.groupBy(*keys).agg(*aggregates, _listagg(separator, by).alias(alias), size.alias("__bytes"))
+    measures = [c for c in grouped.columns if c not in {*keys, alias, "__bytes"}]
+    group = F.to_json(F.struct(*keys)) if keys else F.lit("all rows")
+    too_long = F.raise_error(F.concat(F.lit(f"list {alias} does not fit a cell: "), group)).cast("string")
+    text = F.when(F.coalesce("__bytes", F.lit(0)) <= cell_bytes, F.col(alias)).otherwise(too_long)
+    return grouped.select(*keys, *measures, text.alias(alias))
+
+
+def list_items(df: DataFrame, keys: Sequence[str], item: Column, order: Sequence[Column], alias: str) -> DataFrame:
+    """The items that ``text_list`` would join, one row each: keys, ``order_0``, ``order_1``, … and ``alias``."""
+    places = [o.alias(f"order_{i}") for i, o in enumerate(order)]
+    return df.select(*keys, *places, item.alias(alias)).where(F.col(alias).isNotNull())

@@ -101,10 +101,6 @@ def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _result(df.agg(*counts), checks)
 
 
-def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    return df.where(check.row_fails())
-
-
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; keys with a null are not compared."""
     known = reduce(lambda d, c: d.where(F.col(c).isNotNull()), columns, df)

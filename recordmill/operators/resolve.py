@@ -61,3 +61,20 @@ def match_by_name(left: DataFrame, left_key: Column, right: DataFrame, right_key
     keyed_right = right.withColumn("__name_right", right_key)
     joined = keyed_left.join(keyed_right, F.col("__name") == F.col("__name_right"), "left")
     return joined.drop("__name", "__name_right")
+
+
+def match_by_unique_name(left: DataFrame, left_key: Column, right: DataFrame, right_key: Column, count: str) -> DataFrame:
+    """Left join on a derived name key, only where one row on each side has the name.
+
+    ``count`` gets the number of rows on the right with the name (0: none). Both sides are counted by name with
+    map-side combine first, so a name on a third of the rows joins as one row.
+    """
+    fields = F.struct(*right.columns)
+    named = right.select(right_key.alias("__name"), fields.alias("__row")).where(F.col("__name").isNotNull())
+    single = named.groupBy("__name").agg(F.count("*").alias(count), F.any_value("__row").alias("__row"))
+    keyed = left.withColumn("__name", left_key)
+    carriers = keyed.where(F.col("__name").isNotNull()).groupBy("__name").agg(F.count("*").alias("__carriers"))
+    joined = keyed.join(single.join(carriers, "__name"), "__name", "left")
+    unique = (F.col(count) == 1) & (F.col("__carriers") == 1)
+    shown = [F.when(unique, F.col(f"__row.{c}")).alias(c) for c in right.columns]
+    return joined.select(*left.columns, *shown, F.coalesce(count, F.lit(0)).alias(count))

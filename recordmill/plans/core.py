@@ -250,7 +250,7 @@ def _by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _by_hash(df: DataFrame, hashed: Sequence[str]) -> DataFrame:
-    return keep_latest(df.withColumn("id", surrogate_key(hashed)), ["id"]).drop(*LINEAGE)
+    return keep_latest(df.withColumn("id", surrogate_key(hashed)), ["id"], same=hashed).drop(*LINEAGE)
 
 
 def students(staging: DataFrame) -> DataFrame:

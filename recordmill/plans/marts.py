@@ -1,9 +1,7 @@
 """Mart layer: denormalised tables for serving.
 
-Lists of text carry ``list_part`` (see ``operators.lists``): 0 for every ordinary
-group, 0, 1, 2… for a group too large for one cell. Measures are those of the
-whole group on every part. A stored table has no order, so the functions sort
-only when asked to (``ordered=True``).
+A mart has one row per key; lists of text are one cell each (see ``operators.lists``).
+A stored table has no order, so the functions sort only when asked to (``ordered=True``).
 """
 
 from __future__ import annotations
@@ -13,8 +11,8 @@ from pyspark.sql import functions as F
 
 from recordmill.functions import clean
 from recordmill.operators.dedup import keep_first
-from recordmill.operators.lists import PART, text_list
-from recordmill.operators.resolve import exclude_by_initial, match_by_name
+from recordmill.operators.lists import text_list
+from recordmill.operators.resolve import exclude_by_initial, match_by_name, match_by_unique_name
 
 # Fixed texts of the job-status mart.
 NO_SECTION = "No experience section in linkedin page"
@@ -59,10 +57,10 @@ def ore_di_formazione(attivita_interne: DataFrame, students: DataFrame, ordered:
         [total_of("Hard").alias("ore_hard"), total_of("Soft").alias("ore_soft")],
     )
     mart = grouped.join(_people(students, *PERSON), "matricola", "left").select(
-        "matricola", *PERSON, "ciclo", "anno", "ore_hard", "ore_soft", PART, "corsi_ore"
+        "matricola", *PERSON, "ciclo", "anno", "ore_hard", "ore_soft", "corsi_ore"
     )
     total = F.coalesce("ore_hard", F.lit(0)) + F.coalesce("ore_soft", F.lit(0))
-    return _sorted(mart, ordered, total.desc_nulls_last(), ["matricola", "ciclo", "anno", PART])
+    return _sorted(mart, ordered, total.desc_nulls_last(), ["matricola", "ciclo", "anno"])
 
 
 def pubblicazione(
@@ -79,12 +77,11 @@ def pubblicazione(
         "; ",
         "titles",
         [F.count("*").alias("publication_count")],
-        at_most=(student_publications.select("matricola", "titolo"), "titolo"),
     )
     mart = grouped.join(_people(students, *PERSON, "ciclo"), "matricola").select(
-        "matricola", *PERSON, "ciclo", "anno", "publication_count", PART, "titles"
+        "matricola", *PERSON, "ciclo", "anno", "publication_count", "titles"
     )
-    return _sorted(mart, ordered, F.desc("publication_count"), ["matricola", "anno", PART])
+    return _sorted(mart, ordered, F.desc("publication_count"), ["matricola", "anno"])
 
 
 # Column titles of the counters in the publication-kinds mart.
@@ -98,13 +95,23 @@ KINDS = {
 }
 
 
-def pubblicazione_dettaglio(stat_pubb: DataFrame, students: DataFrame, ordered: bool = False) -> DataFrame:
-    """Publication counters by kind; the id comes from the exact name, once per homonym."""
-    mart = (
-        stat_pubb.drop("matricola")
-        .join(_people(students, *PERSON), list(PERSON), "left")
-        .select("matricola", *PERSON, "ciclo", *[F.col(c).alias(t) for c, t in KINDS.items()])
-    )
+def pubblicazione_dettaglio(
+    stat_pubb: DataFrame, students: DataFrame, ordered: bool = False, unique: bool = False
+) -> DataFrame:
+    """Publication counters by kind; the id comes from the exact name, once per homonym.
+
+    With ``unique`` a row keeps its grain: the id is given only where one student has the name, and ``students`` is
+    the number of those who have it. Homonyms on both sides then never multiply.
+    """
+    shown = [F.col(c).alias(t) for c, t in KINDS.items()]
+    people = _people(students, *PERSON)
+    if unique:
+        people = people.groupBy(*PERSON).agg(F.count("*").alias("students"), F.min("matricola").alias("__id"))
+        found = stat_pubb.drop("matricola").join(people, list(PERSON), "left")
+        one = F.when(F.col("students") == 1, F.col("__id")).alias("matricola")
+        mart = found.select(one, *PERSON, "ciclo", *shown, F.coalesce("students", F.lit(0)).alias("students"))
+    else:
+        mart = stat_pubb.drop("matricola").join(people, list(PERSON), "left").select("matricola", *PERSON, "ciclo", *shown)
     total = sum((F.coalesce(F.col(t), F.lit(0)).cast("bigint") for t in KINDS.values()), F.lit(0))
     return _sorted(mart, ordered, total.desc(), ["cognome", "nome", "ciclo", "matricola"])
 
@@ -121,9 +128,8 @@ def pubblicazione_tutori(publications: DataFrame, students: DataFrame, ordered:
         "; ",
         "titoli",
         [F.count("*").alias("n_pub")],
-        at_most=(publications.select(label.alias("autore"), "anno", "titolo"), "titolo"),
-    ).select("autore", "anno", "n_pub", PART, "titoli")
-    return _sorted(mart, ordered, F.desc("n_pub"), ["autore", "anno", PART])
+    )
+    return _sorted(mart, ordered, F.desc("n_pub"), ["autore", "anno"])
 
 
 HOURS = {"hour_les": "h_les", "hour_ex": "h_ex", "hour_lab": "h_lab", "hour_tut": "h_tut"}
@@ -154,7 +160,6 @@ def distribuzione_di_ore(
         ", ",
         "insegnamenti",
         [F.sum(F.col(h) * F.col("times")).cast("decimal(18,2)").alias(out) for out, h in HOURS.items()],
-        at_most=(enrolled, "cod_ins"),
     )
     zero = F.lit(0).cast("decimal(18,2)")
     mart = (
@@ -167,12 +172,11 @@ def distribuzione_di_ore(
             "ciclo",
             "anno",
             *[F.coalesce(F.col(h), zero).alias(h) for h in HOURS],
-            F.coalesce(PART, F.lit(0)).alias(PART),
             "insegnamenti",
         )
     )
     total = sum((F.col(h) for h in list(HOURS)[1:]), F.col("hour_les"))
-    return _sorted(mart, ordered, total.desc(), ["matricola", "anno", PART])
+    return _sorted(mart, ordered, total.desc(), ["matricola", "anno"])
 
 
 def stato_lavorativo(
@@ -181,9 +185,13 @@ def stato_lavorativo(
     roles: DataFrame,
     no_section: str = NO_SECTION,
     unknown: str = UNKNOWN,
+    unique: bool = False,
 ) -> DataFrame:
     """Latest job status per student, found by the name in the document's file name.
 
+    With ``unique`` a status is given only where one student and one document have the name, and ``documents`` is the
+    number of documents with it; otherwise homonyms meet as often as they can.
+
     The newest known month wins. Documents without role records have no file name
     and can match nobody, so they are left out before the window.
     """
@@ -203,12 +211,11 @@ def stato_lavorativo(
         "evidence",
     )
     people = _people(students, "nome", "cognome", "ciclo")
-    joined = match_by_name(
-        people,
-        clean.full_name_key(F.concat(F.col("nome"), F.lit(" "), F.col("cognome"))),
-        filled,
-        clean.full_name_key("nome_cognome"),
-    )
+    names = (
+        people, clean.full_name_key(F.concat(F.col("nome"), F.lit(" "), F.col("cognome"))),
+        filled, clean.full_name_key("nome_cognome"),
+    )
+    joined = match_by_unique_name(*names, "documents") if unique else match_by_name(*names)
 
     def known(column: str) -> Column:
         return F.when(F.col("nome_cognome").isNull(), F.lit(unknown)).otherwise(F.col(column))
@@ -223,6 +230,7 @@ def stato_lavorativo(
         known("current_title").alias("title"),
         known("since_month").alias("since"),
         F.col("evidence").alias("linkedin_exact_phrasing"),
+        *(["documents"] if unique else []),
     )
 
 
@@ -237,6 +245,12 @@ def iscritti_superati(filtered_iu_stats: DataFrame) -> DataFrame:
     return filtered_iu_stats
 
 
+MART_NAMES = (
+    "ore_di_formazione", "pubblicazione", "pubblicazione_dettaglio", "pubblicazione_tutori", "distribuzione_di_ore",
+    "stato_lavorativo", "mobilita_internazionale", "iscritti_superati",
+)
+
+
 def build_marts(core: dict[str, DataFrame], status: DataFrame, roles: DataFrame) -> dict[str, DataFrame]:
     """All marts, given the core tables, the enriched status and the role records."""
     return {

@@ -12,14 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.clean import text_of_all
-from recordmill.operators.lists import PART, text_list
+from recordmill.operators.lists import text_list
 from recordmill.operators.reshape import years_to_rows
 
 MINIMUM_DAYS = (0, 30, 60, 90, 120, 150, 180)
 
 
-def _equals(column: str, value: int) -> Column:
-    return F.col(column).try_cast("int") == F.lit(value)
+def _equals(df: DataFrame, column: str, value: int) -> Column:
+    """The value in the column's own type, so that the test reaches the scan and prunes partitions."""
+    return F.col(column) == F.lit(value).cast(df.schema[column].dataType)
 
 
 def _in(df: DataFrame, column: str, values: Sequence) -> Column:
@@ -27,38 +28,33 @@ def _in(df: DataFrame, column: str, values: Sequence) -> Column:
     return F.col(column).isin([F.lit(v).cast(kind) for v in values])
 
 
-def _once(column: str) -> Column:
-    """The sum of a group-level measure that is repeated on every list part."""
-    return F.sum(F.when(F.col(PART) == 0, F.col(column)))
-
-
 def _hours(mart: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     grouped = text_list(
         mart,
         keys,
         F.col("corsi_ore"),
-        [F.col(c) for c in (*order, PART)],
+        [F.col(c) for c in order],
         "\n\n",
         "corsi_ore",
-        [_once(c).cast("decimal(18,2)").alias(c) for c in ("ore_hard", "ore_soft")],
+        [F.sum(c).cast("decimal(18,2)").alias(c) for c in ("ore_hard", "ore_soft")],
     )
     total = F.coalesce("ore_hard", F.lit(0)) + F.coalesce("ore_soft", F.lit(0))
-    return grouped.orderBy(total.desc(), *keys, PART)
+    return grouped.orderBy(total.desc(), *keys)
 
 
 def training_hours_by_cycle(ore_di_formazione: DataFrame, ciclo: int) -> DataFrame:
-    chosen = ore_di_formazione.where(_equals("ciclo", ciclo))
+    chosen = ore_di_formazione.where(_equals(ore_di_formazione, "ciclo", ciclo))
     return _hours(chosen, ["matricola", "cognome", "nome", "ciclo"], ["anno"])
 
 
 def training_hours_by_cycle_and_year(ore_di_formazione: DataFrame, ciclo: int, anno: int) -> DataFrame:
-    return ore_di_formazione.where(_equals("ciclo", ciclo) & _equals("anno", anno)).withColumn(
+    return ore_di_formazione.where(_equals(ore_di_formazione, "ciclo", ciclo) & _equals(ore_di_formazione, "anno", anno)).withColumn(
         "anno", F.col("anno").cast("string")
     )
 
 
 def training_hours_by_year(ore_di_formazione: DataFrame, anno: int) -> DataFrame:
-    chosen = ore_di_formazione.where(_equals("anno", anno)).withColumn("anno", F.col("anno").cast("string"))
+    chosen = ore_di_formazione.where(_equals(ore_di_formazione, "anno", anno)).withColumn("anno", F.col("anno").cast("string"))
     return _hours(chosen, ["matricola", "cognome", "nome", "anno"], ["ciclo"])
 
 
@@ -67,34 +63,34 @@ def _publications(mart: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         mart,
         keys,
         F.col("titles"),
-        [F.col(c) for c in (*order, PART)],
+        [F.col(c) for c in order],
         "; ",
         "Titles",
-        [_once("publication_count").alias("Publication Count")],
+        [F.sum("publication_count").alias("Publication Count")],
     )
-    return grouped.orderBy(F.desc("Publication Count"), *keys, PART)
+    return grouped.orderBy(F.desc("Publication Count"), *keys)
 
 
 def publications_by_year(pubblicazione: DataFrame, anno: int) -> DataFrame:
-    chosen = pubblicazione.where(_equals("anno", anno)).withColumn("anno", F.col("anno").cast("string"))
+    chosen = pubblicazione.where(_equals(pubblicazione, "anno", anno)).withColumn("anno", F.col("anno").cast("string"))
     return _publications(chosen, ["matricola", "cognome", "nome", "anno"], ["ciclo"])
 
 
 def publications_by_cycle(pubblicazione: DataFrame, ciclo: int) -> DataFrame:
-    chosen = pubblicazione.where(_equals("ciclo", ciclo))
+    chosen = pubblicazione.where(_equals(pubblicazione, "ciclo", ciclo))
     return _publications(chosen, ["matricola", "cognome", "nome", "ciclo"], ["anno"])
 
 
 def publication_kinds_by_cycle(pubblicazione_dettaglio: DataFrame, ciclo: int) -> DataFrame:
-    return pubblicazione_dettaglio.where(_equals("ciclo", ciclo))
+    return pubblicazione_dettaglio.where(_equals(pubblicazione_dettaglio, "ciclo", ciclo))
 
 
 def publications_by_cycle_and_year(pubblicazione: DataFrame, ciclo: int, anno: int) -> DataFrame:
-    return pubblicazione.where(_equals("ciclo", ciclo) & _equals("anno", anno))
+    return pubblicazione.where(_equals(pubblicazione, "ciclo", ciclo) & _equals(pubblicazione, "anno", anno))
 
 
 def supervisor_publications_by_year(pubblicazione_tutori: DataFrame, anno: int) -> DataFrame:
-    return pubblicazione_tutori.where(_equals("anno", anno))
+    return pubblicazione_tutori.where(_equals(pubblicazione_tutori, "anno", anno))
 
 
 def job_status_by_cycles(stato_lavorativo: DataFrame, cicli: Sequence[str]) -> DataFrame:
@@ -110,7 +106,6 @@ def hours_by_kind(distribuzione_di_ore: DataFrame, cicli: Sequence[str], anno: i
 def _ranking(distribuzione_di_ore: DataFrame, cicli: Sequence[str], anno: int, hours: str) -> DataFrame:
     return (
         hours_by_kind(distribuzione_di_ore, cicli, anno)
-        .where(F.col(PART) == 0)
         .select("matricola", "nome", "cognome", "ciclo", "anno", hours)
         .orderBy(F.desc(hours), "matricola")
     )
@@ -172,8 +167,8 @@ def _duration_by_country(chosen: DataFrame) -> DataFrame:
         [F.avg("durata_giorni").alias("durata"), F.count("*").cast("string").alias("studenti")],
     )
     return grouped.select(
-        "paese", F.col("durata").alias("durata_giorni"), "studenti", PART, "dettaglio"
-    ).orderBy(F.col("durata_giorni").desc_nulls_last(), "paese", PART)
+        "paese", F.col("durata").alias("durata_giorni"), "studenti", "dettaglio"
+    ).orderBy(F.col("durata_giorni").desc_nulls_last(), "paese")
 
 
 def duration_by_country_for_cycles(mobilita: DataFrame, cicli: Sequence[str], minimum_days: int) -> DataFrame:

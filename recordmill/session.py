@@ -61,9 +61,3 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="recordmill-")
     spark.sparkContext.setCheckpointDir(made)
     return made
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    where = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(where)

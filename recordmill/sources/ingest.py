@@ -1,11 +1,12 @@
 """Idempotent ingest of delimited files into staging.
 
-1. Fingerprint: hash, size, header line and empty-marker flag of every file, computed
-   by the executors.
-2. Skip files whose content is already loaded (anti join with the manifest).
-3. Read the rest, one read per header line: Spark maps CSV columns by position, so
+1. List the files; leave out those that are settled with this path, size and time.
+2. Fingerprint the rest by their lines, in splits: hash, header line, empty-marker flag.
+   Skip files whose content is already loaded (anti join with the manifest).
+3. Read what is left, one read per header line: Spark maps CSV columns by position, so
    only files with the same header may share a read.
-4. Map headers to columns by name, stamp lineage, append, and log one event per file.
+4. Map headers to columns by name, stamp lineage, write, and log one event per file. The
+   events make the written rows visible, so rows and manifest cannot disagree.
 """
 
 from __future__ import annotations
@@ -16,9 +17,8 @@ import unicodedata
 from collections.abc import Sequence
 from datetime import datetime
 
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,8 @@ from recordmill.operators.reshape import drop_marker, explode_list
 from recordmill.sources.specs import SourceSpec
 from recordmill.sources.store import Store, now
 
-# Larger files are hashed in splits, line by line, instead of as one value.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-# Files taken by one call; the next call goes on with the rest.
-FILES_PER_CALL = 50_000
+# Files whose names the driver holds at a time; all files are taken, so many by so many.
+FILES_PER_READ = 50_000
 DELIMITERS = (";", "\t", ",")
 CORRUPT = "__raw_line"
 
@@ -53,60 +51,76 @@ def _clean_header(line: Column) -> Column:
     return F.regexp_replace(line, r"^\x{FEFF}|\r\z", "")
 
 
-def _small_files(spark: SparkSession, paths: str | Sequence[str], spec: SourceSpec, limit: int) -> DataFrame:
-    files = spark.read.format("binaryFile").load(paths).where(F.col("length") <= limit)
-    content = F.col("content").cast("string")
-    lines = F.split(content, "\n")
-    return files.select(
+LISTING = "file_path string, file_size_bytes bigint, modified_at timestamp"
+FACTS = "file_path string, file_size_bytes bigint, file_hash_sha256 string, header string, is_empty boolean, multiline boolean"
+
+
+def listing(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str]) -> DataFrame:
+    """Path, size and time of the matching files; no content is read."""
+    try:
+        files = spark.read.format("binaryFile").load(paths)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], LISTING)
+    found = files.select(
         _without_scheme(F.col("path")).alias("file_path"),
         F.col("length").alias("file_size_bytes"),
-        F.sha2("content", 256).alias("file_hash_sha256"),
-        _clean_header(lines[0]).alias("header"),
-        F.contains(F.lower(content), F.lit(spec.empty_marker.lower())).alias("is_empty"),
-        F.exists(lines, _odd_quotes).alias("multiline"),
+        F.col("modificationTime").alias("modified_at"),
     )
+    return found.where(~F.col("file_path").rlike(spec.exclude)) if spec.exclude else found
+
 
+def fingerprint(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str]) -> DataFrame:
+    """One row per matching file, whatever its size.
 
-def _large_files(spark: SparkSession, paths: str | Sequence[str], spec: SourceSpec, limit: int) -> DataFrame:
-    """The same facts from a splittable read. The hash is one of the multiset of lines."""
-    lines = spark.read.text(paths).where(F.col("_metadata.file_size") > limit)
+    The hash is the SHA-256 of the file's size, its number of lines and four sums over its lines: two hashes of the
+    line, plain and times the number of the line. Swapped lines change the latter. The sums add up over splits, so
+    the hash does not depend on how a file is split, and no file is held as one value.
+    """
+    files = listing(spark, spec, paths).drop("modified_at")
+    if not files.columns or files.isEmpty():
+        return _with_names(spark.createDataFrame([], FACTS), spec)
+    big = "decimal(38,0)"
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    # the lower bits of the id count the rows of a task, which reads its splits one after another
     facts = lines.select(
         plain_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size_bytes"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        F.pmod(F.xxhash64("value"), F.lit(1 << 40)).cast("decimal(18,0)").alias("h1"),
+        F.pmod(F.xxhash64(F.reverse("value"), F.lit(1)), F.lit(1 << 40)).cast("decimal(18,0)").alias("h2"),
         "value",
     )
-    digest = F.concat_ws(
-        ":",
-        F.count("*"),
-        F.sum(F.xxhash64("value").cast("decimal(38,0)")),
-        F.sum(F.xxhash64(F.reverse("value")).cast("decimal(38,0)")),
+    place = F.col("place").cast("decimal(18,0)")
+    splits = facts.groupBy("file_path", "block").agg(
+        F.count("*").alias("lines"),
+        F.min("place").cast("decimal(18,0)").alias("first"),
+        *[F.sum(h).cast(big).alias(h) for h in ("h1", "h2")],
+        *[F.sum(place * F.col(h)).cast(big).alias(f"n{h}") for h in ("h1", "h2")],
+        F.min_by("value", "place").alias("line"),
+        F.bool_or(F.contains(F.lower("value"), F.lit(spec.empty_marker.lower()))).alias("marked"),
+        F.bool_or(_odd_quotes(F.col("value"))).alias("odd"),
     )
-    return facts.groupBy("file_path", "file_size_bytes").agg(
-        F.sha2(digest, 256).alias("file_hash_sha256"),
-        _clean_header(F.min_by("value", "place")).alias("header"),
-        F.bool_or(F.contains(F.lower("value"), F.lit(spec.empty_marker.lower()))).alias("is_empty"),
-        F.bool_or(_odd_quotes(F.col("value"))).alias("multiline"),
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("lines").over(before), F.lit(0)).cast("decimal(18,0)") - F.col("first")
+    placed = splits.withColumn("shift", shift)
+    whole = placed.groupBy("file_path").agg(
+        F.sum("lines").alias("lines"),
+        *[F.sum(h).alias(h) for h in ("h1", "h2")],
+        *[F.sum((F.col(f"n{h}") + F.col("shift") * F.col(h)).cast(big)).alias(f"n{h}") for h in ("h1", "h2")],
+        F.min_by("line", "block").alias("line"),
+        F.bool_or("marked").alias("marked"),
+        F.bool_or("odd").alias("odd"),
     )
-
-
-def fingerprint(
-    spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """One row per matching file."""
-    columns = ["file_path", "file_size_bytes", "file_hash_sha256", "header", "is_empty", "multiline"]
-    try:
-        small = _small_files(spark, paths, spec, whole_file_bytes)
-        large = _large_files(spark, paths, spec, whole_file_bytes)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        schema = "file_path string, file_size_bytes bigint, file_hash_sha256 string, header string, is_empty boolean, multiline boolean"
-        return _with_names(spark.createDataFrame([], schema), spec)
-    # Blank first lines and empty files still count as files.
-    found = small.select(*columns).unionByName(large.select(*columns))
-    if spec.exclude:
-        found = found.where(~F.col("file_path").rlike(spec.exclude))
+    sums = [F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("lines", "h1", "h2", "nh1", "nh2")]
+    found = files.join(whole, "file_path", "left").select(
+        "file_path", "file_size_bytes",
+        F.sha2(F.concat_ws(":", F.col("file_size_bytes").cast("string"), *sums), 256).alias("file_hash_sha256"),
+        _clean_header(F.coalesce("line", F.lit(""))).alias("header"),
+        F.coalesce("marked", F.lit(False)).alias("is_empty"),
+        F.coalesce("odd", F.lit(False)).alias("multiline"),
+    )
     return _with_names(found, spec)
 
 
@@ -137,13 +151,16 @@ def manifest(store: Store, scope: str = "keys") -> DataFrame:
     )
 
 
-def new_files(files: DataFrame, store: Store, scope: str = "keys", run_id: str | None = None) -> DataFrame:
-    """Files to load: content not yet LOADED or SKIPPED, first path of equal content.
+def unseen(files: DataFrame, spec: SourceSpec, store: Store) -> DataFrame:
+    """Listed files without a LOADED or SKIPPED event of the same path, size and time."""
+    same = ["file_path", "file_size_bytes", "modified_at"]
+    done = store.read_log("file_manifest").where((F.col("source") == spec.name) & F.col("status").isin("LOADED", "SKIPPED"))
+    return files.join(done.select(*same).distinct(), same, "left_anti")
 
-    A file that failed earlier in the run ``run_id`` waits for the next run.
-    """
-    settled = F.col("status").isin("LOADED", "SKIPPED") | F.col("run_id").eqNullSafe(F.lit(run_id))
-    done = manifest(store, scope).where(settled).select(*_identity(scope))
+
+def new_files(files: DataFrame, store: Store, scope: str = "keys") -> DataFrame:
+    """Files to load: content not yet LOADED or SKIPPED, first path of equal content."""
+    done = manifest(store, scope).where(F.col("status").isin("LOADED", "SKIPPED")).select(*_identity(scope))
     return keep_first(files.join(done, _identity(scope), "left_anti"), _identity(scope), [F.col("file_path").asc()])
 
 
@@ -256,35 +273,52 @@ def ingest(
     run_id: str,
     paths: Sequence[str] | None = None,
     scope: str = "keys",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-    files_per_call: int = FILES_PER_CALL,
+    files_per_read: int = FILES_PER_READ,
 ) -> DataFrame:
-    """Load the new files of one source; returns their manifest events.
+    """Load all new files of one source; returns their manifest events.
 
-    A file that cannot be loaded is logged as FAILED and tried again next time; it
-    does not stop the others. The driver handles file names only, at most
-    ``files_per_call`` of them.
+    A file that cannot be loaded is logged as FAILED and tried again next time; it does not stop the others. The
+    driver holds the names of about ``files_per_read`` files at a time. Rows are written first; the events, written
+    last in one file, make them visible, so a run that dies in between leaves nothing that is read.
     """
     stamp = now()
-    files = fingerprint(spark, spec, paths or f"{root}/{spec.glob}", whole_file_bytes)
-    todo = new_files(files, store, scope, run_id).orderBy("file_path").limit(files_per_call)
+    fresh = unseen(listing(spark, spec, paths or f"{root}/{spec.glob}"), spec, store)
+    work = f"{store.root}/etl/listed/{run_id}-{spec.name}-{stamp:%H%M%S%f}"
+    fresh.write.parquet(work)
+    fresh = spark.read.schema(LISTING).parquet(work)
+    reads = -(-fresh.count() // files_per_read)
+    for i in range(reads):
+        some = fresh.where(F.pmod(F.xxhash64("file_path"), F.lit(reads)) == i)
+        _load(spark, spec, store, run_id, stamp, some, scope, i)
+    log = store.read_log("file_manifest")
+    return log.where((F.col("run_id") == run_id) & (F.col("source") == spec.name) & (F.col("detected_at") == F.lit(stamp)))
+
+
+def _load(spark, spec, store, run_id, stamp, listed: DataFrame, scope: str, read: int) -> None:
+    """Load some listed files: write their rows, then their events."""
+    names = [_escaped(r.file_path) for r in listed.select("file_path").collect()]
+    if not names:
+        return
+    todo = new_files(fingerprint(spark, spec, names), store, scope).join(listed.select("file_path", "modified_at"), "file_path")
     found = todo.select(
-        "file_path", "file_name", "file_keys", "file_hash_sha256", "file_size_bytes", "header", "is_empty", "multiline"
-    ).collect()
+        "file_path", "file_name", "file_keys", "file_hash_sha256", "file_size_bytes", "modified_at", "header", "is_empty", "multiline"
+    ).orderBy("file_path").collect()
+    if not found:
+        return
 
-    outcome: dict[str, tuple[str, str | None]] = {}
+    outcome: dict[str, tuple[str, str | None, str | None]] = {}
     groups: dict[tuple[str, bool], list[str]] = {}
     for f in found:
         if f.is_empty:
-            outcome[f.file_path] = ("SKIPPED", "Empty marker detected")
+            outcome[f.file_path] = ("SKIPPED", "Empty marker detected", None)
             continue
         if not (f.header or "").strip():
-            outcome[f.file_path] = ("FAILED", "No header line")
+            outcome[f.file_path] = ("FAILED", "No header line", None)
             continue
         names = header_names(f.header, spec.separator or delimiter_of(f.header))
         missing = [h for h in spec.must_have if unicodedata.normalize("NFC", h) not in names]
         if missing:
-            outcome[f.file_path] = ("FAILED", f"Missing columns: {missing}")
+            outcome[f.file_path] = ("FAILED", f"Missing columns: {missing}", None)
             continue
         groups.setdefault((f.header, f.multiline), []).append(f.file_path)
 
@@ -292,30 +326,28 @@ def ingest(
     for number, ((header, multiline), group) in enumerate(sorted(groups.items())):
         try:
             good, long_rows, seen = read_group(spark, spec, group, header, multiline)
-            part = f"{run_id}-{spec.name}-{stamp:%H%M%S%f}-{number}"
+            part = f"{run_id}-{spec.name}-{stamp:%H%M%S%f}-{read}-{number}"
             store.write_part("staging", spec.table, staged(good, spec, run_id, stamp), part)
             if seen.get["long"]:
-                _quarantine(store, spec, long_rows, run_id, stamp)
-            # Visible only now: a failure above leaves nothing of these files behind.
-            store.commit("staging", spec.table, "append", part)
+                store.write_part("quarantine", spec.table, _quarantined(long_rows, run_id, stamp), part)
+                store.commit("quarantine", spec.table, "file_append", part)
+            # counts only once the manifest names the part
+            store.commit("staging", spec.table, "file_append", part)
             parts.append(part)
-            outcome.update({p: ("LOADED", None) for p in group})
+            outcome.update({p: ("LOADED", None, part) for p in group})
         except Exception as error:  # noqa: BLE001 - one bad group must not stop the run
-            outcome.update({p: ("FAILED", str(error)[:2000]) for p in group})
+            outcome.update({p: ("FAILED", str(error), None) for p in group})
 
     loaded = _rows_per_file(store, spec, parts)
-    events = _events(spark, found, outcome, loaded, spec, run_id, stamp)
-    store.append_log("file_manifest", events)
-    return events
+    store.append_log("file_manifest", _events(spark, found, outcome, loaded, spec, run_id, stamp))
 
 
-def _quarantine(store: Store, spec: SourceSpec, rows: DataFrame, run_id: str, stamp: datetime) -> None:
-    """Keep the rows that could not be read."""
-    kept = rows.select(
+def _quarantined(rows: DataFrame, run_id: str, stamp: datetime) -> DataFrame:
+    """The rows that could not be read."""
+    return rows.select(
         F.lit(run_id).alias("run_id"), "source_file", F.lit(stamp).cast("timestamp").alias("loaded_at"),
         "raw_line", F.array(F.lit("row longer than header")).alias("reasons"),
     )
-    store.append("quarantine", spec.table, kept)
 
 
 def _rows_per_file(store: Store, spec: SourceSpec, parts: Sequence[str]) -> DataFrame | None:
@@ -328,12 +360,13 @@ def _rows_per_file(store: Store, spec: SourceSpec, parts: Sequence[str]) -> Data
 def _events(spark, found, outcome, loaded, spec, run_id, stamp) -> DataFrame:
     rows = [
         (run_id, "csv", spec.name, f.file_path, f.file_name, f.file_keys, f.file_hash_sha256, f.file_size_bytes,
-         stamp, *outcome[f.file_path])
+         f.modified_at, stamp, *outcome[f.file_path])
         for f in found
     ]
     schema = (
         "run_id string, source_type string, source string, file_path string, file_name string, file_keys string, "
-        "file_hash_sha256 string, file_size_bytes bigint, detected_at timestamp, state string, message string"
+        "file_hash_sha256 string, file_size_bytes bigint, modified_at timestamp, detected_at timestamp, state string, "
+        "message string, part string"
     )
     files = spark.createDataFrame(rows, schema)
     counts = loaded if loaded is not None else spark.createDataFrame([], "file_path string, rows bigint")
@@ -365,16 +398,11 @@ def ingest_all(
     for spec in specs:
         try:
             with store.step(run_id, f"ingest.{spec.name}") as facts:
-                files = rows = bad = 0
-                while True:
-                    totals = _totals(ingest(spark, spec, root, store, run_id, **options))
-                    files, rows, bad = files + totals.files, rows + totals.rows, bad + totals.bad
-                    if totals.files < options.get("files_per_call", FILES_PER_CALL):
-                        break
-                facts.update(rows_in=files, rows_out=rows)
-                if bad:
-                    failed.append(f"{spec.name}: {bad} files failed")
+                totals = _totals(ingest(spark, spec, root, store, run_id, **options))
+                facts.update(rows_in=totals.files, rows_out=totals.rows)
+                if totals.bad:
+                    failed.append(f"{spec.name}: {totals.bad} files failed")
         except Exception as error:  # noqa: BLE001
             failed.append(f"{spec.name}: {error}")
-    store.finish_run(run_id, "FAILED" if failed else "SUCCESS", "; ".join(failed)[:2000] or None)
+    store.finish_run(run_id, "FAILED" if failed else "SUCCESS", "; ".join(failed) or None)
     return run_id

@@ -2,8 +2,9 @@
 
 Layout: ``<root>/<layer>/<table>/<part>``. A write becomes visible when its row is
 appended to the ``commits`` log; a job that dies before leaves only an unread folder.
-A table is its last ``replace`` part and the ``append`` parts after it. One writer at
-a time is assumed.
+A table is its last ``replace`` part and the ``append`` parts after it. A ``file_append``
+part counts once an event of the file manifest names it, so loaded rows and the manifest
+become visible together. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.operators.dedup import keep_first
@@ -25,7 +26,7 @@ LOGS = {
     "finished_at timestamp, status string, error_message string, logged_at timestamp",
     "file_manifest": "run_id string, source_type string, source string, file_path string, file_name string, "
     "file_keys string, file_hash_sha256 string, file_size_bytes bigint, detected_at timestamp, status string, "
-    "rows_loaded bigint, error_message string",
+    "rows_loaded bigint, error_message string, modified_at timestamp, part string",
     "step_metrics": "run_id string, step_name string, started_at timestamp, finished_at timestamp, "
     "duration_ms bigint, rows_in bigint, rows_out bigint, status string, message string",
     "validation_results": "run_id string, object_name string, check_name string, status string, "
@@ -55,14 +56,15 @@ class Store:
         if not isinstance(rows, DataFrame):
             rows = self.spark.createDataFrame(list(rows), LOGS[name])
         columns = [f.split()[0] for f in LOGS[name].split(", ")]
-        rows.select(*columns).write.mode("append").parquet(self._log_path(name))
+        # one file, so that a log write is seen whole or not at all
+        rows.select(*columns).coalesce(1).write.mode("append").parquet(self._log_path(name))
 
     def read_log(self, name: str) -> DataFrame:
-        if not self._exists(self._log_path(name)):
+        if not self.exists(self._log_path(name)):
             return self.spark.createDataFrame([], LOGS[name])
         return self.spark.read.schema(LOGS[name]).parquet(self._log_path(name))
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
         place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
@@ -72,12 +74,14 @@ class Store:
         self.append_log("commits", [(layer, table, kind, part, now())])
 
     def _parts(self, layer: str, table: str) -> list[str]:
-        """Visible parts of a table; the log has one row per committed write."""
+        """Visible parts of a table: one row per write since the last full refresh."""
         log = self.read_log("commits").where((F.col("layer") == layer) & (F.col("table_name") == table))
-        parts: list[str] = []
-        for row in log.orderBy("committed_at").collect():
-            parts = [row.part] if row.kind == "replace" else [*parts, row.part]
-        return parts
+        last = log.where(F.col("kind") == "replace").agg(F.max("committed_at").alias("last")).scalar()
+        log = log.where(F.coalesce(F.col("committed_at") >= last, F.lit(True)))
+        named = self.read_log("file_manifest").where(F.col("part").isNotNull()).select("part").distinct()
+        loaded = log.where(F.col("kind") == "file_append").join(named, "part", "left_semi")
+        shown = log.where(F.col("kind") != "file_append").unionByName(loaded)
+        return [r.part for r in shown.orderBy("committed_at").select("part").collect()]
 
     def _write(self, layer: str, table: str, df: DataFrame, kind: str, part: str | None) -> str:
         part = part or uuid.uuid4().hex
@@ -105,16 +109,22 @@ class Store:
     def read_parts(self, layer: str, table: str, parts: Sequence[str]) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.root}/{layer}/{table}/{p}" for p in parts])
 
-    def upsert(self, layer: str, table: str, new: DataFrame, keys: Sequence[str]) -> None:
-        """Rows of ``new`` replace rows with the same key."""
+    def upsert(self, layer: str, table: str, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+        """Rows of ``new`` replace rows with the same key; of equal keys in ``new`` the first in ``order``, nulls last,
+        then by the remaining columns."""
+        rest = [c for c in new.columns if c not in {*keys, *order}]
+        new = keep_first(new, list(keys), [F.col(c).asc_nulls_last() for c in (*order, *rest)])
         old = self.read(layer, table)
         self.replace(layer, table, merged(old, new, keys) if old is not None else new)
 
-    def insert_absent(self, layer: str, table: str, new: DataFrame, key: str, order: Sequence[str]) -> None:
+    def insert_absent(
+        self, layer: str, table: str, new: DataFrame, key: str | Sequence[str], order: Sequence[str]
+    ) -> None:
         """Append rows whose key is not there yet; of equal keys in ``new`` the first in order."""
-        fresh = keep_first(new, [key], [F.col(c).asc_nulls_last() for c in order])
+        keys = [key] if isinstance(key, str) else list(key)
+        fresh = keep_first(new, keys, [F.col(c).asc_nulls_last() for c in order])
         old = self.read(layer, table)
-        self.append(layer, table, fresh if old is None else fresh.join(old.select(key), key, "left_anti"))
+        self.append(layer, table, fresh if old is None else fresh.join(old.select(*keys), keys, "left_anti"))
 
     # --- runs and steps -------------------------------------------------------
 
@@ -162,9 +172,3 @@ def merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     fresh = new.select(*keys).distinct()
     return old.join(fresh, list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
-
-
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with a row count taken while it is written."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.sources.ingest import _escaped, ingest
+from recordmill.sources.ingest import _escaped, ingest, manifest
 from recordmill.sources.specs import SourceSpec
 from recordmill.sources.store import Store
 
@@ -27,7 +27,13 @@ def ingest_stream(
 
     The stream remembers paths; the manifest inside ``ingest`` remembers content, so
     a re-sent copy, or a batch that runs again after a failure, loads nothing twice.
+    Files that failed in an earlier run are known to the stream and tried again first.
     """
+    failed = manifest(store).where((F.col("source") == spec.name) & (F.col("status") == "FAILED") & (F.col("run_id") != run_id))
+    again = [r.file_path for r in failed.select("file_path").distinct().collect()]
+    again = [_escaped(p) for p in again if store.exists(p)]
+    if again:
+        ingest(spark, spec, root, store, run_id, paths=again)
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
@@ -51,10 +57,29 @@ def ingest_stream(
 
 
 def unique_events(events: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within the delay; state older than it is let go."""
+    """Drop repeats of a key that arrive within the delay; state older than it is let go.
+
+    Events that come later than the delay are dropped by the watermark. Where every event counts, take
+    ``keep_new_events``.
+    """
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def keep_new_events(
+    stream: DataFrame, store: Store, layer: str, table: str, keys: Sequence[str], order: Sequence[str], checkpoint: str
+) -> None:
+    """Store what is available now, each key once, however late it comes and whatever its time.
+
+    A batch appends the keys that the table does not have yet, so one that runs again after a failure adds nothing.
+    """
+
+    def keep(batch: DataFrame, _: int) -> None:
+        store.insert_absent(layer, table, batch, keys, order)
+
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Write what is available now as Parquet and stop."""
     query = (
@@ -68,7 +93,8 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def events_stream(spark: SparkSession, folder: str, file_name: str, schema) -> DataFrame:
+def events_stream(spark: SparkSession, folder: str, file_name: str, schema, files_per_trigger: int = 1000) -> DataFrame:
     """Parquet files of one name in a folder, as a stream with typed event time."""
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+    options = {"pathGlobFilter": file_name, "maxFilesPerTrigger": files_per_trigger}
+    raw = spark.readStream.schema(schema).options(**options).parquet(folder)
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))

@@ -5,6 +5,7 @@ from recordmill.plans.core import rejected_values
 from recordmill.sources.ingest import fingerprint, ingest, ingest_all, manifest
 from recordmill.sources.specs import EMPTY_MARKER, NO_TEACHER, SPECS, SourceSpec
 from recordmill.sources.store import Store
+from recordmill.streaming.incremental import ingest_stream
 
 
 def write(path, text):
@@ -122,23 +123,66 @@ def test_global_scope_loads_equal_bytes_once(spark, tree, tmp_path):
     assert manifest(store, "global").count() == 3
 
 
-def test_large_files_give_the_same_facts(spark, tree):
-    spec = SPECS["students"]
-    small = {r.file_path: r for r in fingerprint(spark, spec, f"{tree}/{spec.glob}").collect()}
-    large = {r.file_path: r for r in fingerprint(spark, spec, f"{tree}/{spec.glob}", whole_file_bytes=10).collect()}
-    assert small.keys() == large.keys() and len(small) == 2
-    for path, row in small.items():
-        other = large[path]
-        assert (row.header, row.is_empty, row.multiline, row.file_size_bytes) == (
-            other.header, other.is_empty, other.multiline, other.file_size_bytes)
-    assert len({r.file_hash_sha256 for r in large.values()}) == 2
+def test_hash_keeps_the_order_of_lines_and_not_the_splits(spark, tmp_path):
+    root = str(tmp_path)
+    lines = [f"{i};value {i % 7}" for i in range(5000)]
+    write(f"{root}/a.csv", "x;y\n" + "\n".join(lines) + "\n")
+    lines[10], lines[4000] = lines[4000], lines[10]
+    write(f"{root}/b.csv", "x;y\n" + "\n".join(lines) + "\n")
+    spec = SourceSpec("any", "any", "*.csv", ";", {"x": "x", "y": "y"})
+    facts = {r.file_name: r for r in fingerprint(spark, spec, f"{root}/*.csv").collect()}
+    assert facts["a.csv"].header == "x;y"
+    assert len({r.file_hash_sha256 for r in facts.values()}) == 2
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        split = {r.file_name: r.file_hash_sha256 for r in fingerprint(spark, spec, f"{root}/*.csv").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert split == {n: r.file_hash_sha256 for n, r in facts.items()}
+    store = Store(spark, str(tmp_path / "store"))
+    ingest(spark, spec, root, store, "r")
+    assert store.read("staging", "any").count() == 10_000
+
+
+def test_settled_files_are_not_read_again(spark, tree, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    ingest(spark, SPECS["students"], tree, store, "r")
+    monkeypatch.setattr("recordmill.sources.ingest.fingerprint", lambda *_: pytest.fail("a settled file was read"))
+    assert ingest(spark, SPECS["students"], tree, store, "s").count() == 0
+    assert store.read("staging", "students").count() == 6
 
 
-def test_large_file_path_is_idempotent(spark, tree, tmp_path):
+@pytest.mark.parametrize("log", ["commits", "file_manifest"])
+def test_a_run_that_dies_between_two_writes_loads_nothing_twice(spark, tree, tmp_path, monkeypatch, log):
     store = Store(spark, str(tmp_path / "store"))
-    for _ in range(2):
-        ingest(spark, SPECS["students"], tree, store, "r", whole_file_bytes=10)
+    write_log = Store.append_log
+
+    def dying(self, name, rows):
+        if name == log:
+            raise KeyboardInterrupt
+        write_log(self, name, rows)
+
+    monkeypatch.setattr(Store, "append_log", dying)
+    with pytest.raises(KeyboardInterrupt):
+        ingest(spark, SPECS["students"], tree, store, "r")
+    monkeypatch.setattr(Store, "append_log", write_log)
+    assert store.read("staging", "students") is None
+    ingest(spark, SPECS["students"], tree, store, "s")
     assert store.read("staging", "students").count() == 6
+    assert store.read("quarantine", "students").count() == 1
+
+
+def test_a_failed_file_of_a_stream_is_tried_again(spark, tmp_path):
+    root = str(tmp_path)
+    write(f"{root}/a.csv", "y\n1\n")
+    spec = SourceSpec("any", "any", "*.csv", ",", {"x": "x", "y": "y"}, strict=True)
+    store = Store(spark, str(tmp_path / "store"))
+    ingest_stream(spark, spec, root, store, "r", str(tmp_path / "checkpoint"))
+    assert store.read("staging", "any") is None
+    write(f"{root}/a.csv", "x,y\n5,6\n")
+    ingest_stream(spark, spec, root, store, "s", str(tmp_path / "checkpoint"))
+    assert rows(store.read("staging", "any"), "x", "y") == [("5", "6")]
 
 
 def test_delimiter_is_found_per_file(spark, tmp_path):
@@ -164,20 +208,20 @@ def test_upsert_and_insert_absent(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     store.upsert("core", "t", first, ["k"])
-    store.upsert("core", "t", spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"])
+    store.upsert("core", "t", spark.createDataFrame([(2, "c"), (3, "e"), (3, "d")], "k int, v string"), ["k"], ["v"])
     assert rows(store.read("core", "t"), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
     store.insert_absent("core", "t", spark.createDataFrame([(3, "x"), (4, "z"), (4, "y")], "k int, v string"), "k", ["v"])
     assert rows(store.read("core", "t"), "k", "v") == [(1, "a"), (2, "c"), (3, "d"), (4, "y")]
     assert store.read("core", "none", "k int").count() == 0
 
 
-def test_calls_of_few_files_load_them_all(spark, tmp_path):
+def test_reads_of_few_files_load_them_all(spark, tmp_path):
     root = str(tmp_path)
     write(f"{root}/a.csv", "y\n1\n")
     write(f"{root}/b.csv", "x,y\n1,2\n")
     write(f"{root}/c.csv", "x,y\n3,4\n")
     spec = SourceSpec("any", "any", "*.csv", ",", {"x": "x", "y": "y"}, strict=True)
     store = Store(spark, str(tmp_path / "store"))
-    ingest_all(spark, [spec], root, store, files_per_call=1)
+    ingest_all(spark, [spec], root, store, files_per_read=1)
     assert rows(store.read("staging", "any"), "x", "y") == [("1", "2"), ("3", "4")]
     assert sorted(r.status for r in store.read_log("file_manifest").collect()) == ["FAILED", "LOADED", "LOADED"]

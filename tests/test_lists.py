@@ -1,8 +1,10 @@
 import random
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from recordmill.operators.lists import text_list
+from recordmill.operators.lists import list_items, text_list
 
 
 def expected(rows, sep):
@@ -16,17 +18,6 @@ def expected(rows, sep):
     return out
 
 
-def run(spark, rows, part_bytes):
-    df = spark.createDataFrame(rows, "k string, o int, t string").repartition(5)
-    got = text_list(
-        df, ["k"], F.col("t"), [F.col("o")], ";\n", "txt", [F.count("*").alias("n")], part_bytes
-    ).collect()
-    parts = {}
-    for r in got:
-        parts.setdefault(r.k, []).append((r.list_part, r.n, r.txt))
-    return parts
-
-
 def make_rows():
     rnd = random.Random(7)
     rows = [("hot", rnd.randrange(40), f"item{rnd.randrange(300)}") for _ in range(3000)]
@@ -37,24 +28,27 @@ def make_rows():
     return rows
 
 
-def test_one_part_when_within_the_bound(spark):
+def lists(spark, rows, **options):
+    df = spark.createDataFrame(rows, "k string, o int, t string").repartition(5)
+    return text_list(df, ["k"], F.col("t"), [F.col("o")], ";\n", "txt", [F.count("*").alias("n")], **options)
+
+
+def test_one_row_per_group_whatever_its_size(spark):
     rows = make_rows()
-    parts = run(spark, rows, 1 << 20)
-    want = expected(rows, ";\n")
-    assert {k: v for k, v in parts.items()} == {k: [(0, n, t)] for k, (n, t) in want.items()}
+    got = lists(spark, rows)
+    assert got.columns == ["k", "n", "txt"]
+    assert {r.k: (r.n, r.txt) for r in got.collect()} == expected(rows, ";\n")
+    assert got.count() == len(expected(rows, ";\n"))
+
+
+def test_a_list_beyond_a_cell_fails_and_names_its_group(spark):
+    with pytest.raises(PySparkException, match='does not fit a cell: {"k":"hot"}'):
+        lists(spark, make_rows(), cell_bytes=20_000).collect()
 
 
-def test_large_groups_come_whole_in_several_parts(spark):
+def test_items_are_those_of_the_lists(spark):
     rows = make_rows()
-    parts = run(spark, rows, 1000)
-    want = expected(rows, ";\n")
-    assert set(parts) == set(want)
-    assert len(parts["hot"]) > 20 and len(parts[None]) > 2
-    for k, (n, text) in want.items():
-        got = sorted(parts[k], key=lambda p: p[0])
-        assert {p[1] for p in got} == {n}
-        if text is None:
-            assert got[0][2] is None
-        else:
-            assert ";\n".join(p[2] for p in got) == text
-            assert max(len(p[2]) for p in got) <= 2100
+    df = spark.createDataFrame(rows, "k string, o int, t string")
+    got = list_items(df, ["k"], F.col("t"), [F.col("o")], "t")
+    assert got.columns == ["k", "order_0", "t"]
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in df.where("t is not null").toDF("k", "order_0", "t").collect())

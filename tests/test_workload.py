@@ -39,5 +39,5 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 def test_entry(spark):
     df = entry_points.entry(spark)
-    assert df.columns == ["matricola", "cognome", "nome", "ciclo", "anno", "ore_hard", "ore_soft", "list_part", "corsi_ore"]
+    assert df.columns == ["matricola", "cognome", "nome", "ciclo", "anno", "ore_hard", "ore_soft", "corsi_ore"]
     assert df.count() > 0

@@ -220,7 +220,7 @@ def _turn_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES["enrich_prompts"] = _turn_prompts
 ORACLE["enrich_prompts"] = """
-    select document_id, 0 as list_part, prompt, sha256(prompt) as input_hash_sha256
+    select document_id, prompt, sha256(prompt) as input_hash_sha256
     from (select cast(conv_id as varchar) as document_id,
                  'Decide from the roles.' || chr(10) || 'Roles:' || chr(10)
                  || string_agg('- ' || role || ' | ' || text || ' | None | '
@@ -263,7 +263,7 @@ def _answers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, d: str) -> DataFrame:
-    return en.validated(_answers(spark, d)).drop("response_json")
+    return en.validated(_answers(spark, d))
 
 
 QUERIES["enrich_validate"] = _validated
@@ -290,7 +290,8 @@ ORACLE["enrich_validate"] = """
                    case when coalesce(json_type(doc, '$.since_month'), 'NULL') not in ('VARCHAR', 'NULL') then 'since_month: not a text' end,
                    case when coalesce(json_type(doc, '$.is_current_phd'), 'NULL') = 'NULL' then 'is_current_phd must be true/false (not null)'
                         when json_type(doc, '$.is_current_phd') <> 'BOOLEAN' then 'is_current_phd: not a boolean' end), '') end as validation_errors from j)
-    select event_id, response_text, validation_errors, validation_errors is null as validated,
+    select event_id, response_text, case when doc is not null then cand end as response_json,
+           validation_errors, validation_errors is null as validated,
            case when validation_errors is null then cast(doc->>'$.is_current_phd' as boolean) end as is_current_phd,
            case when validation_errors is null then doc->>'$.current_employer' end as current_employer,
            case when validation_errors is null then doc->>'$.current_title' end as current_title,
@@ -314,7 +315,7 @@ def _enriched(spark: SparkSession, d: str) -> DataFrame:
     status = store.read("core", "entity_status")
     after = store.read("etl", "documents").select("document_id", "status")
     return after.join(status, "document_id", "left").select(
-        "document_id", "status", "is_current_phd", "current_employer", "current_title", "evidence"
+        "document_id", "status", "is_current_phd", "current_employer", "current_title", "since_month", "evidence"
     )
 
 
@@ -325,7 +326,9 @@ ORACLE["enrich_run"] = f"""{_profile_ctes()}, before as ({_STATUS}), {_CURRENT}
     select b.document_id,
            case when b.status <> 'PARSED' then b.status when n.document_id is null then 'FAILED' else 'ENRICHED' end as status,
            regexp_matches(n.title, '(?i)phd|ph\\.d|dottorando|doctoral') as is_current_phd, n.company as current_employer,
-           n.title as current_title, n.title || ' | ' || n.company || ' | ' || n.dates as evidence
+           n.title as current_title,
+           strftime(strptime('1 ' || regexp_extract(n.dates, '^(\\w{{3}}\\s+\\d{{4}})', 1), '%d %b %Y'), '%Y-%m') as since_month,
+           n.title || ' | ' || n.company || ' | ' || n.dates as evidence
     from before b left join now n on n.document_id = b.document_id"""
 
 QUERIES["enrich_rules"] = lambda spark, d: en.status_by_rules(docs.role_rows(docs.parsed(_profiles(spark, d))))

@@ -11,7 +11,7 @@ from recordmill.session import shared_dir
 from recordmill.sources.ingest import ingest, manifest
 from recordmill.sources.specs import SourceSpec
 from recordmill.sources.store import Store
-from recordmill.streaming.incremental import events_stream, ingest_stream, run_available, unique_events
+from recordmill.streaming.incremental import events_stream, ingest_stream, keep_new_events
 from workload.tables import table
 
 QUERIES, ORACLE = {}, {}
@@ -93,6 +93,57 @@ ORACLE["ingest_idempotent"] = f"""select count(*) as staged_rows, count(*) as lo
     0 as repeated_files, 0 as extra_events from ({_EXPECTED})"""
 
 
+class Broken(RuntimeError):
+    pass
+
+
+def _recovered(spark: SparkSession, d: str) -> DataFrame:
+    """The run dies after the rows are written and before the manifest is; the next run loads every row once."""
+    root, store, run_id = _ingested(spark, d)
+    write = store.append_log
+
+    def dying(name: str, rows) -> None:
+        if name == "file_manifest":
+            raise Broken
+        write(name, rows)
+
+    store.append_log = dying
+    try:
+        ingest(spark, SPEC, f"{root}/in", store, run_id)
+    except Broken:
+        pass
+    again = Store(spark, store.root)
+    ingest(spark, SPEC, f"{root}/in", again, again.start_run("csv_lane"))
+    return again.read("staging", "orders").select("cycle", "key", "customer", "priority", "note")
+
+
+def _in_many_reads(spark: SparkSession, d: str) -> DataFrame:
+    root, store, run_id = _ingested(spark, d)
+    ingest(spark, SPEC, f"{root}/in", store, run_id, files_per_read=12)
+    return store.read("staging", "orders").select("cycle", "key", "customer", "priority", "note")
+
+
+QUERIES["ingest_recovered"] = _recovered
+ORACLE["ingest_recovered"] = _EXPECTED
+QUERIES["ingest_more_files_than_a_read"] = _in_many_reads
+ORACLE["ingest_more_files_than_a_read"] = _EXPECTED
+
+
+def _upserted_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """A composite key that repeats in the new rows: the cheapest line of an order and part stays."""
+    store = Store(spark, _scratch(spark))
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    keys = ["l_orderkey", "l_partkey"]
+    store.upsert("core", "lines", lines.where("l_linenumber = 1"), keys, ["l_linenumber"])
+    store.upsert("core", "lines", lines.unionByName(lines).where("l_linenumber > 1"), keys, ["l_linenumber"])
+    return store.read("core", "lines")
+
+
+QUERIES["store_upsert_pairs"] = _upserted_pairs
+ORACLE["store_upsert_pairs"] = """select l_orderkey, l_partkey, l_linenumber, l_quantity from lineitem
+    qualify row_number() over (partition by l_orderkey, l_partkey order by l_linenumber = 1, l_linenumber, l_quantity) = 1"""
+
+
 def _upserted(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, _scratch(spark))
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
@@ -131,14 +182,15 @@ ORACLE["stream_ingest"] = _EXPECTED
 
 
 def _stream_unique(spark: SparkSession, d: str) -> DataFrame:
-    """Every event arrives twice; one of each is kept."""
+    """Every event arrives twice, in many batches and in no order of time; one of each is kept."""
     root = _scratch(spark)
-    schema = table(spark, d, "events").schema
-    once = events_stream(spark, d, "events.parquet", schema)
-    both = once.union(events_stream(spark, d, "events.parquet", schema))
-    run_available(unique_events(both, ["event_id"], "ts", "1 hour"), f"{root}/out", f"{root}/checkpoint")
-    out = spark.read.parquet(f"{root}/out")
-    return out.select("event_id", "user_id", "event_type", "value")
+    events = table(spark, d, "events")
+    for copy in ("a", "b"):
+        events.repartition(4, F.xxhash64("event_id", F.lit(copy))).write.mode("append").parquet(f"{root}/in")
+    stream = events_stream(spark, f"{root}/in", "*.parquet", events.schema, files_per_trigger=3)
+    store = Store(spark, f"{root}/store")
+    keep_new_events(stream, store, "staging", "events", ["event_id"], ["user_id", "event_type", "value"], f"{root}/checkpoint")
+    return store.read("staging", "events").select("event_id", "user_id", "event_type", "value")
 
 
 QUERIES["stream_unique_events"] = _stream_unique

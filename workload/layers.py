@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from recordmill.plans import core, marts, serving
-from recordmill.session import shared_dir
 from workload.oracle import METRICS, sql, whole
 from workload.staging import staging
 
@@ -37,28 +34,16 @@ MART_INPUTS = {
 }
 
 
-# Marts with text lists read their inputs more than once (sizes first, then lists).
-LISTS = ("ore_di_formazione", "pubblicazione", "pubblicazione_tutori", "distribuzione_di_ore")
-
-
-def snapshot(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The table as stored between two layers."""
-    path = f"{shared_dir(spark)}/layer-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def mart(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     if name == "stato_lavorativo":
         return marts.stato_lavorativo(
             core_table(spark, sf_dir, "students"),
             staging(spark, sf_dir, "phd_status"),
             staging(spark, sf_dir, "work_experience_raw"),
+            **options,
         )
     build, inputs = MART_INPUTS[name]
     tables = [core_table(spark, sf_dir, t) for t in inputs]
-    if name in LISTS:
-        tables = [snapshot(spark, t) for t in tables]
     return build(*tables, **options)
 
 
@@ -102,9 +87,20 @@ for _name in [*MART_INPUTS, "stato_lavorativo"]:
     ORACLE[f"mart_{_name}"] = whole(f"mart_{_short(_name)}")
 
 
+QUERIES["mart_pubblicazione_dettaglio_unique"] = lambda spark, d: mart(spark, d, "pubblicazione_dettaglio", unique=True)
+ORACLE["mart_pubblicazione_dettaglio_unique"] = sql(
+    """select case when n = 1 then person end as matricola, c.cognome, c.nome, c.ciclo, numero_journal as "Journal",
+              numero_conferenze as "Conferenze", numero_capitoli as "Capitoli", numero_poster as "Poster",
+              numero_abstract as "Abstract", numero_brevetti as "Brevetti", coalesce(n, 0) as students
+    from core_stat_pubb c
+    left join (select cognome, nome, count(*) as n, min(matricola_dottorando) as person from core_students group by all) p
+           on p.cognome = c.cognome and p.nome = c.nome""",
+    "core_stat_pubb", "core_students",
+)
+
+
 def _panel(name: str, mart_name: str, build, query: str) -> None:
-    """A panel reads the stored mart."""
-    QUERIES[f"panel_{name}"] = lambda spark, d: build(snapshot(spark, mart(spark, d, mart_name)))
+    QUERIES[f"panel_{name}"] = lambda spark, d: build(mart(spark, d, mart_name))
     ORACLE[f"panel_{name}"] = sql(query, f"mart_{_short(mart_name)}")
 
 
@@ -112,7 +108,7 @@ CYCLE, YEAR = 35, 1998
 CYCLES, CALENDAR = ["33", "35", "38"], [1997, 1999]
 
 _TRAINING = """select matricola, cognome, nome, {key}, cast(sum(ore_hard) as decimal(18,2)) as ore_hard,
-    cast(sum(ore_soft) as decimal(18,2)) as ore_soft, 0 as list_part,
+    cast(sum(ore_soft) as decimal(18,2)) as ore_soft,
     string_agg(corsi_ore, chr(10) || chr(10) order by {order}, corsi_ore) as corsi_ore
     from (select * replace (cast(anno as varchar) as anno), anno as year from mart_ore_di_formazione) where {test}
     group by matricola, cognome, nome, {key}"""
@@ -125,7 +121,7 @@ _panel("training_hours_by_cycle_and_year", "ore_di_formazione",
 _panel("training_hours_by_year", "ore_di_formazione", lambda m: serving.training_hours_by_year(m, YEAR),
        _TRAINING.format(key="anno", order="ciclo", test=f"year = {YEAR}"))
 _PUBLISHED = """select matricola, cognome, nome, {key}, cast(sum(publication_count) as bigint) as "Publication Count",
-    0 as list_part, string_agg(titles, '; ' order by {order}, titles) as "Titles"
+    string_agg(titles, '; ' order by {order}, titles) as "Titles"
     from (select * replace (cast(anno as varchar) as anno), anno as year from mart_pubblicazione) where {test}
     group by matricola, cognome, nome, {key}"""
 _panel("publications_by_year", "pubblicazione", lambda m: serving.publications_by_year(m, YEAR),
@@ -171,7 +167,7 @@ _panel("mobility_list", "mobilita_internazionale", lambda m: serving.mobility_li
        f"select * from mart_mobilita where {_IN_CYCLES} and {_IN_YEARS}")
 _panel("mobility_count", "mobilita_internazionale", lambda m: serving.mobility_count(m, CALENDAR, 60),
        f'select count(*) as "count" from mart_mobilita where {_IN_YEARS} and durata_giorni > 60')
-_DURATION = """select paese, avg(durata_giorni) as durata_giorni, cast(count(*) as varchar) as studenti, 0 as list_part,
+_DURATION = """select paese, avg(durata_giorni) as durata_giorni, cast(count(*) as varchar) as studenti,
     string_agg(detail, ' | ' order by cognome, nome, detail) as dettaglio
     from (select *, concat(cognome, ' ', nome, ' con ', durata_giorni, ' giorni', ' in ', ente) as detail
           from mart_mobilita where {test} and durata_giorni > 60) group by paese"""

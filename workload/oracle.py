@@ -287,7 +287,7 @@ CTES["core_course_teachers"] = (
 # --- marts ------------------------------------------------------------------
 
 CTES["mart_ore_di_formazione"] = (
-    """select a.*, 0 as list_part, s.cognome, s.nome
+    """select a.*, s.cognome, s.nome
     from (select matricola, ciclo, anno,
                  cast(coalesce(sum(ore_riconosciute) filter (tipo_form = 'Hard'), 0) as decimal(18,2)) as ore_hard,
                  cast(coalesce(sum(ore_riconosciute) filter (tipo_form = 'Soft'), 0) as decimal(18,2)) as ore_soft,
@@ -302,7 +302,7 @@ CTES["mart_ore_di_formazione"] = (
     ["core_attivita_interne", "core_students"],
 )
 CTES["mart_pubblicazione"] = (
-    """select matricola, cognome, nome, ciclo, anno, n as publication_count, 0 as list_part, titles
+    """select matricola, cognome, nome, ciclo, anno, n as publication_count, titles
     from (select matricola, anno, count(*) as n, string_agg(titolo, '; ' order by titolo) as titles
           from core_publications join core_student_publications using (titolo) group by all)
     join (select matricola_dottorando as matricola, cognome, nome, ciclo from core_students) using (matricola)""",
@@ -319,7 +319,7 @@ CTES["mart_pubblicazione_dettaglio"] = (
 _initial = "replace({}, '.', '')[1]"
 CTES["mart_pubblicazione_tutori"] = (
     f"""select autore_cognome || ' ' || {_initial.format("autore_nome")} || '.' as autore, anno, count(*) as n_pub,
-               0 as list_part, string_agg(titolo, '; ' order by titolo) as titoli
+               string_agg(titolo, '; ' order by titolo) as titoli
     from (select *, trim(lower(autore_cognome)) as sn, {_initial.format("trim(lower(autore_nome))")} as gn
           from core_publications) p
     anti join (select trim(lower(cognome)) as sn, {_initial.format("trim(lower(nome))")} as gn from core_students) s
@@ -330,7 +330,7 @@ CTES["mart_pubblicazione_tutori"] = (
 CTES["mart_distribuzione_di_ore"] = (
     "select matricola, nome, cognome, ciclo, t.anno, "
     + ", ".join(f"cast(coalesce({k}, 0) as decimal(18,2)) as hour_{k}" for k in ("les", "ex", "lab", "tut"))
-    + """, 0 as list_part, insegnamenti
+    + """, insegnamenti
     from (select matricola_dottorando as matricola, nome, cognome, ciclo from core_students)
     left join (select matricola, e.anno, sum(h_les) as les, sum(h_ex) as ex, sum(h_lab) as lab, sum(h_tut) as tut,
                       string_agg(distinct d.cod_ins, ', ' order by d.cod_ins) as insegnamenti
