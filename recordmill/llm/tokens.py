@@ -24,14 +24,22 @@ from recordmill.llm.common import file_system, workspace, written
 TOKENIZER = "byte_bpe_50k.json"  # of the public tokenizer files
 END_ID = 2
 FILE_IDS = 16 << 20  # ids of one file
-CACHE_WORDS = 300_000  # words whose ids a task remembers
+CACHE_WORDS = 600_000  # words whose ids a task remembers
 MAGIC = b"IDHUFF01"
 
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
-# Blanks other than single spaces and single line ends between words: such texts are encoded as a whole.
-IRREGULAR = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
+# A text with blanks other than single spaces and single line ends between words is encoded as a whole.
+OTHER_BLANK = re.compile(r"[^\S \n]")
+DOUBLE_BLANKS = ("  ", "\n\n", " \n", "\n ")
 # Letters, then marks: two pieces for the tokenizer, the first with the blank before it.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+MARKS = ".,;:!?"
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
+
+
+def irregular(text: str) -> bool:
+    return (
+        text[:1] in " \n" or text[-1:] in " \n" or any(b in text for b in DOUBLE_BLANKS) or OTHER_BLANK.search(text) is not None
+    )
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -40,15 +48,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Places of words in the pool; an unknown word is encoded and remembered."""
+class _Places(dict):
+    """Words after a blank to their place in the pool; an unknown one is encoded and remembered."""
 
-    def __init__(self, encode, blank: str) -> None:
+    def __init__(self, encode) -> None:
         super().__init__()
-        self.encode, self.blank = encode, blank
+        self.encode = encode
 
     def __missing__(self, word: str) -> int:
-        self[word] = place = self.encode(word, self.blank)
+        self[word] = place = self.encode(word, " ")
         return place
 
 
@@ -61,36 +69,53 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.model = self.whole.model
+        self.tokenize = self.whole.model.tokenize
         self.remember = remember
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = (b for b in range(256) if b not in set(printable))
         # the tokenizer's characters for bytes: printable ones stand for themselves
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.sign = {"": "", " ": self.letters[32]}
+        self.line_end = self.ids("\n")
+        self.marks: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.first, self.later = _Words(self._word, ""), _Words(self._word, " ")
+        self.later = _Places(self._place)
         self.pool, self.offsets = array("i"), array("q", [0])
-        self.line_end = self._add(self.ids("\n"))
 
-    def _add(self, ids: list[int]) -> int:
-        self.pool.extend(ids)
+    def _place(self, word: str, blank: str) -> int:
+        self.pool.extend(self._word(word, blank))
         self.offsets.append(len(self.pool))
         return len(self.offsets) - 2
 
     def ids(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
-    def _piece(self, text: str) -> list[int]:
-        mapped = text.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(mapped)]
-
-    def _word(self, word: str, blank: str) -> int:
-        plain = PLAIN.fullmatch(word)
-        if not plain:
-            return self._add(self.ids(blank + word))
-        return self._add(self._piece(blank + plain[1]) + (self._piece(plain[2]) if plain[2] else []))
+    def _word(self, word: str, blank: str) -> list[int]:
+        """Ids of a word, or of words with line ends between them.
+
+        Letters, and marks after them, are a piece each, which the tokenizer does not cut before it merges, so its
+        model gets them at once; of ASCII only the blank has a character of its own.
+        """
+        letters = word.rstrip(MARKS)
+        ascii_ = letters.isascii()
+        if letters.isalpha() and (ascii_ or LETTERS.fullmatch(letters)):
+            shown = letters if ascii_ else letters.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.tokenize(self.sign[blank] + shown)]
+            if len(letters) < len(word):
+                marks = word[len(letters) :]
+                if marks not in self.marks:
+                    self.marks[marks] = [t.id for t in self.tokenize(marks)]
+                ids += self.marks[marks]
+            return ids
+        if "\n" in word:
+            head, *rest = word.split("\n")
+            ids = self._word(head, blank)
+            for line in rest:
+                ids += self.line_end + self._word(line, "")
+            return ids
+        return self.ids(blank + word)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of ids of each."""
@@ -98,16 +123,16 @@ class Encoder:
             self._forget()
         at: list[int] = []
         edges = [0]
+        known = self.later.__getitem__
         for text in texts:
-            if text and IRREGULAR.search(text):
-                at.append(self._add(self.ids(text)))
+            if text and irregular(text):
+                self.pool.extend(self.ids(text))
+                self.offsets.append(len(self.pool))
+                at.append(len(self.offsets) - 2)
             elif text:
-                for i, line in enumerate(text.split("\n")):
-                    if i:
-                        at.append(self.line_end)
-                    head, *rest = line.split(" ")
-                    at.append(self.first[head])
-                    at.extend(map(self.later.__getitem__, rest))
+                words = text.split(" ")
+                at.append(self._place(words[0], ""))
+                at.extend(map(known, words[1:]))
             edges.append(len(at))
         place, offsets = np.array(at, dtype=np.int64), np.array(self.offsets, dtype=np.int64)
         size = offsets[place + 1] - offsets[place]
@@ -129,11 +154,11 @@ def tokenized(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         row = 0
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            for i in range(0, len(texts), 200):
-                ids, sizes = encoder.encode(texts[i : i + 200])
+            for i in range(0, len(texts), 500):
+                ids, sizes = encoder.encode(texts[i : i + 500])
                 ends = np.cumsum(sizes)
                 own = [np.append(ids[b - n : b], np.int32(end_id)).astype("<i4").tobytes() for b, n in zip(ends, sizes)]
-                some = batch.iloc[i : i + 200]
+                some = batch.iloc[i : i + 500]
                 yield pd.DataFrame(
                     {"part": some["part"], "row": np.arange(row, row + len(some)), "doc_id": some["doc_id"].astype("Int64"), "ids": own}
                 )
@@ -150,13 +175,12 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for data in batch["ids"]:
-                own = np.bincount(np.frombuffer(data, "<i4"))
-                if len(own) > len(total):
-                    own[: len(total)] += total
-                    total = own
-                else:
-                    total[: len(own)] += own
+            own = np.bincount(np.frombuffer(b"".join(batch["ids"]), "<i4"))
+            if len(own) > len(total):
+                own[: len(total)] += total
+                total = own
+            else:
+                total[: len(own)] += own
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
 
