@@ -23,7 +23,7 @@ from recordmill.llm.shingles import mixed, word_numbers
 
 WINDOW = 35  # consecutive words
 GRAM = 8  # words of an anchor
-HOT = 1000  # places of an anchor from which its windows are counted by digest
+HOT = 4000  # places of an anchor from which its windows are counted by digest
 PLACE_BITS = 28  # words of one batch; the rest of 64 bits are the hash that anchors are picked by
 
 
@@ -73,27 +73,35 @@ def _digest(words: list[bytes]) -> bytes:
 
 
 def anchors(texts: DataFrame) -> DataFrame:
-    """Every place of an anchor (key, copies, anchor)."""
+    """The anchors of each text (key, copies, anchor, places), with their places in the text."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, some in _chunks(batch):
                 text, _, _, anchor = stretches(some)
-                at = pa.array(text)
-                yield pa.RecordBatch.from_arrays([rows.column("key").take(at), rows.column("copies").take(at), pa.array(anchor)], ["key", "copies", "anchor"])
+                order = np.lexsort((anchor, text))
+                text, anchor = text[order], anchor[order]
+                first = np.flatnonzero((np.diff(text, prepend=-1) != 0) | np.concatenate([[True], anchor[1:] != anchor[:-1]])[: len(text)])
+                places = np.diff(np.append(first, len(text)))
+                at = pa.array(text[first])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("key").take(at), rows.column("copies").take(at), pa.array(anchor[first]), pa.array(places)],
+                    ["key", "copies", "anchor", "places"],
+                )
 
-    return texts.select("key", "copies", "text").mapInArrow(each, "key binary, copies long, anchor long")
+    return texts.select("key", "copies", "text").mapInArrow(each, "key binary, copies long, anchor long, places long")
 
 
 def pieces(texts: DataFrame) -> DataFrame:
     """Stretches of repeated anchors from (key, copies, text, cold, hot), where cold and hot list the anchors.
 
-    Rows are (key, copies, hot, shard, digest, start, words); of hot anchors, single windows by their digest alone.
+    Rows are (key, copies, hot, shard, digest, starts, words), one for all equal stretches of a text; copies counts
+    them in all copies of the text. Of hot anchors, rows are single windows, by their digest alone.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "copies", "hot", "shard", "digest", "start", "words"]
-        kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        names = ["key", "copies", "hot", "shard", "digest", "starts", "words"]
+        kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary()]
         for batch in batches:
             for rows, some in _chunks(batch):
                 text, first, last, anchor = stretches(some)
@@ -104,13 +112,19 @@ def pieces(texts: DataFrame) -> DataFrame:
                 for i, t in enumerate(some):
                     words = t.encode("utf-8", "surrogatepass").split()
                     some_cold, some_hot = set(cold[i]), set(hot[i])
+                    own: dict[tuple[bool, int, bytes], list[int]] = {}
+                    held: dict[bytes, list[bytes]] = {}
                     for j in range(edge[i], edge[i + 1]):
                         a, b, at = int(first[j]), int(last[j]), int(anchor[j])
                         if at in some_cold:
-                            own = words[a : b + WINDOW]
-                            out.append((keys[i], copies[i], False, at, _digest(own), a, b" ".join(own)))
+                            digest = _digest(words[a : b + WINDOW])
+                            held[digest] = words[a : b + WINDOW]
+                            own.setdefault((False, at, digest), []).append(a)
                         elif at in some_hot:
-                            out += [(keys[i], copies[i], True, at, _digest(words[s : s + WINDOW]), s, None) for s in range(a, b + 1)]
+                            for s in range(a, b + 1):
+                                own.setdefault((True, at, _digest(words[s : s + WINDOW])), []).append(s)
+                    for (is_hot, at, digest), starts in own.items():
+                        out.append((keys[i], copies[i] * len(starts), is_hot, at, digest, starts, None if is_hot else b" ".join(held[digest])))
                     if len(out) > 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                         out = []
@@ -118,7 +132,7 @@ def pieces(texts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     return texts.select("key", "copies", "text", "cold", "hot").mapInArrow(
-        each, "key binary, copies long, hot boolean, shard long, digest binary, start int, words binary"
+        each, "key binary, copies long, hot boolean, shard long, digest binary, starts array<int>, words binary"
     )
 
 
@@ -212,7 +226,7 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     texts = spark.table(name)
 
     places = anchors(texts)
-    counted = places.groupBy("anchor").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("places")).where("copies > 1")
+    counted = places.groupBy("anchor").agg(F.sum(F.col("copies") * F.col("places")).alias("copies"), F.sum("places").alias("places")).where("copies > 1")
     counted = counted.select("anchor", (F.col("places") > hot).alias("is_hot"))
     wanted = places.select("key", "anchor").join(counted, "anchor").groupBy("key").agg(
         F.collect_set(F.when(~F.col("is_hot"), F.col("anchor"))).alias("cold"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot")
@@ -221,10 +235,11 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     shards = some.where("not hot").groupBy("shard", "digest").agg(F.any_value("words").alias("words"), F.sum("copies").alias("copies"))
     cold = matched(shards.repartition("shard").sortWithinPartitions("shard"))
-    found = some.where("not hot").select("key", "shard", "digest", "start").join(cold, ["shard", "digest"])
-    found = found.select("key", F.explode(F.transform("windows", lambda w: w + F.col("start"))).alias("at"))
+    found = some.where("not hot").select("key", "shard", "digest", "starts").join(cold, ["shard", "digest"])
+    # every repeated window of the stretch, at every start of the stretch
+    found = found.select("key", F.flatten(F.transform("starts", lambda s: F.transform("windows", lambda w: w + s))).alias("at"))
     many = some.where("hot").groupBy("digest").agg(F.sum("copies").alias("copies")).where("copies > 1").select("digest")
-    found = found.union(some.where("hot").select("key", "digest", "start").join(many, "digest").select("key", "start"))
-    marks = found.groupBy("key").agg(F.collect_set("at").alias("marks"))
+    found = found.union(some.where("hot").select("key", "digest", "starts").join(many, "digest").select("key", "starts"))
+    marks = found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("marks"))
     done = removed(texts.join(marks, "key", "left"))
     return keyed.select("doc_id", "key").join(done, "key").select("doc_id", "n_words", "n_removed", "kept_sha256")
