@@ -85,13 +85,19 @@ def prepared(benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return items.withColumn("spare", (F.col("m") - least).cast("int"))
 
 
+def _slots(number: Column, bits: int) -> list[Column]:
+    """Two places of a number in the bit table; a number is known only if both are set."""
+    return [F.pmod(number, F.lit(bits)), F.pmod(F.xxhash64(number), F.lit(bits))]
+
+
 def _bit_table(shingles: DataFrame) -> tuple[DataFrame, int]:
     """A one-row table with the bits of the shingles' numbers as longs, and the number of bits."""
     n = shingles.count()
     power = min(max(TABLE_BITS[0], (64 * n).bit_length()), TABLE_BITS[1])
     size = 1 << (power - 6)
-    slot = F.pmod(F.col("number"), F.lit(1 << power))
-    set_ = shingles.groupBy(F.shiftright(slot, 6).alias("id")).agg(
+    slot = F.col("slot")
+    placed = shingles.select(F.explode(F.array(*_slots(F.col("number"), 1 << power))).alias("slot"))
+    set_ = placed.groupBy(F.shiftright(slot, 6).alias("id")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))).alias("v")
     )
     every = shingles.sparkSession.range(size).join(set_, "id", "left").select(F.struct("id", F.coalesce("v", F.lit(0)).alias("v")).alias("x"))
@@ -124,9 +130,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     text = text.select("key", "ws", F.size("ws").alias("n_words"), table.scalar().alias("bits"))
 
     def may(number: Column) -> Column:
-        slot = F.pmod(number, F.lit(bits))
-        word = F.get(F.col("bits"), F.shiftright(slot, 6).cast("int"))
-        return F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        def is_set(slot: Column) -> Column:
+            word = F.get(F.col("bits"), F.shiftright(slot, 6).cast("int"))
+            return F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+        one, other = _slots(number, bits)
+        return is_set(one) & is_set(other)
 
     def hits(numbers: Column) -> Column:
         def of(width: int) -> Column:
