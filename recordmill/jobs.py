@@ -42,16 +42,47 @@ def staging_table(store: Store, table: str) -> DataFrame:
     return store.read("staging", table, ", ".join(f"{c} {kinds.get(c, 'string')}" for c in spec.staged_columns))
 
 
-def build_core_layer(store: Store) -> dict[str, DataFrame]:
-    """Rebuild every core table as a new version."""
+def build_core_layer(
+    store: Store,
+    newest_load: dict[str, Sequence[str]] | None = None,
+    latest_enrolments: bool = False,
+    per_teacher: bool = False,
+) -> dict[str, DataFrame]:
+    """Rebuild every core table as a new version.
+
+    ``newest_load`` names staging tables whose files are re-sent whole, with their keys: only the newest load of a key
+    counts. ``latest_enrolments`` keeps one enrolment per student, course and year, ``per_teacher`` one course detail
+    per teacher; without them rows stay as delivered.
+    """
+    options = {"students_courses": {"latest_only": latest_enrolments}, "course_details": {"per_teacher": per_teacher}}
     for name, (build, source) in core.SOURCES.items():
-        store.replace("core", name, build(staging_table(store, source)))
+        rows = staging_table(store, source)
+        if newest_load and source in newest_load:
+            rows = core.latest_load_only(rows, newest_load[source])
+        store.replace("core", name, build(rows, **options.get(name, {})))
     mobility = "mobilita_internazionale_con_studenti"
     people = store.read("core", "students")
     store.replace("core", mobility, core.mobilita_internazionale_con_studenti(staging_table(store, mobility), people))
     return core_layer(store)
 
 
+class RejectedValues(RuntimeError):
+    pass
+
+
+def quarantine_rejects(store: Store, strict: bool = False) -> dict[str, int]:
+    """Store the staged rows with a text that cannot be typed, per core table; with ``strict`` raise if there are any."""
+    found = {}
+    mobility = ("mobilita_internazionale_con_studenti", "mobilita_internazionale_con_studenti")
+    for name, source in [*((n, s) for n, (_, s) in core.SOURCES.items()), mobility]:
+        store.replace("quarantine", f"rejected_{name}", core.rejected_values(staging_table(store, source), name))
+        if n := store.read("quarantine", f"rejected_{name}").count():
+            found[name] = n
+    if strict and found:
+        raise RejectedValues("; ".join(f"{name}: {n} rows" for name, n in found.items()))
+    return found
+
+
 def core_layer(store: Store) -> dict[str, DataFrame]:
     names = [*core.SOURCES, "mobilita_internazionale_con_studenti"]
     return {n: store.read("core", n) for n in names}

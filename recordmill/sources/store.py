@@ -78,10 +78,12 @@ class Store:
         log = self.read_log("commits").where((F.col("layer") == layer) & (F.col("table_name") == table))
         last = log.where(F.col("kind") == "replace").agg(F.max("committed_at").alias("last")).scalar()
         log = log.where(F.coalesce(F.col("committed_at") >= last, F.lit(True)))
-        named = self.read_log("file_manifest").where(F.col("part").isNotNull()).select("part").distinct()
-        loaded = log.where(F.col("kind") == "file_append").join(named, "part", "left_semi")
-        shown = log.where(F.col("kind") != "file_append").unionByName(loaded)
-        return [r.part for r in shown.orderBy("committed_at").select("part").collect()]
+        rows = log.orderBy("committed_at").select("kind", "part").collect()
+        if any(r.kind == "file_append" for r in rows):
+            named = self.read_log("file_manifest").where(F.col("part").isNotNull()).select("part").distinct()
+            loaded = {r.part for r in log.join(named, "part", "left_semi").select("part").collect()}
+            rows = [r for r in rows if r.kind != "file_append" or r.part in loaded]
+        return [r.part for r in rows]
 
     def _write(self, layer: str, table: str, df: DataFrame, kind: str, part: str | None) -> str:
         part = part or uuid.uuid4().hex

@@ -125,6 +125,12 @@ def test_every_job(spark, root, tmp_path):
     results = {(r.object_name, r.check_name): r.status for r in store.read_log("validation_results").collect()}
     assert len(results) == 59
     assert results[("students", "unique.matricola_dottorando")] == "PASS"
+    rejected = jobs.quarantine_rejects(store)
+    assert rejected["attivita_interne"] == 1
+    assert store.read("quarantine", "rejected_attivita_interne").first().reasons == ["data_esame"]
+    jobs.build_core_layer(store, {"corsi": ["cod_ins", "anno"]}, latest_enrolments=True, per_teacher=True)
+    assert store.read("core", "students_courses").count() == 1
+    assert "teacher" in store.read("core", "course_details").columns
     control = jobs.check_control_tables(store, "r2").collect()
     assert len(control) == 7 and {r.status for r in control} == {"PASS"}
 
