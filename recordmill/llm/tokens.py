@@ -62,13 +62,13 @@ class _Places(dict):
 
 class Encoder:
     """Ids of texts. The tokenizer cuts texts into pieces before it merges bytes, and a single blank between words
-    always starts a piece; so the ids of a text are those of its words, which are remembered."""
+    always starts a piece; so the ids of a text are those of its words, which are remembered. The special token holds
+    no blank and takes none beside it, so a word with it has the same ids alone as in its text."""
 
     def __init__(self, path: str, remember: int = CACHE_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.tokenize = self.whole.model.tokenize
         self.remember = remember
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]

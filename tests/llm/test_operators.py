@@ -383,6 +383,23 @@ def test_tokens(docs, no_docs):
     assert tokens.encoded(no_docs).collect() == []
 
 
+def test_tokens_of_the_untouched_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.tokenizer_path())
+    special = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|>\nb", "x\n<|endoftext|> y", "no  <|endoftext|>  blanks", "it.<|endoftext|><|endoftext|>, <|endoftext", "é<|endoftext|>é!"]
+    texts = special + [t or "" for _, t, _ in ROWS]
+    whole = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert whole[0] == [21943, 220, 50256, 2318]
+    ids, sizes = tokens.Encoder(tokens.tokenizer_path(), remember=20).encode(texts)
+    assert sizes.tolist() == list(map(len, whole)) and ids.tolist() == sum(whole, [])
+    rows = tokens.encoded(spark.createDataFrame(list(enumerate(special)), "doc_id long, text string")).collect()
+    start = 0
+    for r, own in zip(sorted(rows, key=lambda r: r.doc_id), whole):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(own) + 1, zlib.crc32(np.array([*own, 2], "<u4").tobytes()))
+        start += r.n_tokens
+
+
 def test_sharding(docs, no_docs):
     from recordmill.llm.queries import sharded
 
