@@ -36,6 +36,8 @@ SAMPLE_ROWS = 200  # rows of the table whose base spans are added to the trainin
 EPOCHS = 16
 BATCH = 128
 MIN_PROB = 0.6
+CHUNK = 512  # windows read side by side
+PLAIN_EVERY = 16 * WINDOW  # characters from one training window of a text, taken wherever it falls, to the next
 
 SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
@@ -144,13 +146,44 @@ def _lstm_back(d_out: np.ndarray, recur: np.ndarray, tape: list) -> tuple[np.nda
     return d_gates, d_recur
 
 
+def _run(weights: np.ndarray, recur: np.ndarray, steps: np.ndarray, out: np.ndarray) -> None:
+    """Hidden states of one direction into ``out`` (steps, H, windows), without a tape: ``_lstm`` in buffers, with all
+    gates from one exponential, as sigmoid(x) = 1 / (1 + exp(-x)) and tanh(x) = 2 sigmoid(2x) - 1."""
+    size, n = recur.shape[0], steps.shape[1]
+    scale = np.repeat(np.array([-1, -1, -1, -2], np.float32), size)
+    weights, recur = weights * scale, np.ascontiguousarray((recur * scale).T)
+    x, z = np.empty((n, 4 * size), np.float32), np.empty((4 * size, n), np.float32)
+    h, c, new = np.zeros((size, n), np.float32), np.zeros((size, n), np.float32), np.empty((size, n), np.float32)
+    with np.errstate(over="ignore"):
+        for t, codes in enumerate(steps):
+            np.matmul(recur, h, out=z)
+            z += np.take(weights, codes, axis=0, out=x, mode="clip").T
+            np.exp(z, out=z)
+            z += 1
+            np.divide(1, z, out=z)
+            g = z[3 * size :]
+            g *= 2
+            g -= 1
+            g *= z[:size]
+            c *= z[size : 2 * size]
+            c += g
+            np.multiply(c, -2, out=new)
+            np.exp(new, out=new)
+            new += 1
+            np.divide(2, new, out=new)
+            new -= 1
+            h = np.multiply(z[2 * size : 3 * size], new, out=out[t])
+
+
 def _emissions(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     """Tag scores (windows, steps, tags) of windows of character classes."""
-    steps = ids.T
-    ahead, _ = _lstm(p["in_f"][steps], p["re_f"])
-    behind, _ = _lstm(p["in_b"][steps[::-1]], p["re_b"])
-    both = np.concatenate([ahead, behind[::-1]], 2)
-    return (both @ p["out"] + p["bias"]).transpose(1, 0, 2)
+    steps = np.ascontiguousarray(ids.T)
+    size = p["re_f"].shape[0]
+    both = np.empty((2, len(steps), size, len(ids)), np.float32)
+    _run(p["in_f"], p["re_f"], steps, both[0])
+    _run(p["in_b"], p["re_b"], steps[::-1], both[1])
+    out = np.matmul(p["out"][:size].T, both[0]) + np.matmul(p["out"][size:].T, both[1][::-1])
+    return out.transpose(2, 0, 1) + p["bias"]
 
 
 def _synthetic(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
@@ -205,13 +238,36 @@ def _synthetic(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
     return out
 
 
+def _worded(n: int, seed: int = 11) -> list[tuple[str, list[Span]]]:
+    """Prose with addresses that hold neither a digit nor ``@``, and with an ``at`` that makes none."""
+    r = random.Random(seed)
+
+    def plain(low: int, high: int) -> str:
+        letters = r.choice(["abcdefghijklmnopqrstuvwxyz", "etaoinsrhldcumfpgwybvk"])
+        return "".join(r.choice(letters) for _ in range(r.randint(low, high)))
+
+    def prose(low: int, high: int) -> str:
+        return " ".join(plain(2, 9) + r.choice(["", "", "", "", "", ",", ".", " at"]) for _ in range(r.randint(low, high)))
+
+    out = []
+    for _ in range(n):
+        text, spans = prose(1, 6), []
+        if r.random() < 0.7:
+            value = f"{plain(3, 9)}{r.choice('._')}{plain(3, 9)} at {plain(3, 9)}.{r.choice(['com', 'org', 'example.com', 'net'])}"
+            text += " "
+            spans.append(("email", len(text), len(text) + len(value)))
+            text += value + r.choice(["", "", ".", ","])
+        out.append((f"{text} {prose(8, 16)}", spans))
+    return out
+
+
 def training_windows(texts: list[str], synthetic: int = 700) -> tuple[np.ndarray, np.ndarray]:
     """Windows of character classes and their tags (0: none), from generated texts and from the base spans of ``texts``."""
-    labelled = _synthetic(synthetic)
+    labelled = _synthetic(synthetic) + _worded(synthetic // 2)
     for text in texts:
         spans = base_spans(text)
-        for m in list(TRIGGER.finditer(text))[:: WINDOW // 2]:
-            a = max(0, m.start() - WINDOW // 2)
+        near = [max(0, m.start() - WINDOW // 2) for m in list(TRIGGER.finditer(text))[:: WINDOW // 2]]
+        for a in [*near, *range(0, len(text), PLAIN_EVERY)]:
             labelled.append((text[a : a + WINDOW], [(k, x - a, y - a) for k, x, y in spans if x < a + WINDOW and y > a]))
     ids, tags = np.zeros((len(labelled), WINDOW), dtype=np.int64), np.zeros((len(labelled), WINDOW), dtype=np.int64)
     for i, (text, spans) in enumerate(labelled):
@@ -266,65 +322,92 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS, h
     return Tagger({n: v.astype(np.float32) for n, v in p.items()})
 
 
-def _chains(text: str) -> list[tuple[int, int]]:
-    """First and last grid window of each run of windows that hold a digit or ``@``. A span of any kind holds one."""
-    out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        low, high = max(0, (m.start() - WINDOW) // STEP + 1), m.start() // STEP
-        if out and low <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(a, b) for a, b in out]
+def _settled(scores: np.ndarray, sizes: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The best tags of texts end to end, as ``viterbi`` finds them.
+
+    Where no tag can make up for its lower score by its transitions on both sides, the best path has tag 0. Such
+    places cut the texts into short pieces that are decoded side by side, each between tags 0.
+    """
+    into = np.maximum((trans - trans[:, :1]).max(0), start - start[0])
+    from_ = np.maximum((trans - trans[:1]).max(1), 0)
+    lead = scores[:, 0] - 1e-3
+    free = np.zeros(len(scores), dtype=bool)
+    for k in range(1, scores.shape[1]):
+        free |= scores[:, k] + (into + from_)[k] >= lead
+    tags = np.zeros(len(scores), dtype=np.int64)
+    edge = np.zeros(len(scores) + 1, dtype=bool)
+    edge[np.concatenate([[0], np.cumsum(sizes)])] = True
+    first = free & (edge[:-1] | ~np.concatenate([[False], free[:-1]]))
+    last = free & (edge[1:] | ~np.concatenate([free[1:], [False]]))
+    at = np.flatnonzero(free)
+    own = scores[at]
+    inner = first & ~edge[:-1]
+    own[inner[at]] += trans[0] - start
+    own[(last & ~edge[1:])[at]] += trans[:, 0]
+    tags[at] = viterbi(own, np.flatnonzero(last) - np.flatnonzero(first) + 1, trans, start)
+    return tags
+
+
+def _blended(texts: list[str], p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Tag scores of all characters of the texts end to end, and the texts' sizes. All windows of a text are read."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    counts = -(-sizes // STEP)  # a window begins at every STEP-th character
+    windows = np.zeros((counts.sum(), WINDOW), dtype=np.uint8)
+    at = 0
+    for text, n in zip(texts, counts.tolist()):
+        if n:
+            ids = np.zeros((n - 1) * STEP + WINDOW, dtype=np.uint8)
+            ids[: len(text)] = char_classes(text)
+            windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(ids, WINDOW)[::STEP]
+            at += n
+    scores = np.empty((sizes.sum(), len(p["bias"])), np.float32)
+    emit = np.empty((len(windows), WINDOW, scores.shape[1]), np.float32)
+    for j in range(0, len(windows), CHUNK):
+        emit[j : j + CHUNK] = _emissions(p, windows[j : j + CHUNK])
+    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+    emit *= weight[:, None]
+    at = to = 0
+    for size, n in zip(sizes.tolist(), counts.tolist()):
+        if n:
+            total = np.zeros((n + WINDOW // STEP - 1, STEP, scores.shape[1]), np.float32)
+            mass = np.zeros(total.shape[:2], np.float32)
+            for k in range(WINDOW // STEP):
+                total[k : k + n] += emit[at : at + n, k * STEP : (k + 1) * STEP]
+                mass[k : k + n] += weight[k * STEP : (k + 1) * STEP]
+            total /= mass[:, :, None]
+            scores[to : to + size] = total.reshape(-1, scores.shape[1])[:size]
+            at += n
+            to += size
+    return scores, sizes
 
 
 def tagged(texts: list[str], tagger: Tagger) -> list[list[Span]]:
-    """The network's spans of each text."""
+    """The network's spans of each text. It reads the whole text; an address may be all words (``anna at post.org``),
+    the numbers of the other kinds hold a digit."""
     p = tagger.params
     found: list[list[Span]] = [[] for _ in texts]
-    chains = [(i, a, b) for i, t in enumerate(texts) for a, b in _chains(t)]
-    if not chains:
+    scores, sizes = _blended(texts, p)
+    if not len(scores):
         return found
-    ids = {i: char_classes(texts[i]) for i in {c[0] for c in chains}}
-    windows = np.zeros((sum(b - a + 1 for _, a, b in chains), WINDOW), dtype=np.int64)
-    at = 0
-    for i, a, b in chains:
-        for w in range(a, b + 1):
-            piece = ids[i][w * STEP : w * STEP + WINDOW]
-            windows[at, : len(piece)] = piece
-            at += 1
-    emit = np.concatenate([_emissions(p, windows[j : j + 1024]) for j in range(0, len(windows), 1024)])
-    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
-    rows, sizes, at = [], [], 0
-    for i, a, b in chains:
-        size = (b - a) * STEP + WINDOW
-        total, mass = np.zeros((size, emit.shape[2]), np.float32), np.zeros(size, np.float32)
-        for w in range(b - a + 1):
-            total[w * STEP : w * STEP + WINDOW] += emit[at] * weight[:, None]
-            mass[w * STEP : w * STEP + WINDOW] += weight
-            at += 1
-        size = min(size, len(texts[i]) - a * STEP)
-        rows.append((total / mass[:, None])[:size])
-        sizes.append(size)
-    scores = np.concatenate(rows)
-    tags = viterbi(scores, np.array(sizes), p["trans"], p["start"])
-    prob = np.exp(scores - scores.max(1, keepdims=True))
-    prob /= prob.sum(1, keepdims=True)
-    at = 0
-    for (i, a, _), size in zip(chains, sizes):
-        own, text = tags[at : at + size], texts[i]
-        edge = np.flatnonzero(np.diff(own, prepend=0, append=0))
-        for x, y in zip(edge[:-1], edge[1:]):
-            if own[x]:
-                s, e = a * STEP + int(x), a * STEP + int(y)
-                while s < e and text[s] in " \n\t.,;:\"'":
-                    s += 1
-                while e > s and text[e - 1] in " \n\t.,;:\"'":
-                    e -= 1
-                sure = float(prob[at + x : at + y, own[x]].mean())
-                if e - s >= 7 and sure >= MIN_PROB and TRIGGER.search(text, s, e):
-                    found[i].append((KINDS[own[x] - 1], s, e))
-        at += size
+    tags = _settled(scores, sizes, p["trans"], p["start"])
+    ends = np.cumsum(sizes)
+    cut = np.diff(tags, prepend=0) != 0
+    cut[(ends - sizes)[sizes > 0]] = True
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:], len(tags))
+    for x, y in zip(first[tags[first] > 0].tolist(), last[tags[first] > 0].tolist()):
+        i = int(np.searchsorted(ends, x, side="right"))
+        text, kind = texts[i], KINDS[tags[x] - 1]
+        begin = int(ends[i] - sizes[i])
+        s, e = x - begin, y - begin
+        while s < e and text[s] in " \n\t.,;:\"'":
+            s += 1
+        while e > s and text[e - 1] in " \n\t.,;:\"'":
+            e -= 1
+        prob = np.exp(scores[x:y] - scores[x:y].max(1, keepdims=True))
+        sure = float((prob[:, tags[x]] / prob.sum(1)).mean())
+        if e - s >= 7 and sure >= MIN_PROB and (kind == "email" or TRIGGER.search(text, s, e)):
+            found[i].append((kind, s, e))
     return found
 
 

@@ -129,6 +129,37 @@ def test_pii_network(spark, docs, no_docs, sf_dir):
     assert pii.detected(no_docs, tagger).collect() == []
 
 
+def test_pii_network_reads_windows_without_digits(spark, sf_dir):
+    tagger = pii.fit(common.read(spark, sf_dir, "documents"))
+    r = np.random.default_rng(5)
+    word = lambda low, high: "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(low, high)))
+    prose = lambda n: " ".join(word(2, 9) for _ in range(n))
+    hits, every = 0, 0
+    for _ in range(60):
+        before = prose(40) + " "
+        value = f"{word(3, 9)}{r.choice(['.', '_'])}{word(3, 9)} at {word(3, 9)}.{r.choice(['com', 'org', 'net'])}"
+        found = pii.tagged([f"{before}{value} {prose(40)}"], tagger)[0]
+        hits += ("email", len(before), len(before) + len(value)) in found
+        every += len(found)
+    assert hits >= 0.5 * 60 and hits >= 0.7 * every
+
+
+def test_pii_tags_are_those_of_one_pass(spark, sf_dir):
+    from recordmill.llm.crf import viterbi
+
+    tagger = pii.fit(common.read(spark, sf_dir, "documents"), epochs=4)
+    p = tagger.params
+    ids = np.random.default_rng(1).integers(0, pii.CLASSES, (7, pii.WINDOW))
+    ahead, _ = pii._lstm(p["in_f"][ids.T], p["re_f"])
+    behind, _ = pii._lstm(p["in_b"][ids.T[::-1]], p["re_b"])
+    want = (np.concatenate([ahead, behind[::-1]], 2) @ p["out"] + p["bias"]).transpose(1, 0, 2)
+    assert np.allclose(pii._emissions(p, ids.astype(np.uint8)), want, atol=1e-4)
+    texts = ["", *[t for t, _ in pii._synthetic(40, seed=9)], "x" * 400, ""]
+    scores, sizes = pii._blended(texts, p)
+    assert sizes.tolist() == list(map(len, texts))
+    assert (pii._settled(scores, sizes, p["trans"], p["start"]) == viterbi(scores, sizes, p["trans"], p["start"])).all()
+
+
 def plain_secrets(text):
     assign = re.compile(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
     out = [("assign", *m.span()) for m in assign.finditer(text) if len(m[2]) >= 6]
