@@ -39,6 +39,11 @@ SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 str
 TOKEN = re.compile(
     r"""(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)|(?P<mark>=>|:=|==|!=|[=:+,;(){}\[\]#])|(?P<bare>[^\s"'=:+,;(){}\[\]#]+)"""
 )
+UNQUOTED = re.compile(r"""[^\s"',;(){}\[\]]+""")
+# A type between a name and its value, from the colon to the value: ``: str = ``, ``: Optional[str] = ``.
+TYPED = re.compile(
+    r""":[ \t]*[&*]?(?:'\w+[ \t]+)?[A-Za-z_][\w.]*(?:\[[^="]{0,80}\]|<[^="]{0,80}>)?(?:[ \t]*\|[ \t]*[\w.]+|\?){0,8}(?:[ \t]+=[ \t]+|[ \t]*=[ \t]*(?=["']))"""
+)
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -72,9 +77,10 @@ def literal_score(value: str) -> float:
 def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
     """Pairs of target name and literal (name, value, start, end), in order of the text.
 
-    A line holding ``name = value``, ``name: value``, ``"name": "value"`` or ``name => value`` gives a pair; a sum
-    of literals gives one pair for each of its parts, scored as a whole; a value that is the name of an earlier
-    literal hands that literal on to the new name.
+    A line holding ``name = value``, ``name: value``, ``"name": "value"``, ``name => value`` or ``name: type = value``
+    gives a pair; a sum of quoted literals and known names gives one pair for each of its parts, scored as a whole;
+    a value that is the name of an earlier literal hands that literal on to the new name. A value without quotes is
+    one literal up to a blank, quote, comma, semicolon or bracket.
     """
     known: dict[str, list[tuple[str, int, int]]] = {}
     at = 0
@@ -82,7 +88,7 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
         if "=" in line or ":" in line:
             tokens = [(m.lastgroup, m.group(), at + m.start(), at + m.end()) for m in TOKEN.finditer(line)]
             for i in range(1, len(tokens) - 1):
-                kind, mark, _, _ = tokens[i]
+                kind, mark, begin, _ = tokens[i]
                 if kind != "mark" or mark not in ("=", ":", ":=", "=>"):
                     continue
                 left = tokens[i - 1]
@@ -91,20 +97,25 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
                 name = left[1].strip("\"'")
                 parts: list[tuple[str, int, int]] = []
                 j = i + 1
+                if mark == ":" and (typed := TYPED.match(line, begin - at)):
+                    while j < len(tokens) and tokens[j][2] < at + typed.end():
+                        j += 1
                 while j < len(tokens):
                     k, value, a, b = tokens[j]
+                    more = j + 2 < len(tokens) and tokens[j + 1][1] == "+" and (tokens[j + 2][0] == "quoted" or tokens[j + 2][1] in known)
                     if k == "quoted":
                         parts.append((value[1:-1], a + 1, b - 1))
-                    elif k == "bare":
-                        parts.append((value, a, b))
-                    elif k == "name":
-                        parts += known.get(value, [(value, a, b)])
+                    elif (run := UNQUOTED.match(line, a - at)) and (k != "mark" or (value == "+" and not parts)):
+                        if value in known and (more or at + run.end() == b):
+                            parts += known[value]
+                        elif not parts:
+                            parts.append((run.group(), a, at + run.end()))
+                            break
                     else:
                         break
-                    if j + 1 < len(tokens) and tokens[j + 1][1] == "+":
-                        j += 2
-                        continue
-                    break
+                    if not more:
+                        break
+                    j += 2
                 if parts:
                     known[name] = parts
                     whole = "".join(p[0] for p in parts)

@@ -183,6 +183,23 @@ def test_secrets_of_assignments():
     assert added == ["a8F3kq9Zx1", "Ab1+", "Zz92kQ0x"]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"]),
+    ("client_secret_key: aB3/x9Kq+Zr72Lw==", ["aB3/x9Kq+Zr72Lw=="]),
+    ("signing_secret_key=Qm9+Zk3pT7xW1r, other", ["Qm9+Zk3pT7xW1r"]),
+    ("private_secret_value = +Zk3pT7xW1r/9b; x", ["+Zk3pT7xW1r/9b"]),
+    ('db_pass: str = "Zx81Qp20Lm44"', ["Zx81Qp20Lm44"]),
+    ('const dbPass: string = "Zx81Qp20Lm44";', ["Zx81Qp20Lm44"]),
+    ("db_pass: Optional[str]='Zx81Qp20Lm44'", ["Zx81Qp20Lm44"]),
+    ('db_pass: str | None = "Zx81Qp20Lm44"', ["Zx81Qp20Lm44"]),
+    ('K = "a8F3kq9Zx1"\nclient_secret_key = K+"Zz92kQ0x"', ["a8F3kq9Zx1", "Zz92kQ0x"]),
+    ('K = "a8F3kq9Zx1"\nclient_secret_key = "Zz92kQ0x" + K', ["a8F3kq9Zx1", "Zz92kQ0x"]),
+])
+def test_secrets_of_unquoted_and_typed_assignments(text, want):
+    base, every = secret_scan.scan(text)
+    assert base == [] and [text[a:b] for _, a, b in every] == want
+
+
 # --- mixture -----------------------------------------------------------------------------------------------------
 
 
