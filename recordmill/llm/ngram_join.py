@@ -110,7 +110,8 @@ def class_of(shingles: bytes) -> bytes:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, class (16 bytes, from the whole set; null without words), number of shingles, MinHash values, bands."""
+    """doc_id, ref (a hash of the text if doc_id is null), class (16 bytes, from the whole set; null without words),
+    number of shingles, MinHash values, bands."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,13 +119,15 @@ def described(docs: DataFrame) -> DataFrame:
             marks = min_hashes(sets, HASHES)
             names = [class_of(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("ref"), pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([m.tobytes() for m in marks], pa.binary()),
                  pa.array(list(marks.view(np.int64)), pa.list_(pa.int64()))],
-                ["doc_id", "class", "n", "marks", "bands"],
+                ["doc_id", "ref", "class", "n", "marks", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, "doc_id long, class binary, n long, marks binary, bands array<long>")
+    ref = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("ref")
+    schema = "doc_id long, ref long, class binary, n long, marks binary, bands array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text").select("doc_id", "text", ref).mapInArrow(each, schema)
 
 
 def _blocked(members: DataFrame, key: str) -> DataFrame:
@@ -256,14 +259,15 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOL
     Two rows are linked if the Jaccard similarity of their shingles is at least ``threshold``; class_id is the
     smallest doc_id that can be reached by links, n_links the number of rows linked to the row, n_copies that of
     rows with its very shingles, itself included. A row without words (null or empty text) is a class of its own
-    and has no links. Repeated rows are copies of each other. An empty table gives an empty table.
+    and has no links. Repeated rows are copies of each other. Rows with a null doc_id are linked and counted like
+    others; class_id is null if no row that can be reached has an id. An empty table gives an empty table.
     """
     folder = workspace(docs.sparkSession, "ngram-join")
     every = written(described(docs), folder, "described")
     classes = (
         every.where("class is not null")
         .groupBy("class")
-        .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.any_value("n").alias("n"),
+        .agg(F.min("doc_id").alias("first"), F.min("ref").alias("ref"), F.count(F.lit(1)).alias("rows"), F.any_value("n").alias("n"),
              F.any_value("marks").alias("marks"), F.any_value("bands").alias("bands"))
     )
     classes = written(classes, folder, "classes")
@@ -272,8 +276,12 @@ def joined(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOL
         F.count(F.lit(1)).alias("all"), F.sum("n").alias("size")
     )
     blocked = _blocked(groups.withColumnRenamed("node", "class").join(sizes, "root"), "root")
-    held = groups.select(F.col("node").alias("class")).join(classes.select("class", "first", "rows", "marks"), "class")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(held.withColumnRenamed("first", "doc_id"), "doc_id")
+    held = groups.select(F.col("node").alias("class")).join(classes.select("class", "first", "ref", "rows", "marks"), "class")
+    ids = docs.select(F.col("doc_id").cast("long"), "text")
+    texts = ids.join(held.drop("ref").withColumnRenamed("first", "doc_id"), "doc_id").drop("doc_id")
+    # classes without any id find their texts by hash
+    bare = ids.where("doc_id is null").select("text").distinct().withColumn("ref", F.xxhash64("text"))
+    texts = texts.unionByName(bare.join(held.where("first is null").drop("first"), "ref").drop("ref"))
     members = blocked.join(with_sets(texts), "class").withColumn("root_bits", F.xxhash64("root"))
     members = members.repartition("root_bits", "x", "y").sortWithinPartitions("root_bits", "x", "y", "root")
     links = written(verified(members, threshold, tolerance), folder, "links")

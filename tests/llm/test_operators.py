@@ -270,6 +270,17 @@ def test_ngram_join(spark, docs, no_docs, sf_dir):
     assert ngram_join.joined(no_docs).collect() == []
 
 
+def test_ngram_join_without_ids(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, long), (None, long + " a"), (None, long + " a"), (7, long + " b"), (None, "x y z"), (None, "x y z"), (None, None), (9, "other words here")]
+    for some, copies in ((rows, 4), ([r for r in rows if r[0] is None], 3)):
+        out = ngram_join.joined(spark.createDataFrame(some, "doc_id long, text string")).collect()
+        got = Counter((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in out)
+        c = 7 if copies == 4 else None
+        want = [(None, c, copies - 1, 1), (None, c, copies - 1, 2), (None, c, copies - 1, 2), (None, None, 1, 2), (None, None, 1, 2), (None, None, 0, 1)]
+        assert got == Counter(want + ([(7, 7, 3, 1), (9, 9, 0, 1)] if copies == 4 else []))
+
+
 def test_ngram_join_with_cut_blocks(docs, monkeypatch):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     monkeypatch.setattr(ngram_join, "BLOCK", 2)
