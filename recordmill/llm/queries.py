@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm import decontaminate, mixture, ngram_join, pii, quality, secret_scan, sharding, substring, tokens, warc
+from recordmill.llm import (
+    decontaminate, filter_audit, language, mixture, ngram_join, pii, quality, resampling, secret_scan, sharding, substring, tokens, warc,
+)
 from recordmill.llm.common import read, small_batches
+from recordmill.llm.oracle import ORACLE as ORACLE
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(read(small_batches(spark), sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(small_batches(spark), sf_dir, "documents")
+    return language.identified(docs, language.fit(docs))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(read(small_batches(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixture": op2_mixture,
@@ -73,5 +89,7 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_resampling": op11_resampling,
+    "op12_language": op12_language,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLE: dict[str, str] = {}

@@ -38,7 +38,7 @@ def test_stages(spark, sf_dir, tmp_path):
 
 def test_every_operator_is_registered():
     names = entry_points.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
