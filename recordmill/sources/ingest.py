@@ -4,7 +4,8 @@
 2. Fingerprint the rest by their lines, in splits: hash, header line, empty-marker flag.
    Skip files whose content is already loaded (anti join with the manifest).
 3. Read what is left, one read per header line: Spark maps CSV columns by position, so
-   only files with the same header may share a read.
+   only files with the same header may share a read. Files with line breaks in quotes are
+   cut into rows first, split by split.
 4. Map headers to columns by name, stamp lineage, write, and log one event per file. The
    events make the written rows visible, so rows and manifest cannot disagree.
 """
@@ -18,31 +19,24 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordmill.operators.dedup import keep_first
 from recordmill.operators.reshape import drop_marker, explode_list
 from recordmill.sources.specs import SourceSpec
+from recordmill.sources.splits import digests, lines_of, plain_path, quoted_rows, without_scheme, written
 from recordmill.sources.store import Store, now
 
-# Files whose names the driver holds at a time; all files are taken, so many by so many.
+# Files whose names the driver holds at a time, and their bytes: with 128 MiB a split, some 100,000 splits. All files
+# are taken, so many by so many.
 FILES_PER_READ = 50_000
+BYTES_PER_READ = 8 << 40
 DELIMITERS = (";", "\t", ",")
 CORRUPT = "__raw_line"
 
 
-def plain_path(encoded: Column) -> Column:
-    """File path as stored: metadata columns are percent-encoded, a plus sign is itself."""
-    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-    return _without_scheme(decoded)
-
-
-def _without_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, r"^file:/+", "/")
-
-
 def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
@@ -64,7 +58,7 @@ def listing(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str]) -
             raise
         return spark.createDataFrame([], LISTING)
     found = files.select(
-        _without_scheme(F.col("path")).alias("file_path"),
+        without_scheme(F.col("path")).alias("file_path"),
         F.col("length").alias("file_size_bytes"),
         F.col("modificationTime").alias("modified_at"),
     )
@@ -74,49 +68,28 @@ def listing(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str]) -
 def fingerprint(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str]) -> DataFrame:
     """One row per matching file, whatever its size.
 
-    The hash is the SHA-256 of the file's size, its number of lines and four sums over its lines: two hashes of the
-    line, plain and times the number of the line. Swapped lines change the latter. The sums add up over splits, so
-    the hash does not depend on how a file is split, and no file is held as one value.
+    The hash is the SHA-256 of the file's size and the root of a hash tree over its bytes, in blocks that do not
+    depend on how the file is split; no file is held as one value.
     """
     files = listing(spark, spec, paths).drop("modified_at")
     if not files.columns or files.isEmpty():
         return _with_names(spark.createDataFrame([], FACTS), spec)
-    big = "decimal(38,0)"
-    lines = spark.read.option("lineSep", "\n").text(paths)
     # the lower bits of the id count the rows of a task, which reads its splits one after another
-    facts = lines.select(
-        plain_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-        F.pmod(F.xxhash64("value"), F.lit(1 << 40)).cast("decimal(18,0)").alias("h1"),
-        F.pmod(F.xxhash64(F.reverse("value"), F.lit(1)), F.lit(1 << 40)).cast("decimal(18,0)").alias("h2"),
-        "value",
-    )
-    place = F.col("place").cast("decimal(18,0)")
-    splits = facts.groupBy("file_path", "block").agg(
-        F.count("*").alias("lines"),
-        F.min("place").cast("decimal(18,0)").alias("first"),
-        *[F.sum(h).cast(big).alias(h) for h in ("h1", "h2")],
-        *[F.sum(place * F.col(h)).cast(big).alias(f"n{h}") for h in ("h1", "h2")],
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    splits = lines_of(spark, paths).withColumn("place", place).groupBy("file_path", "block").agg(
+        F.sum(F.octet_length("value").cast("bigint") + 1).alias("n_bytes"),
         F.min_by("value", "place").alias("line"),
         F.bool_or(F.contains(F.lower("value"), F.lit(spec.empty_marker.lower()))).alias("marked"),
         F.bool_or(_odd_quotes(F.col("value"))).alias("odd"),
+    )
+    splits = written(splits, "facts")
+    whole = splits.groupBy("file_path").agg(
+        F.min_by("line", "block").alias("line"), F.bool_or("marked").alias("marked"), F.bool_or("odd").alias("odd")
     )
-    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("lines").over(before), F.lit(0)).cast("decimal(18,0)") - F.col("first")
-    placed = splits.withColumn("shift", shift)
-    whole = placed.groupBy("file_path").agg(
-        F.sum("lines").alias("lines"),
-        *[F.sum(h).alias(h) for h in ("h1", "h2")],
-        *[F.sum((F.col(f"n{h}") + F.col("shift") * F.col(h)).cast(big)).alias(f"n{h}") for h in ("h1", "h2")],
-        F.min_by("line", "block").alias("line"),
-        F.bool_or("marked").alias("marked"),
-        F.bool_or("odd").alias("odd"),
-    )
-    sums = [F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("lines", "h1", "h2", "nh1", "nh2")]
-    found = files.join(whole, "file_path", "left").select(
+    content = F.concat_ws(":", F.col("file_size_bytes").cast("string"), F.coalesce("tree", F.lit("")))
+    found = files.join(whole, "file_path", "left").join(digests(spark, paths, splits), "file_path", "left").select(
         "file_path", "file_size_bytes",
-        F.sha2(F.concat_ws(":", F.col("file_size_bytes").cast("string"), *sums), 256).alias("file_hash_sha256"),
+        F.sha2(content, 256).alias("file_hash_sha256"),
         _clean_header(F.coalesce("line", F.lit(""))).alias("header"),
         F.coalesce("marked", F.lit(False)).alias("is_empty"),
         F.coalesce("odd", F.lit(False)).alias("multiline"),
@@ -199,10 +172,12 @@ def read_group(
     if spec.separator is None and _swallowed(header, delimiter):
         return _read_swallowed(spark, spec, paths, names, delimiter)
     positions = [f"c{i}" for i in range(len(names))]
+    if multiline:
+        return _read_quoted(spark, spec, paths, names, positions, delimiter)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*positions, CORRUPT]])
     rows = (
         spark.read.schema(schema)
-        .options(sep=delimiter, header=True, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE",
+        .options(sep=delimiter, header=True, quote='"', escape='"', mode="PERMISSIVE",
                  columnNameOfCorruptRecord=CORRUPT, columnPruning=False, encoding="UTF-8")
         .csv([_escaped(p) for p in paths])
         .withColumn("source_file", plain_path(F.col("_metadata.file_path")))
@@ -215,6 +190,16 @@ def read_group(
     return _split_long(flagged, F.col(CORRUPT), spec, names, positions)
 
 
+def _read_quoted(spark, spec, paths, names, positions, delimiter):
+    """Rows with line breaks in quotes: cut by all tasks, then parsed one by one."""
+    rows = quoted_rows(spark, paths, delimiter, [_escaped(p) for p in paths])
+    wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": "true"}
+    fields = rows.withColumn("__row", F.from_csv("text", F.lit(wider), options)).select("source_file", "text", "__row.*")
+    flagged = fields.withColumn("__long", F.col(f"c{len(names)}").isNotNull())
+    return _split_long(flagged, F.col("text"), spec, names, positions)
+
+
 def _split_long(flagged, raw, spec, names, positions):
     seen = Observation()
     watched = flagged.observe(seen, F.count_if("__long").alias("long"))
@@ -286,7 +271,8 @@ def ingest(
     work = f"{store.root}/etl/listed/{run_id}-{spec.name}-{stamp:%H%M%S%f}"
     fresh.write.parquet(work)
     fresh = spark.read.schema(LISTING).parquet(work)
-    reads = -(-fresh.count() // files_per_read)
+    n, size = fresh.agg(F.count("*"), F.coalesce(F.sum("file_size_bytes"), F.lit(0))).first()
+    reads = max(-(-n // files_per_read), -(-size // BYTES_PER_READ))
     for i in range(reads):
         some = fresh.where(F.pmod(F.xxhash64("file_path"), F.lit(reads)) == i)
         _load(spark, spec, store, run_id, stamp, some, scope, i)

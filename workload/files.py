@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,65 @@ QUERIES["ingest_more_files_than_a_read"] = _in_many_reads
 ORACLE["ingest_more_files_than_a_read"] = _EXPECTED
 
 
+TEXTS = SourceSpec(
+    "texts", "texts", "*.csv", ",", {"Id": "doc_id", "Language": "lang", "Body": "body"}, null_tokens=()
+)
+
+
+def _quoted_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """All texts as delimited files with line breaks and quotes in every row, cut into rows by their splits."""
+    root = _scratch(spark)
+    breaks = F.concat("text", F.lit('\n"'), "lang", F.lit('";\n, end'))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("Id"), F.col("lang").alias("Language"), breaks.alias("Body"))
+    rows.write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(f"{root}/in")
+    store = Store(spark, f"{root}/store")
+    ingest(spark, TEXTS, f"{root}/in", store, store.start_run("csv_lane"))
+    return store.read("staging", "texts").select("doc_id", "lang", "body")
+
+
+QUERIES["ingest_quoted_breaks"] = _quoted_breaks
+ORACLE["ingest_quoted_breaks"] = """select cast(doc_id as varchar) as doc_id, lang,
+    text || chr(10) || '"' || lang || '";' || chr(10) || ', end' as body from documents"""
+
+
+def _swallowed_header(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose header and rows each came as one quoted field."""
+    root = _scratch(spark)
+    row = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), F.col("o_orderstatus"))
+    table(spark, d, "orders").select(row.alias("Key;Priority;Status"), F.lit(None).cast("string").alias(" ")).write.options(
+        header=True, quoteAll=True
+    ).csv(f"{root}/in")
+    spec = SourceSpec("swallowed", "swallowed", "*.csv", None, {"Key": "key", "Status": "status", "Priority": "priority"})
+    store = Store(spark, f"{root}/store")
+    ingest(spark, spec, f"{root}/in", store, store.start_run("csv_lane"))
+    return store.read("staging", "swallowed").select("key", "status", "priority")
+
+
+QUERIES["ingest_swallowed_header"] = _swallowed_header
+ORACLE["ingest_swallowed_header"] = """select cast(o_orderkey as varchar) as "key", o_orderstatus as status,
+    o_orderpriority as priority from orders"""
+
+
+def _with_callback(spark: SparkSession, d: str) -> DataFrame:
+    """A loader with a transformation of its own: urgent orders only, one row per word of the note."""
+    root, store, run_id = _ingested(spark, d)
+
+    def urgent(rows: DataFrame) -> DataFrame:
+        words = F.explode_outer(F.split("note", " "))
+        return rows.where("priority = '1-URGENT'").withColumn("note", words)
+
+    ingest(spark, replace(SPEC, post=urgent), f"{root}/in", store, run_id)
+    return store.read("staging", "orders").select("cycle", "key", "customer", "priority", "note")
+
+
+QUERIES["ingest_with_callback"] = _with_callback
+ORACLE["ingest_with_callback"] = f"""with loaded as ({_EXPECTED})
+    select * replace (unnest(case when note is null then [null] else string_split(note, ' ') end) as note)
+    from loaded where priority = '1-URGENT'"""
+
+
 def _upserted_pairs(spark: SparkSession, d: str) -> DataFrame:
     """A composite key that repeats in the new rows: the cheapest line of an order and part stays."""
     store = Store(spark, _scratch(spark))
