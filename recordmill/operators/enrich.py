@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.keys import text_hash
+from recordmill.operators.deadline import Limits, ask_all
 from recordmill.operators.lists import text_list
 from recordmill.sources.store import Store, merged
 
@@ -38,7 +38,7 @@ class Task:
     prompt_version: str
     template: str
     max_attempts: int = 3
-    max_retries: int = 2
+    limits: Limits = Limits()
     parameters: str = '{"temperature": 0.0}'
 
 
@@ -94,42 +94,30 @@ def not_validated_yet(asked: DataFrame, calls: DataFrame, task: Task) -> DataFra
     return asked.join(done.select(*keys), keys, "left_anti")
 
 
-def call(asked: DataFrame, predict: Predict, max_retries: int = 2, tasks: int | None = None) -> DataFrame:
-    """Answers of ``predict``, called per Arrow batch inside the tasks.
+def call(asked: DataFrame, predict: Predict, limits: Limits | None = None, tasks: int | None = None) -> DataFrame:
+    """Answers of ``predict``, called inside the tasks with a deadline, tries and workers as ``limits`` says.
 
-    Calls are slow and rows small, so the prompts are spread by number, not by size.
-
-    A batch that keeps failing is asked one by one, so an error stays with its document.
+    Calls are slow and rows small, so the prompts are spread by number, not by size. Every prompt has one row: its
+    answer, or the error of its last try; prompts that were asked together and failed are asked one by one, so an
+    error stays with its document and a call that hangs costs its deadline, not the run.
     """
+    limits = limits or Limits()
 
-    def answer(texts: list[str]) -> list[tuple[str | None, str | None]]:
-        error = "no attempt"
-        for _ in range(max(1, max_retries)):
-            try:
-                return [(a, None) for a in predict(texts)]
-            except Exception as e:  # noqa: BLE001 - any failure of the user function is logged
-                error = str(e) or type(e).__name__
-        if len(texts) == 1:
-            return [(None, error)]
-        return [one for t in texts for one in answer([t])]
-
-    def stamp() -> datetime:
-        return datetime.now(timezone.utc).replace(tzinfo=None)
+    def stamp(seconds: float) -> datetime:
+        return datetime.fromtimestamp(seconds, timezone.utc).replace(tzinfo=None)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            started, clock = stamp(), time.monotonic()
-            got = answer(list(batch["prompt"]))
-            took = int((time.monotonic() - clock) * 1000 / max(1, len(got)))
+            got = list(ask_all(predict, list(batch["prompt"]), limits))
             yield pd.DataFrame(
                 {
                     "document_id": batch["document_id"],
                     "input_hash_sha256": batch["input_hash_sha256"],
-                    "response_text": [a for a, _ in got],
-                    "error_message": [e for _, e in got],
-                    "started_at": started,
-                    "ended_at": stamp(),
-                    "latency_ms": took,
+                    "response_text": [a.text for a in got],
+                    "error_message": [a.error for a in got],
+                    "started_at": [stamp(a.started) for a in got],
+                    "ended_at": [stamp(a.ended) for a in got],
+                    "latency_ms": [int(a.seconds * 1000) for a in got],
                 }
             )
 
@@ -254,7 +242,7 @@ def enrich(store: Store, documents: DataFrame, roles: DataFrame, task: Task, pre
         due = due_documents(documents, calls, task).where(F.col("attempts") < task.max_attempts)
         asked = not_validated_yet(prompts(roles.join(due.select("document_id"), "document_id", "left_semi"), task), calls, task)
         with store.step(run_id, "enrich.calls") as facts:
-            answers = validated(call(asked, predict, task.max_retries))
+            answers = validated(call(asked, predict, task.limits))
             store.append_log("llm_calls", call_rows(answers, task, run_id))
             logged = store.read_log("llm_calls").where(F.col("run_id") == run_id)
             facts["rows_out"] = logged.count()

@@ -38,6 +38,10 @@ LOGS = {
 }
 
 
+# Logs with a row per document: written by many tasks, and seen whole by one row of the commits.
+WIDE_LOGS = ("llm_calls",)
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -56,10 +60,15 @@ class Store:
         if not isinstance(rows, DataFrame):
             rows = self.spark.createDataFrame(list(rows), LOGS[name])
         columns = [f.split()[0] for f in LOGS[name].split(", ")]
+        if name in WIDE_LOGS:
+            self.append("etl", name, rows.select(*columns))
+            return
         # one file, so that a log write is seen whole or not at all
         rows.select(*columns).coalesce(1).write.mode("append").parquet(self._log_path(name))
 
     def read_log(self, name: str) -> DataFrame:
+        if name in WIDE_LOGS:
+            return self.read("etl", name, LOGS[name])
         if not self.exists(self._log_path(name)):
             return self.spark.createDataFrame([], LOGS[name])
         return self.spark.read.schema(LOGS[name]).parquet(self._log_path(name))

@@ -2,16 +2,18 @@
 
 import json
 import os
+import time
 from decimal import Decimal
 
 import pytest
 
 from recordmill import jobs
+from recordmill.operators.deadline import Limits, ask_all
 from recordmill.operators.enrich import Task, call, json_candidate, predict_by_rules, validated
 from recordmill.operators.quality import ChecksFailed
 from recordmill.plans import serving
 from recordmill.sources.specs import SPECS
-from recordmill.sources.store import Store
+from recordmill.sources.store import LOGS, Store
 
 TEMPLATE = "Decide.\nRoles:\n{{ROLES}}"
 
@@ -164,3 +166,55 @@ def test_a_failing_call_stays_with_its_document(spark):
     rows = {r.document_id: (r.response_text, r.error_message) for r in call(asked, predict).collect()}
     assert rows.pop("7") == (None, "boom")
     assert rows == {str(i): (f"P{i}", None) for i in range(20) if i != 7}
+
+
+def test_a_hanging_call_costs_its_deadline_only(spark):
+    asked = spark.createDataFrame([(str(i), "h", f"p{i}") for i in range(24)], "document_id string, input_hash_sha256 string, prompt string")
+
+    def predict(prompts):
+        if "p7" in prompts:
+            time.sleep(600)
+        if "p9" in prompts:
+            return ["one answer too many"] * (len(prompts) + 1)
+        return [p.upper() for p in prompts]
+
+    started = time.monotonic()
+    limits = Limits(timeout=0.5, tries=2, batch=6, workers=2)
+    found = call(asked, predict, limits, tasks=2)
+    rows = {r.document_id: r for r in found.collect()}
+    assert time.monotonic() - started < 60
+    assert rows["7"].error_message == "no answer within 0.5 s" and rows["7"].latency_ms >= 1000
+    assert rows["9"].error_message == "2 answers to 1 prompts"
+    assert {i: rows[i].response_text for i in rows} == {str(i): None if i in (7, 9) else f"P{i}" for i in range(24)}
+    assert found.rdd.getNumPartitions() == 2
+
+
+def test_tries_wait_longer_each_time(monkeypatch):
+    waits, calls = [], []
+    monkeypatch.setattr("recordmill.operators.deadline.time.sleep", waits.append)
+
+    def predict(texts):
+        calls.append(texts)
+        if len(calls) < 4:
+            raise ValueError("not yet")
+        return ["yes"]
+
+    (answer,) = ask_all(predict, ["x"], Limits(tries=5, backoff=1.0, max_backoff=1.5))
+    assert (answer.text, waits) == ("yes", [1.0, 1.5, 1.5])
+
+
+def test_the_call_log_is_written_by_many_tasks_and_seen_whole(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    columns = [f.split()[0] for f in LOGS["llm_calls"].split(", ")]
+    row = dict.fromkeys(columns) | {"run_id": "r", "validated": True}
+    rows = spark.createDataFrame([tuple((row | {"document_id": str(i)}).values()) for i in range(40)], LOGS["llm_calls"])
+    commit = Store.commit
+    monkeypatch.setattr(Store, "commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        store.append_log("llm_calls", rows)
+    assert store.read_log("llm_calls").count() == 0
+    monkeypatch.setattr(Store, "commit", commit)
+    store.append_log("llm_calls", rows.repartition(5, "document_id"))
+    assert store.read_log("llm_calls").count() == 40
+    parts = [p for p in (tmp_path / "store" / "etl" / "llm_calls").rglob("*.parquet")]
+    assert len(parts) > 2

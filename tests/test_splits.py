@@ -72,7 +72,7 @@ def test_quotes_in_plain_fields_open_nothing(spark, tmp_path, small_splits):
 def test_one_large_file_is_cut_by_many_tasks(spark, tmp_path, small_splits):
     text = text_of(9, 600)
     put(f"{tmp_path}/x.csv", text)
-    small_splits(4096)
+    small_splits(1024)
     lines = splits.lines_of(spark, [f"{tmp_path}/x.csv"])
     assert lines.rdd.getNumPartitions() > 20
     rows = splits.quoted_rows(spark, [f"{tmp_path}/x.csv"], ";")

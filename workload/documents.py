@@ -337,3 +337,80 @@ ORACLE["enrich_rules"] = f"""{_profile_ctes()}, {_CURRENT}
            company as current_employer, title as current_title,
            strftime(strptime('1 ' || regexp_extract(dates, '^(\\w{{3}}\\s+\\d{{4}})', 1), '%d %b %Y'), '%Y-%m') as since_month,
            title || ' | ' || company || ' | ' || dates as evidence from now"""
+
+
+LIMITED = en.Task(
+    "service", "status_v2", TASK.template, max_attempts=1,
+    limits=en.Limits(timeout=0.5, tries=2, backoff=0.01, batch=4, workers=4),
+)
+
+
+def _uneven_service():
+    """A service that hangs on some prompts, refuses others, gives some answers that are not valid, and takes several
+    prompts at once. It goes by the prompt's hash, so an answer does not depend on the call it was part of."""
+    import hashlib
+    import json
+    import time
+
+    def predict(texts):
+        out = []
+        for text in texts:
+            h = hashlib.sha256(text.encode()).hexdigest()
+            if h.startswith("00"):
+                time.sleep(20)
+            if h.startswith("1"):
+                raise ValueError("refused")
+            out.append("no idea" if h.startswith("2") else json.dumps({"is_current_phd": h[2] < "8", "evidence": h}))
+        return out
+
+    return predict
+
+
+def _call_log(spark: SparkSession, d: str) -> DataFrame:
+    """The stored log of a run in which calls hang, fail and give answers of no use."""
+    store = Store(spark, _scratch(spark))
+    turns = table(spark, d, "conversations").withColumn("document_id", F.col("conv_id").cast("string"))
+    roles = turns.select(
+        "document_id", F.col("turn").alias("role_index"), F.col("role").alias("title"), F.col("text").alias("company"),
+        F.lit(None).cast("string").alias("dates"), F.lit(None).cast("string").alias("location"),
+    )
+    waiting = turns.select("document_id").distinct().select(
+        "document_id", F.lit("PARSED").alias("status"), F.lit(None).cast("string").alias("error_message"),
+        F.lit("2024-01-01").cast("timestamp").alias("ingested_at"),
+    )
+    store.replace("etl", "documents", waiting)
+    run_id = en.enrich(store, store.read("etl", "documents"), roles, LIMITED, _uneven_service())
+    after = store.read("etl", "documents").select("document_id", F.col("status").alias("document_status"))
+    calls = store.read_log("llm_calls").where(F.col("run_id") == run_id)
+    in_time = (F.col("ended_at") >= F.col("started_at")) & F.col("latency_ms").between(0, 10_000)
+    return calls.join(after, "document_id").select(
+        "document_id", "model", "prompt_version", "input_hash_sha256", "parameters", "status", "error_message",
+        "response_text", "response_json", "validated", "validation_errors", in_time.alias("in_time"), "document_status",
+    )
+
+
+QUERIES["enrich_call_log"] = _call_log
+ORACLE["enrich_call_log"] = """
+    with asked as (
+        select cast(conv_id as varchar) as document_id,
+               sha256('Decide from the roles.' || chr(10) || 'Roles:' || chr(10)
+                      || string_agg('- ' || role || ' | ' || text || ' | None | None', chr(10) order by turn)
+                      || chr(10) || 'End.') as input_hash_sha256
+        from conversations group by 1),
+    answered as (
+        select *, case when input_hash_sha256 like '00%' or input_hash_sha256 like '1%' then null
+                       when input_hash_sha256 like '2%' then 'no idea'
+                       else '{"is_current_phd": ' || case when substr(input_hash_sha256, 3, 1) < '8' then 'true' else 'false' end
+                            || ', "evidence": "' || input_hash_sha256 || '"}' end as response_text
+        from asked),
+    checked as (
+        select *, case when response_text is null then 'no answer' when response_text = 'no idea' then 'not valid JSON' end as validation_errors
+        from answered)
+    select document_id, 'service' as model, 'status_v2' as prompt_version, input_hash_sha256, '{"temperature": 0.0}' as parameters,
+           case when validation_errors is null then 'SUCCESS' else 'FAILED' end as status,
+           case when input_hash_sha256 like '00%' then 'no answer within 0.5 s' when input_hash_sha256 like '1%' then 'refused'
+                when validation_errors is not null then 'Validation failed: ' || validation_errors end as error_message,
+           response_text, case when validation_errors is null then response_text end as response_json,
+           validation_errors is null as validated, validation_errors, true as in_time,
+           case when validation_errors is null then 'ENRICHED' else 'FAILED' end as document_status
+    from checked"""
