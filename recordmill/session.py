@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # A grouping that follows a join on the same key would otherwise switch skew
     # handling off, because splitting a hot partition costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keys of a stream are kept for good, so they may outgrow a heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Typing a wide table makes methods beyond the size the JVM compiles (8000 bytes);
     # such an operator runs faster with its expressions split over small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",

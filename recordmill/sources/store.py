@@ -94,6 +94,11 @@ class Store:
             rows = [r for r in rows if r.kind != "file_append" or r.part in loaded]
         return [r.part for r in rows]
 
+    def has_part(self, layer: str, table: str, part: str) -> bool:
+        """Whether a part of this name was made visible."""
+        log = self.read_log("commits").where((F.col("layer") == layer) & (F.col("table_name") == table))
+        return not log.where(F.col("part") == part).isEmpty()
+
     def _write(self, layer: str, table: str, df: DataFrame, kind: str, part: str | None) -> str:
         part = part or uuid.uuid4().hex
         self.write_part(layer, table, df, part)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,18 +66,46 @@ def unique_events(events: DataFrame, keys: Sequence[str], time: str, delay: str)
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def keep_new_events(
-    stream: DataFrame, store: Store, layer: str, table: str, keys: Sequence[str], order: Sequence[str], checkpoint: str
-) -> None:
-    """Store what is available now, each key once, however late it comes and whatever its time.
+def first_of_each(stream: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The rows of a stream whose key did not come before, however long ago; null is a key as well.
 
-    A batch appends the keys that the table does not have yet, so one that runs again after a failure adds nothing.
+    Keys live in the state store, so a batch costs its own rows and not those stored before. Without ``order`` one row
+    of the batch that brings a key is kept, and the state holds keys only. With ``order`` it is the first row by these
+    columns, nulls last, then by the others; the state then holds the kept rows too. Such a stream is written in
+    update mode.
     """
+    if not order:
+        return stream.dropDuplicates(list(keys))
+    rest = [c for c in stream.columns if c not in {*keys, *order}]
+    by = [x for c in (*order, *rest) for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    # the time of a batch is one value, and the same when the batch runs again
+    timed = stream.withColumn("__at", F.current_timestamp())
+    first = F.min(F.struct(*by)).alias("__row")
+    seen = timed.groupBy(*keys).agg(first, F.min("__at").alias("__first"), F.max("__at").alias("__last"))
+    return seen.where("__first = __last").select(*[c if c in keys else F.col(f"__row.{c}") for c in stream.columns])
+
 
-    def keep(batch: DataFrame, _: int) -> None:
-        store.insert_absent(layer, table, batch, keys, order)
+def keep_new_events(
+    stream: DataFrame, store: Store, layer: str, table: str, keys: Sequence[str], checkpoint: str, order: Sequence[str] = ()
+) -> None:
+    """Append what is available now to a table, each key once, however late it comes and whatever its time.
 
-    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    See ``first_of_each`` for which row of a key is kept. The checkpoint holds the keys, so a table keeps its own; the
+    number of state partitions is the session's number of shuffle partitions at its first use. A batch is a part with
+    a name of its own: one that runs again after a failure writes the same part again, or nothing if it was seen before.
+    """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def keep(batch: DataFrame, number: int) -> None:
+        part = f"{name}-{number}"
+        if store.has_part(layer, table, part):
+            # its keys must enter the state all the same
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            store.append(layer, table, batch, part)
+
+    writer = first_of_each(stream, keys, order).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    query = writer.outputMode("update" if order else "append").trigger(availableNow=True).start()
     query.awaitTermination()
 
 

@@ -5,7 +5,7 @@ from recordmill.plans.core import rejected_values
 from recordmill.sources.ingest import fingerprint, ingest, ingest_all, manifest
 from recordmill.sources.specs import EMPTY_MARKER, NO_TEACHER, SPECS, SourceSpec
 from recordmill.sources.store import Store
-from recordmill.streaming.incremental import ingest_stream
+from recordmill.streaming.incremental import first_of_each, ingest_stream, keep_new_events
 
 
 def write(path, text):
@@ -225,3 +225,58 @@ def test_reads_of_few_files_load_them_all(spark, tmp_path):
     ingest_all(spark, [spec], root, store, files_per_read=1)
     assert rows(store.read("staging", "any"), "x", "y") == [("1", "2"), ("3", "4")]
     assert sorted(r.status for r in store.read_log("file_manifest").collect()) == ["FAILED", "LOADED", "LOADED"]
+
+
+def arriving(spark, root, number, rows):
+    spark.createDataFrame(rows, "k string, v int, w string").coalesce(1).write.mode("append").parquet(f"{root}/{number:03}")
+    return spark.readStream.schema("k string, v int, w string").option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+
+
+@pytest.mark.parametrize("order", [(), ("v",)])
+def test_keys_of_a_stream_are_kept_in_its_state(spark, tmp_path, monkeypatch, order):
+    store, root, checkpoint = Store(spark, str(tmp_path / "store")), str(tmp_path / "in"), str(tmp_path / "cp")
+    monkeypatch.setattr(Store, "insert_absent", lambda *_: pytest.fail("stored keys were read"))
+    seen = {}
+    for number in range(5):
+        rows = [(f"k{(number * 3 + i) % 11}" if i else None, i, "b") for i in range(6)] + [(f"k{number}", -1 - number, None)]
+        for k, v, w in sorted(rows, key=lambda r: r[1]):
+            seen.setdefault((number, k), (v, w))
+        keep_new_events(arriving(spark, root, number, rows), store, "staging", "t", ["k"], checkpoint, order)
+    want = {}
+    for (_, k), row in seen.items():
+        want.setdefault(k, row)
+    got = [(r.k, (r.v, r.w)) for r in store.read("staging", "t").collect()]
+    assert sorted((k or "") for k, _ in got) == sorted((k or "") for k in want)
+    if order:
+        assert dict(got) == want
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path, monkeypatch):
+    store, root, checkpoint = Store(spark, str(tmp_path / "store")), str(tmp_path / "in"), str(tmp_path / "cp")
+    stream = arriving(spark, root, 0, [("a", 1, "x"), ("b", 2, "y"), ("a", 3, "z")])
+    append = Store.append
+
+    def then_dying(self, *args):
+        append(self, *args)
+        raise RuntimeError("after the commit")
+
+    monkeypatch.setattr(Store, "append", then_dying)
+    with pytest.raises(Exception):
+        keep_new_events(stream, store, "staging", "t", ["k"], checkpoint)
+    monkeypatch.setattr(Store, "append", append)
+    keep_new_events(arriving(spark, root, 1, [("c", 1, "x"), ("a", 9, "x")]), store, "staging", "t", ["k"], checkpoint)
+    assert sorted(r.k for r in store.read("staging", "t").collect()) == ["a", "b", "c"]
+
+
+def test_the_state_does_not_read_stored_rows(spark, tmp_path):
+    """Every batch reads its own file only, whatever is stored."""
+    root, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    for number in range(8):
+        stream = arriving(spark, root, number, [(f"{number}-{i}", i, "x") for i in range(50)])
+    read = []
+    query = first_of_each(stream, ["k"]).writeStream.foreachBatch(lambda df, i: read.append(df.count()))
+    query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert read == [50] * 8 and [p["numInputRows"] for p in batches] == [50] * 8
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in batches] == [50 * (i + 1) for i in range(8)]

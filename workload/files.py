@@ -249,9 +249,30 @@ def _stream_unique(spark: SparkSession, d: str) -> DataFrame:
         events.repartition(4, F.xxhash64("event_id", F.lit(copy))).write.mode("append").parquet(f"{root}/in")
     stream = events_stream(spark, f"{root}/in", "*.parquet", events.schema, files_per_trigger=3)
     store = Store(spark, f"{root}/store")
-    keep_new_events(stream, store, "staging", "events", ["event_id"], ["user_id", "event_type", "value"], f"{root}/checkpoint")
+    keep_new_events(stream, store, "staging", "events", ["event_id"], f"{root}/checkpoint")
     return store.read("staging", "events").select("event_id", "user_id", "event_type", "value")
 
 
 QUERIES["stream_unique_events"] = _stream_unique
 ORACLE["stream_unique_events"] = "select distinct event_id, user_id, event_type, value from events"
+
+
+def _stream_first(spark: SparkSession, d: str) -> DataFrame:
+    """The first purchase or error of each user by value; of users without one, the first event that comes later.
+
+    A user's events of one arrival are in one batch, and the stream is started once per arrival."""
+    root = _scratch(spark)
+    events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    store = Store(spark, f"{root}/store")
+    for arrived in (events.where("event_type in ('purchase', 'error') and value > 20"), events):
+        arrived.repartition(6, "user_id").write.mode("append").parquet(f"{root}/in")
+        stream = events_stream(spark, f"{root}/in", "*.parquet", events.schema, files_per_trigger=2).drop("ts", "props")
+        keep_new_events(stream, store, "staging", "first", ["user_id"], f"{root}/checkpoint", ["value", "event_id"])
+    return store.read("staging", "first").select("user_id", "event_id", "event_type", "value")
+
+
+QUERIES["stream_first_events"] = _stream_first
+ORACLE["stream_first_events"] = """with ranked as (
+        select user_id, event_id, event_type, value, event_type in ('purchase', 'error') and value > 20 as early from events)
+    select user_id, event_id, event_type, value from ranked
+    qualify row_number() over (partition by user_id order by early desc, value, event_id, event_type) = 1"""
