@@ -9,12 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RESULT = (
-    "run_id string, object_name string, check_name string, status string, "
-    "observed_value bigint, expected_value bigint, details string, created_at timestamp"
-)
-
-
 @dataclass(frozen=True)
 class Check:
     """A rule on one table.
@@ -78,29 +72,6 @@ def allowed(table: str, column: str, values: Sequence[str], severity: str = "err
 ROW_KINDS = ("not_null", "expression", "allowed")
 
 
-def _result(observed: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(check number, failures) as columns ``__c0``.. of one row, to result rows."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c.table).alias("object_name"),
-                F.lit(c.name).alias("check_name"),
-                F.lit("WARN" if c.severity == "warn" else "FAIL").alias("on_failure"),
-                F.col(f"__c{i}").alias("observed_value"),
-                F.lit(c.details).alias("details"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return observed.select(F.explode(rows).alias("r")).select("r.*")
-
-
-def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row checks of one table in a single pass."""
-    counts = [F.count_if(c.row_fails()).alias(f"__c{i}") for i, c in enumerate(checks)]
-    return _result(df.agg(*counts), checks)
-
-
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; keys with a null are not compared."""
     known = reduce(lambda d, c: d.where(F.col(c).isNotNull()), columns, df)
@@ -118,35 +89,79 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return values.join(keys, column, "left_anti")
 
 
-def _one(df: DataFrame, check: Check) -> DataFrame:
-    return _result(df, [check])
+def _key(columns: Sequence[Column]) -> Column:
+    """The values of a key as one text; null if one of them is."""
+    known = reduce(Column.__and__, [c.isNotNull() for c in columns])
+    return F.when(known, F.to_json(F.struct(*[c.alias(f"v{i}") for i, c in enumerate(columns)])))
+
+
+def _entries(table: str, checks: Sequence[Check]) -> list[Column]:
+    """What a row of a table adds to the checks: (check, key, rows, is_parent) or null.
+
+    A failed row rule counts as one row of the check, without a key; a key counts as a row of it; a value that other
+    tables refer to stands as a parent.
+    """
+
+    def entry(number: int, key: Column, rows: int) -> Column:
+        return F.struct(
+            F.lit(number).alias("check"), key.cast("string").alias("key"), F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(rows == 0).alias("is_parent"),
+        )
+
+    out = []
+    for i, c in enumerate(checks):
+        if c.table == table and c.kind in ROW_KINDS:
+            out.append(F.when(c.row_fails(), entry(i, F.lit(None), 1)))
+        elif c.table == table:
+            # values that refer to another table are compared as text
+            key = _key([F.col(x).cast("string") if c.parent else F.col(x) for x in c.columns])
+            out.append(F.when(key.isNotNull(), entry(i, key, 1)))
+        if c.kind == "relationship" and c.parent == table:
+            key = _key([F.col(c.parent_column).cast("string")])
+            out.append(F.when(key.isNotNull(), entry(i, key, 0)))
+    return out
+
+
+def check_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """(check, observed_value) of the checks with failures, ``check`` being the number in ``checks``.
+
+    Every table is read once: a row is expanded into what it adds to each check, and all entries are grouped by check
+    and key in one shuffle, counted before they move. A group with more than one row is a duplicate; a group without
+    a parent is an orphan.
+    """
+    if unknown := {t for c in checks for t in (c.table, c.parent) if t} - set(tables):
+        raise KeyError(f"checks of tables that are not given: {sorted(unknown)}")
+    parts = []
+    for name, df in tables.items():
+        entries = _entries(name, checks)
+        if entries:
+            parts.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
+    kinds = {k: [i for i, c in enumerate(checks) if c.kind == k] for k in ("unique", "relationship")}
+    keyed = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(
+        F.sum("rows").alias("rows"), F.bool_or("is_parent").alias("has_parent")
+    )
+    failed = (
+        F.when(F.col("check").isin(kinds["unique"]), (F.col("rows") > 1).cast("bigint"))
+        .when(F.col("check").isin(kinds["relationship"]), F.when(F.col("has_parent"), 0).otherwise(F.col("rows")))
+        .otherwise(F.col("rows"))
+    )
+    return keyed.groupBy("check").agg(F.sum(failed).cast("bigint").alias("observed_value"))
 
 
 def run_checks(
     tables: Mapping[str, DataFrame], checks: Sequence[Check], run_id: str, created_at: str
 ) -> DataFrame:
     """Result rows for all checks, ready to append to the results table."""
-    results = []
-    for table in dict.fromkeys(c.table for c in checks):
-        own = [c for c in checks if c.table == table]
-        by_row = [c for c in own if c.kind in ROW_KINDS]
-        if by_row:
-            results.append(row_checks(tables[table], by_row))
-        for c in own:
-            if c.kind == "unique":
-                found = duplicate_keys(tables[table], c.columns)
-                results.append(_one(found.agg(F.count("*").alias("__c0")), c))
-            elif c.kind == "relationship":
-                found = orphans(tables[table], c.columns[0], tables[c.parent], c.parent_column)
-                total = F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("__c0")
-                results.append(_one(found.agg(total), c))
-    found = reduce(DataFrame.unionByName, results)
-    return found.select(
+    listed = [(i, c.table, c.name, "WARN" if c.severity == "warn" else "FAIL", c.details) for i, c in enumerate(checks)]
+    spark = next(iter(tables.values())).sparkSession
+    rules = spark.createDataFrame(listed, "check int, object_name string, check_name string, on_failure string, details string")
+    observed = F.coalesce("observed_value", F.lit(0).cast("bigint"))
+    return rules.join(F.broadcast(check_counts(tables, checks)), "check", "left").select(
         F.lit(run_id).alias("run_id"),
         "object_name",
         "check_name",
-        F.when(F.col("observed_value") > 0, F.col("on_failure")).otherwise("PASS").alias("status"),
-        F.col("observed_value").cast("bigint").alias("observed_value"),
+        F.when(observed > 0, F.col("on_failure")).otherwise("PASS").alias("status"),
+        observed.alias("observed_value"),
         F.lit(0).cast("bigint").alias("expected_value"),
         "details",
         F.lit(created_at).cast("timestamp").alias("created_at"),

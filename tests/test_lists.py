@@ -46,6 +46,31 @@ def test_a_list_beyond_a_cell_fails_and_names_its_group(spark):
         lists(spark, make_rows(), cell_bytes=20_000).collect()
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_ranges_give_the_same_lists(spark, ranges):
+    rows = make_rows()
+    got = lists(spark, rows, ranges=ranges)
+    assert got.columns == ["k", "n", "txt"]
+    assert {r.k: (r.n, r.txt) for r in got.collect()} == expected(rows, ";\n")
+    with pytest.raises(PySparkException, match='does not fit a cell: {"k":"hot"}'):
+        lists(spark, rows, cell_bytes=20_000, ranges=ranges).collect()
+
+
+def test_a_hot_group_is_listed_by_many_tasks_and_checked_before_it_is_joined(spark):
+    rows = [(None if i % 3 else "hot", i, f"item {i}") for i in range(9000)]
+    df = spark.createDataFrame(rows, "k string, o int, t string")
+    plan = text_list(df, ["k"], F.col("t"), [F.col("o")], ",", "txt", ranges=12)
+    assert [(r.k, r.txt) for r in plan.orderBy("k").collect()] == [
+        (k, ",".join(t for a, _, t in rows if a == k)) for k in (None, "hot")
+    ]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in text and "REPARTITION_BY_NUM" in text
+    # read from below: pieces, the sum over their sizes, the check, the join of the pieces
+    assert text.index("listagg(__piece") < text.index("raise_error") < text.index("listagg(__item")
+    dealt = df.repartitionByRange(12, "k", "o").select("k", F.spark_partition_id().alias("p")).distinct()
+    assert dealt.where("k = 'hot'").count() >= 3
+
+
 def test_items_are_those_of_the_lists(spark):
     rows = make_rows()
     df = spark.createDataFrame(rows, "k string, o int, t string")

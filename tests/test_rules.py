@@ -118,3 +118,26 @@ def test_core_checks_are_complete():
     assert len(rules) == 59 and sum(c.severity == "warn" for c in rules) == 10
     assert {k: kinds.count(k) for k in set(kinds)} == {"not_null": 27, "unique": 12, "relationship": 11, "expression": 9}
     assert {c.table for c in rules} == {*core.SOURCES, "mobilita_internazionale_con_studenti"}
+
+
+def test_all_checks_read_a_table_once(spark, tmp_path):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "z"), (9, "a"), (9, "a")], "k int, v string")
+    parent = spark.createDataFrame([(1, 1.5), (2, -2.0), (2, 3.0)], "id long, x double")
+    for name, df in (("c", child), ("p", parent)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in "cp"}
+    rules = [
+        *dq.not_null("c", "k", "v"), dq.unique("c", "k"), dq.unique("c", "k", "v"), dq.unique("p", "id", severity="warn"),
+        dq.relationship("c", "k", "p", "id"), dq.expression("p", "x", "x > 0"), dq.allowed("c", "v", ("a", "b", "z")),
+    ]
+    out = dq.run_checks(tables, rules, "r", "2024-01-01")
+    got = {(r.object_name, r.check_name): (r.status, r.observed_value) for r in out.collect()}
+    assert got == {
+        ("c", "not_null.k"): ("FAIL", 1), ("c", "not_null.v"): ("FAIL", 1), ("c", "unique.k"): ("FAIL", 2),
+        ("c", "unique.k_v"): ("FAIL", 1), ("p", "unique.id"): ("WARN", 1), ("c", "relationship.k"): ("FAIL", 2),
+        ("p", "expression.x"): ("FAIL", 1), ("c", "allowed.v"): ("PASS", 0),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2
+    with pytest.raises(KeyError, match="q"):
+        dq.run_checks(tables, [dq.relationship("c", "k", "q", "id")], "r", "2024-01-01")

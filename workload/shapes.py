@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordmill.functions import clean
 from recordmill.functions.keys import surrogate_key, text_hash
 from recordmill.operators.dedup import keep_first, keep_latest
+from recordmill.operators.lists import text_list
 from recordmill.operators.reshape import drop_marker, explode_list, unpivot_years, years_to_rows
 from recordmill.operators.resolve import exclude_by_initial, fill_id_by_unique_name
 from workload.oracle import METRICS, YEARS, sql
@@ -179,3 +180,20 @@ ORACLE["exclude_by_initial"] = """
     select s_name as name, ' N' || cast(s_nationkey as varchar) || right(s_name, 2) as surname,
            '.' || left(right(s_name, 2), 1) as given
     from supplier where not exists (select 1 from customer where c_nationkey = s_nationkey and right(c_name, 2) = right(s_name, 2))"""
+
+
+def _hot_list(spark: SparkSession, d: str) -> DataFrame:
+    """A third of all order lines on one key: its list is made in ranges by many tasks."""
+    lines = table(spark, d, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("l_suppkey")).alias("supplier"), "l_quantity", "l_shipdate",
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("line"),
+    )
+    total = F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
+    return text_list(lines, ["supplier"], F.col("line"), [F.col("l_shipdate")], "; ", "lines", [total], ranges=64)
+
+
+QUERIES["list_hot_group"] = _hot_list
+ORACLE["list_hot_group"] = """
+    select case when l_orderkey % 3 <> 0 then l_suppkey end as supplier, sum(l_quantity::bigint)::bigint as quantity,
+           string_agg(l_orderkey || '-' || l_linenumber, '; ' order by l_shipdate, l_orderkey || '-' || l_linenumber) as lines
+    from lineitem group by 1"""
