@@ -107,7 +107,7 @@ def _ranking(distribuzione_di_ore: DataFrame, cicli: Sequence[str], anno: int, h
     return (
         hours_by_kind(distribuzione_di_ore, cicli, anno)
         .select("matricola", "nome", "cognome", "ciclo", "anno", hours)
-        .orderBy(F.desc(hours), "matricola")
+        .orderBy(F.desc(hours), "matricola", "ciclo", "cognome", "nome")
     )
 
 

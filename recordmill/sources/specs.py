@@ -17,7 +17,7 @@ NULL_TOKENS = (
     "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Keys carried by the path: pattern with one group, matched on the whole path.
+# Fixed patterns of the input's paths, which carry keys: pattern with one group, matched on the whole path.
 STUDENT_IN_NAME = r"/(\d+)_"
 CYCLE_IN_FOLDER = r"/cicli/(\d+)/"
 COURSE_IN_NAME = r"/(?:dettaglio_corso_)?([A-Za-z0-9]+)_\d{4}\.csv\z"

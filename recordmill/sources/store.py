@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from recordmill.operators.dedup import keep_first
 
+# Names and columns of the control tables.
 LOGS = {
     "commits": "layer string, table_name string, kind string, part string, committed_at timestamp",
     "runs": "run_id string, pipeline_name string, triggered_by string, started_at timestamp, "

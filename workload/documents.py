@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordmill.operators import documents as docs
 from recordmill.operators import enrich as en
+from recordmill.operators.ranking import with_position
 from recordmill.session import shared_dir
 from recordmill.sources.store import Store
 from workload.tables import table
@@ -19,6 +20,7 @@ QUERIES, ORACLE = {}, {}
 
 _SPACE = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
 _BREAK = "\\r\\n|[\\n\\x{0B}\\f\\r\\x{85}\\x{2028}\\x{2029}]"
+# The months of the input's dates.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
@@ -194,6 +196,7 @@ def _work(spark: SparkSession, d: str) -> DataFrame:
     return en.work_list(waiting, _calls(spark, d), TASK)
 
 
+QUERIES["enrich_work_order"] = lambda spark, d: with_position(_work(spark, d)).select("position", "document_id")
 QUERIES["enrich_work_list"] = _work
 ORACLE["enrich_work_list"] = f"""with {_CALLS_SQL},
     tried as (select document_id, count(*) as n from calls
@@ -204,6 +207,8 @@ ORACLE["enrich_work_list"] = f"""with {_CALLS_SQL},
     select w.document_id, w.status, w.ingested_at, coalesce(n, 0) as attempts
     from w left join tried on tried.document_id = w.document_id
     where status in ('PARSED', 'NEEDS_REVIEW') or (status = 'FAILED' and coalesce(n, 0) < 1)"""
+ORACLE["enrich_work_order"] = f"""select row_number() over (order by ingested_at desc nulls last, document_id) as position, document_id
+    from ({ORACLE["enrich_work_list"]})"""
 
 
 def _turn_prompts(spark: SparkSession, d: str) -> DataFrame:

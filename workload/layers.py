@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordmill.operators.ranking import with_position
 from recordmill.plans import core, marts, serving
-from workload.oracle import METRICS, sql, whole
+from workload.oracle import CLEAN_NAME, METRICS, OR_DEFAULT, sql, whole
 from workload.staging import staging
 
 QUERIES, ORACLE = {}, {}
@@ -181,3 +182,56 @@ for _variable, (_table, _column) in serving.VARIABLES.items():
     QUERIES[_key] = lambda spark, d, t=_table, c=_column: serving.variable_values(core_table(spark, d, t), c)
     _cte = f"core_{_short(_table)}"
     ORACLE[_key] = sql(f"select distinct {_column} from {_cte}", _cte)
+
+
+# The order of the ordered results, as a position column.
+_TOTAL = "coalesce(ore_hard, 0) + coalesce(ore_soft, 0)"
+_TIES = ", ".join(f"{c} nulls first" for c in ("matricola", "cognome", "nome", "ciclo"))
+QUERIES["order_training_hours_by_cycle"] = lambda spark, d: with_position(
+    serving.training_hours_by_cycle(mart(spark, d, "ore_di_formazione"), CYCLE)
+).select("position", "matricola", "cognome", "nome", "ore_hard", "ore_soft")
+ORACLE["order_training_hours_by_cycle"] = sql(
+    f"""select row_number() over (order by {_TOTAL} desc, {_TIES}) as position, matricola, cognome, nome, ore_hard, ore_soft
+    from ({_TRAINING.format(key="ciclo", order="year", test=f"cast(ciclo as int) = {CYCLE}")})""",
+    "mart_ore_di_formazione",
+)
+_KIND_TOTAL = " + ".join(f'coalesce("{t}", 0)' for t in marts.KINDS.values())
+_KIND_TIES = ", ".join(f"{c} nulls first" for c in ("cognome", "nome", "ciclo", "matricola"))
+QUERIES["order_pubblicazione_dettaglio"] = lambda spark, d: with_position(mart(spark, d, "pubblicazione_dettaglio", ordered=True)).drop(
+    *marts.KINDS.values()
+)
+ORACLE["order_pubblicazione_dettaglio"] = sql(
+    f"""select row_number() over (order by {_KIND_TOTAL} desc, {_KIND_TIES}) as position, matricola, cognome, nome, ciclo
+    from mart_pubblicazione_dettaglio""",
+    "mart_pubblicazione_dettaglio",
+)
+for _title, _fn, _hour in (
+    ("lecture", serving.lecture_hours_ranking, "hour_les"),
+    ("exercise", serving.exercise_hours_ranking, "hour_ex"),
+    ("lab", serving.lab_hours_ranking, "hour_lab"),
+    ("tutoring", serving.tutoring_hours_ranking, "hour_tut"),
+):
+    QUERIES[f"order_{_title}_hours"] = lambda spark, d, f=_fn: with_position(f(mart(spark, d, "distribuzione_di_ore"), CYCLES, YEAR))
+    ORACLE[f"order_{_title}_hours"] = sql(
+        f"""select row_number() over (order by {_hour} desc nulls last, matricola nulls first, ciclo nulls first,
+                cognome nulls first, nome nulls first) as position,
+            matricola, nome, cognome, ciclo, cast(anno as varchar) as anno, {_hour}
+        from mart_distribuzione_di_ore where {_IN_CYCLES} and anno = {YEAR}""",
+        "mart_distribuzione_di_ore",
+    )
+
+# One status per student where the name is one student's and one document's.
+QUERIES["mart_stato_lavorativo_unique"] = lambda spark, d: mart(spark, d, "stato_lavorativo", unique=True)
+ORACLE["mart_stato_lavorativo_unique"] = sql(
+    f"""select matricola_dottorando as matricola, s.nome, s.cognome, s.ciclo, is_current_phd,
+        {OR_DEFAULT.format("current_employer")} as employer, {OR_DEFAULT.format("current_title")} as title,
+        {OR_DEFAULT.format("since_month")} as since, evidence as linkedin_exact_phrasing,
+        coalesce(f.documents, 0) as documents
+    from (select *, {CLEAN_NAME.format("nome || ' ' || cognome")} as name,
+                 count(*) over (partition by {CLEAN_NAME.format("nome || ' ' || cognome")}) as carriers from core_students) s
+    left join (select {CLEAN_NAME.format("string_split(source_file, ' _')[1]")} as name, count(*) as documents,
+                      any_value(source_file) as only_file
+               from newest_status group by 1) f on f.name = s.name
+    left join newest_status d on d.source_file = f.only_file and f.documents = 1 and s.carriers = 1""",
+    "core_students", "newest_status",
+)

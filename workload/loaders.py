@@ -1,6 +1,6 @@
 """A query per loader: the derived staging of a source, whole, written as files in the source's own layout and loaded.
 
-Path keys are made coarse, so that the number of files stays small whatever the table holds. Beside the good files
+Rows are dealt to files by a hash, and the number of files grows with the rows. Beside the good files
 stand ones that must add nothing: an empty marker, a header alone and, where columns are required, a file without one.
 A file with one row longer than its header adds its other row.
 """
@@ -34,8 +34,9 @@ PATHS = {
     "training_hours": "ore_formazione/ore_formazione_ciclo_{0}.csv",
     "publication_counters": "stat_pubb/stat_pubb_{0}.csv",
 }
-# Key values of the good files; the others have keys of their own.
-KEYS, OTHERS = ("1", "2", "3"), ("7", "8", "9", "10")
+# Keys of the good files: from FIRST on, by a hash of the row, one more for every FILE_ROWS rows. The other files have
+# keys of their own.
+FIRST, LEAST, FILE_ROWS, OTHERS = 100, 3, 500_000, ("7", "8", "9", "10")
 YEAR = {"enrolments": "2024", "course_details": "2024"}
 SECOND = "35"
 
@@ -68,19 +69,19 @@ def _write(spark: SparkSession, d: str, spec: SourceSpec, root: str) -> None:
         # one "file" of many parts: a folder of that name is read as a file is
         rows.select(*values).write.options(**options).csv(f"{root}/{spec.glob}")
         return
-    key = F.element_at(F.array(*map(F.lit, KEYS)), (F.length(F.coalesce(F.col(have[0]), F.lit(""))) % len(KEYS) + 1).cast("int"))
+    files = LEAST + rows.count() // FILE_ROWS
+    text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in have])
+    key = F.lit(FIRST) + F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int") % files
     made = f"{root}-made"
-    rows.select(*values, key.alias("__key")).repartition("__key").write.partitionBy("__key").options(**options).csv(made)
+    rows.select(*values, key.alias("__key")).repartition(files, "__key").write.partitionBy("__key").options(**options).csv(made)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path
     fs = at(made).getFileSystem(conf)
-    for k in KEYS:
-        for i, part in enumerate(fs.globStatus(at(f"{made}/__key={k}/part-*")) or []):
-            if i:
-                raise RuntimeError("a key has more than one file")
-            target = at(f"{root}/{_path(spec, k)}")
-            fs.mkdirs(target.getParent())
-            fs.rename(part.getPath(), target)
+    # all rows of a key were written by one task, so each has one file
+    for part in fs.globStatus(at(f"{made}/__key=*/part-*")) or []:
+        target = at(f"{root}/{_path(spec, part.getPath().getParent().getName().removeprefix('__key='))}")
+        fs.mkdirs(target.getParent())
+        fs.rename(part.getPath(), target)
     head = spec.separator.join(spec.columns)
     short = spec.separator.join(c for c in spec.columns if c not in spec.must_have)
     good = spec.separator.join(["v"] * len(spec.columns))
@@ -107,7 +108,9 @@ def _expected(spec: SourceSpec, have: list[str]) -> str:
         return f"trim({text})" if spec.explode and c == spec.explode[0] else text
 
     keys = list(spec.path_fields)
-    first = f"[{', '.join(repr(k) for k in KEYS)}][length(coalesce({have[0]}, '')) % {len(KEYS)} + 1]"
+    text = "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in have) + ")"
+    files = f"({LEAST} + (select count(*) from stg_{spec.table}) // {FILE_ROWS})"
+    first = f"cast({FIRST} + ('0x' || substr(md5({text}), 1, 6))::int % {files} as varchar)"
     at = {0: first, 1: f"'{YEAR.get(spec.name, SECOND)}'"}
     shown = [f"{at[i]} as {k}" for i, k in enumerate(keys)] + [f"{value(c)} as {c}" for c in spec.columns.values()]
     query = f"select {', '.join(shown)} from stg_{spec.table}"

@@ -77,42 +77,47 @@ YEARS = (2025, 2024, 2023, 2022)
 METRICS = ("iscritti", "superati", "iis_iscritti", "iis_superati")
 
 
-def _many(kind, names: str) -> list[tuple[str, str]]:
-    return [(n, kind(n)) for n in names.split()]
+def _many(kind, names: Sequence[str]) -> list[tuple[str, str]]:
+    return [(n, kind(n)) for n in names]
 
 
-# core table -> (staging table, typed columns, key columns or hashed columns)
+# Core table -> (staging table, typed columns); below, the columns that a hashed key is made of.
 CORE_COLUMNS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "students": (
         "students",
-        _many(txt, "matricola_dottorando matricola_dipendente_docente cognome nome ciclo tutore co_tutore status")
+        _many(txt, (
+            "matricola_dottorando", "matricola_dipendente_docente", "cognome", "nome", "ciclo", "tutore",
+            "co_tutore", "status",
+        ))
         + [("email", low("email"))]
-        + _many(h, "ore_soft_skills ore_hard_skills")
-        + _many(p12, "punti_soft_skills punti_hard_skills punti_attivita_fuorisede punti_totali"),
+        + _many(h, ("ore_soft_skills", "ore_hard_skills"))
+        + _many(p12, ("punti_soft_skills", "punti_hard_skills", "punti_attivita_fuorisede", "punti_totali")),
     ),
     "attivita_interne": (
         "attivita_formative_interne",
-        _many(txt, "matricola ciclo cod_ins nome_insegnamento voto tipo_form liv_esame tipo_attivita")
-        + _many(dec0, "ore ore_riconosciute coeff_voto punti")
+        _many(txt, (
+            "matricola", "ciclo", "cod_ins", "nome_insegnamento", "voto", "tipo_form", "liv_esame", "tipo_attivita",
+        ))
+        + _many(dec0, ("ore", "ore_riconosciute", "coeff_voto", "punti"))
         + [("data_esame", dmy("data_esame")), ("anno", f"cast(year({dmy('data_esame')}) as integer)")],
     ),
     "attivita_esterne": (
         "attivita_formative_esterne",
-        _many(txt, "matricola ciclo denominazione tipo_form tipo_richiesta liv_esame")
-        + _many(h, "ore_dichiarate ore_riconosciute ore_calcolate")
+        _many(txt, ("matricola", "ciclo", "denominazione", "tipo_form", "tipo_richiesta", "liv_esame"))
+        + _many(h, ("ore_dichiarate", "ore_riconosciute", "ore_calcolate"))
         + [("coeff_voto", f84("coeff_voto")), ("punti", p12("punti"))]
-        + _many(dmy, "data_attivita data_convalida"),
+        + _many(dmy, ("data_attivita", "data_convalida")),
     ),
     "attivita_fuori_sede": (
         "attivita_formative_fuorisede",
-        _many(txt, "matricola ciclo denominazione luogo ente periodo")
-        + _many(dmy_loose, "data_autorizzazione data_aut_pagamento data_attestaz data_convalida"),
+        _many(txt, ("matricola", "ciclo", "denominazione", "luogo", "ente", "periodo"))
+        + _many(dmy_loose, ("data_autorizzazione", "data_aut_pagamento", "data_attestaz", "data_convalida")),
     ),
     "publications": (
         "pubblicazioni",
-        _many(txt, "titolo tipo rivista autori convegno referee")
+        _many(txt, ("titolo", "tipo", "rivista", "autori", "convegno", "referee"))
         + [("anno", year4("anno"))]
-        + _many(signed, "indicatore_r errore_val")
+        + _many(signed, ("indicatore_r", "errore_val"))
         + [
             ("autore_cognome", f"split_part({txt('autori')}, ', ', 1)"),
             ("autore_nome", f"split_part({txt('autori')}, ', ', 2)"),
@@ -120,7 +125,7 @@ CORE_COLUMNS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     ),
     "student_publications": (
         "pubblicazioni",
-        _many(txt, "matricola titolo")
+        _many(txt, ("matricola", "titolo"))
         + [
             ("grado_proprieta_dottorandi", s62("grado_proprieta_dottorandi")),
             ("punteggio", p12("punteggio")),
@@ -129,52 +134,54 @@ CORE_COLUMNS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     ),
     "students_courses": (
         "corsi",
-        _many(
-            txt,
-            "cod_ins matricola cognome nome cod_insegnamento_col cod_corso_dottorato periodo_didattico stato",
-        )
+        _many(txt, (
+            "cod_ins", "matricola", "cognome", "nome", "cod_insegnamento_col", "cod_corso_dottorato",
+            "periodo_didattico", "stato",
+        ))
         + [("anno", year4("anno"))],
     ),
     "course_details": (
         "dettaglio_corso",
-        _many(txt, "cod_ins type teacher status ssd")
+        _many(txt, ("cod_ins", "type", "teacher", "status", "ssd"))
         + [("anno", year4("anno"))]
-        + _many(h, "h_les h_ex h_lab h_tut")
+        + _many(h, ("h_les", "h_ex", "h_lab", "h_tut"))
         + [("years_teaching", integer("years_teaching"))],
     ),
     "journal_details": (
         "journal_details",
-        _many(txt, "matricola ciclo cognome nome titolo")
+        _many(txt, ("matricola", "ciclo", "cognome", "nome", "titolo"))
         + [("issn", issn("issn")), ("anno", year4("anno")), ("quartile", quart("quartile"))],
     ),
     "ore_formazione": (
         "ore_formazione",
-        _many(txt, "matricola ciclo cognome nome tutor") + _many(h, "ore_soft_skill ore_hard_skill ore_totali"),
+        _many(txt, ("matricola", "ciclo", "cognome", "nome", "tutor")) + _many(h, ("ore_soft_skill", "ore_hard_skill", "ore_totali")),
     ),
     "stat_pubb": (
         "stat_pubb",
-        _many(txt, "matricola ciclo cognome nome")
-        + _many(
-            integer,
-            "numero_journal numero_conferenze numero_capitoli numero_poster numero_abstract numero_brevetti",
-        ),
+        _many(txt, ("matricola", "ciclo", "cognome", "nome"))
+        + _many(integer, (
+            "numero_journal", "numero_conferenze", "numero_capitoli", "numero_poster", "numero_abstract",
+            "numero_brevetti",
+        )),
     ),
     "collaborazioni_dettaglio": (
         "collaborazioni_dettaglio",
         [("matricola", txt("matricola_dott"))]
-        + _many(txt, "cognome nome ciclo tutor tipo_attivita materia docente corso_di_laurea")
+        + _many(txt, (
+            "cognome", "nome", "ciclo", "tutor", "tipo_attivita", "materia", "docente", "corso_di_laurea",
+        ))
         + [("ore", h("ore"))],
     ),
     "filtered_iu_stats": (
         "filtered_iu_stats",
-        _many(txt, "cod_ins nome_insegnamento docente")
-        + _many(integer, " ".join(f"{m}_{y}" for y in YEARS for m in METRICS)),
+        _many(txt, ("cod_ins", "nome_insegnamento", "docente"))
+        + _many(integer, [f"{m}_{y}" for y in YEARS for m in METRICS]),
     ),
     "mobilita": (
         "mobilita_internazionale_con_studenti",
-        _many(txt, "matricola cognome nome tutore ciclo tipo paese ente periodo")
+        _many(txt, ("matricola", "cognome", "nome", "tutore", "ciclo", "tipo", "paese", "ente", "periodo"))
         + [("durata_giorni", integer("durata_giorni")), ("anno", year4("anno"))]
-        + _many(dmy, "data_autorizzazione data_pagamento"),
+        + _many(dmy, ("data_autorizzazione", "data_pagamento")),
     ),
 }
 
@@ -185,21 +192,32 @@ KEYS = {
     "course_details": ["cod_ins", "anno"],
 }
 HASHED = {
-    "attivita_interne": "matricola ciclo cod_ins nome_insegnamento data_esame tipo_form liv_esame tipo_attivita "
-    "ore ore_riconosciute voto coeff_voto punti",
-    "attivita_esterne": "matricola ciclo denominazione tipo_form tipo_richiesta liv_esame data_attivita "
-    "data_convalida ore_dichiarate ore_riconosciute ore_calcolate coeff_voto punti",
-    "attivita_fuori_sede": "matricola ciclo denominazione luogo ente periodo data_autorizzazione "
-    "data_aut_pagamento data_attestaz data_convalida",
-    "journal_details": "matricola ciclo titolo issn anno quartile",
-    "ore_formazione": "matricola ciclo tutor ore_soft_skill ore_hard_skill ore_totali",
-    "stat_pubb": "matricola ciclo numero_journal numero_conferenze numero_capitoli numero_poster numero_abstract "
-    "numero_brevetti",
-    "collaborazioni_dettaglio": "matricola ciclo tutor tipo_attivita materia docente corso_di_laurea ore",
-    "filtered_iu_stats": "cod_ins nome_insegnamento docente",
+    "attivita_interne": (
+        "matricola", "ciclo", "cod_ins", "nome_insegnamento", "data_esame", "tipo_form", "liv_esame",
+        "tipo_attivita", "ore", "ore_riconosciute", "voto", "coeff_voto", "punti",
+    ),
+    "attivita_esterne": (
+        "matricola", "ciclo", "denominazione", "tipo_form", "tipo_richiesta", "liv_esame", "data_attivita",
+        "data_convalida", "ore_dichiarate", "ore_riconosciute", "ore_calcolate", "coeff_voto", "punti",
+    ),
+    "attivita_fuori_sede": (
+        "matricola", "ciclo", "denominazione", "luogo", "ente", "periodo", "data_autorizzazione",
+        "data_aut_pagamento", "data_attestaz", "data_convalida",
+    ),
+    "journal_details": ("matricola", "ciclo", "titolo", "issn", "anno", "quartile"),
+    "ore_formazione": ("matricola", "ciclo", "tutor", "ore_soft_skill", "ore_hard_skill", "ore_totali"),
+    "stat_pubb": (
+        "matricola", "ciclo", "numero_journal", "numero_conferenze", "numero_capitoli", "numero_poster",
+        "numero_abstract", "numero_brevetti",
+    ),
+    "collaborazioni_dettaglio": (
+        "matricola", "ciclo", "tutor", "tipo_attivita", "materia", "docente", "corso_di_laurea", "ore",
+    ),
+    "filtered_iu_stats": ("cod_ins", "nome_insegnamento", "docente"),
 }
 MOBILITY_HASHED = (
-    "matricola cognome nome ciclo tipo paese ente periodo durata_giorni anno data_autorizzazione data_pagamento"
+    "matricola", "cognome", "nome", "ciclo", "tipo", "paese", "ente", "periodo", "durata_giorni", "anno",
+    "data_autorizzazione", "data_pagamento",
 )
 
 
@@ -225,7 +243,7 @@ def _core_sql(name: str) -> str:
         present = " and ".join(f"{k} is not null" for k in keys)
         return latest_sql(f"(select * from ({typed_sql(name)}) where {present})", keys, columns)
     if name in HASHED:
-        keyed = f"(select *, {md5_key(HASHED[name].split())} as id from ({typed_sql(name)}))"
+        keyed = f"(select *, {md5_key(HASHED[name])} as id from ({typed_sql(name)}))"
         return latest_sql(keyed, ["id"], columns)
     return f"select * exclude (loaded_at, source_file) from ({typed_sql(name)})"
 
@@ -245,7 +263,7 @@ CTES["core_journal_details"] = (
 )
 CTES["core_mobilita"] = (
     latest_sql(
-        f"""(select *, {md5_key(MOBILITY_HASHED.split())} as id from (
+        f"""(select *, {md5_key(MOBILITY_HASHED)} as id from (
             select m.* replace (case when m.matricola is not null then m.matricola
                                      when n.cnt = 1 then n.one end as matricola),
                    n.cnt as matched_students_count
@@ -339,20 +357,22 @@ CTES["mart_distribuzione_di_ore"] = (
                where matricola is not null group by matricola, e.anno) t using (matricola)""",
     ["core_students", "core_students_courses", "core_course_details"],
 )
-_CLEAN_NAME = "array_to_string(list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> ''), ' ')"
-_OR_DEFAULT = "if(d.source_file is null, 'Unknown', coalesce(nullif(trim({0}), ''), 'No experience section in linkedin page'))"
+CLEAN_NAME = "array_to_string(list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> ''), ' ')"
+OR_DEFAULT = "if(d.source_file is null, 'Unknown', coalesce(nullif(trim({0}), ''), 'No experience section in linkedin page'))"
+CTES["newest_status"] = (
+    """with files as (select distinct document_id, source_file from stg_work_experience_raw where source_file is not null)
+    select * from stg_phd_status join files using (document_id)
+    qualify row_number() over (partition by source_file order by since_month desc nulls last, document_id) = 1""",
+    ["stg_phd_status", "stg_work_experience_raw"],
+)
 CTES["mart_stato_lavorativo"] = (
-    f"""with files as (select distinct document_id, source_file from stg_work_experience_raw),
-    newest as (select * from stg_phd_status join files using (document_id)
-               qualify row_number() over (partition by source_file
-                                          order by since_month desc nulls last, document_id) = 1)
-    select matricola_dottorando as matricola, nome, cognome, ciclo, is_current_phd,
-           {_OR_DEFAULT.format("current_employer")} as employer, {_OR_DEFAULT.format("current_title")} as title,
-           {_OR_DEFAULT.format("since_month")} as since, evidence as linkedin_exact_phrasing
+    f"""select matricola_dottorando as matricola, nome, cognome, ciclo, is_current_phd,
+           {OR_DEFAULT.format("current_employer")} as employer, {OR_DEFAULT.format("current_title")} as title,
+           {OR_DEFAULT.format("since_month")} as since, evidence as linkedin_exact_phrasing
     from core_students s
-    left join newest d on {_CLEAN_NAME.format("s.nome || ' ' || s.cognome")}
-                        = {_CLEAN_NAME.format("string_split(d.source_file, ' _')[1]")}""",
-    ["core_students", "stg_phd_status", "stg_work_experience_raw"],
+    left join newest_status d on {CLEAN_NAME.format("s.nome || ' ' || s.cognome")}
+                        = {CLEAN_NAME.format("string_split(d.source_file, ' _')[1]")}""",
+    ["core_students", "newest_status"],
 )
 CTES["mart_mobilita"] = (
     """select matricola, cognome, nome, durata_giorni, ciclo, anno, paese, tipo, ente
