@@ -30,10 +30,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Parameters of the network and its training.
-WINDOW, STEP = 96, 48
+WINDOW = 96  # of training
+READ, SHARED = 384, 48  # characters of a window that is read, and those it shares with the next
+STEP = READ - SHARED
+HELD = 1008 * STEP  # characters whose scores are held at a time
 HIDDEN = 12
 SAMPLE_ROWS = 200  # rows of the table whose base spans are added to the training texts
-EPOCHS = 16
+EPOCHS = 18
 BATCH = 128
 MIN_PROB = 0.6
 CHUNK = 512  # windows read side by side
@@ -43,6 +46,7 @@ SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 )
 TRIGGER = re.compile("[0-9@]")
+ADDRESS = re.compile(r"(@|\bat\b).*\.", re.S)  # what an added address holds at least
 CHARS = "\x00 \n@.+-()_%:/,;!?\"'" + "abcdefghijklmnopqrstuvwxyz"
 CLASSES = len(CHARS) + 4  # and capital, digit, other letter, other
 
@@ -105,8 +109,9 @@ class Tagger:
     params: dict[str, np.ndarray]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _gate(x: np.ndarray) -> np.ndarray:
+    """The piecewise linear sigmoid; ``2 * _gate(2 * x) - 1`` is the piecewise linear tanh."""
+    return np.clip(0.25 * x + 0.5, 0, 1)
 
 
 def _lstm(gates_in: np.ndarray, recur: np.ndarray, keep: bool = False):
@@ -117,13 +122,12 @@ def _lstm(gates_in: np.ndarray, recur: np.ndarray, keep: bool = False):
     out, tape = np.empty((steps, n, size), gates_in.dtype), []
     for t in range(steps):
         z = gates_in[t] + h @ recur
-        s, g = _sigmoid(z[:, : 3 * size]), np.tanh(z[:, 3 * size :])
+        s, g = _gate(z[:, : 3 * size]), np.clip(z[:, 3 * size :], -1, 1)
         before = c
         c = s[:, size : 2 * size] * c + s[:, :size] * g
-        tc = np.tanh(c)
         if keep:
-            tape.append((h, before, s, g, tc))
-        h = s[:, 2 * size :] * tc
+            tape.append((h, before, s, g, c))
+        h = s[:, 2 * size :] * np.clip(c, -1, 1)
         out[t] = h
     return out, tape
 
@@ -134,12 +138,12 @@ def _lstm_back(d_out: np.ndarray, recur: np.ndarray, tape: list) -> tuple[np.nda
     d_gates, d_recur = np.empty((*d_out.shape[:2], 4 * size)), np.zeros_like(recur)
     dh, dc = np.zeros(d_out.shape[1:]), np.zeros(d_out.shape[1:])
     for t in range(len(tape) - 1, -1, -1):
-        h, before, s, g, tc = tape[t]
+        h, before, s, g, c = tape[t]
         i, f, o = s[:, :size], s[:, size : 2 * size], s[:, 2 * size :]
         dh = dh + d_out[t]
-        dc = dc + dh * o * (1 - tc * tc)
-        d_sig = np.concatenate([dc * g, dc * before, dh * tc], 1) * s * (1 - s)
-        dz = np.concatenate([d_sig, dc * i * (1 - g * g)], 1)
+        dc = dc + dh * o * (np.abs(c) < 1)
+        d_sig = np.concatenate([dc * g, dc * before, dh * np.clip(c, -1, 1)], 1) * 0.25 * ((s > 0) & (s < 1))
+        dz = np.concatenate([d_sig, dc * i * (np.abs(g) < 1)], 1)
         d_gates[t] = dz
         d_recur += h.T @ dz
         dh, dc = dz @ recur.T, dc * f
@@ -147,32 +151,26 @@ def _lstm_back(d_out: np.ndarray, recur: np.ndarray, tape: list) -> tuple[np.nda
 
 
 def _run(weights: np.ndarray, recur: np.ndarray, steps: np.ndarray, out: np.ndarray) -> None:
-    """Hidden states of one direction into ``out`` (steps, H, windows), without a tape: ``_lstm`` in buffers, with all
-    gates from one exponential, as sigmoid(x) = 1 / (1 + exp(-x)) and tanh(x) = 2 sigmoid(2x) - 1."""
+    """Hidden states of one direction into ``out`` (steps, H, windows), without a tape: ``_lstm`` in buffers, with the
+    gates' slopes and offsets in the weights, so that one clip makes all four."""
     size, n = recur.shape[0], steps.shape[1]
-    scale = np.repeat(np.array([-1, -1, -1, -2], np.float32), size)
-    weights, recur = weights * scale, np.ascontiguousarray((recur * scale).T)
+    slope = np.repeat(np.array([0.25, 0.25, 0.25, 0.5], np.float32), size)
+    weights, recur = weights * slope + np.float32(0.5), np.ascontiguousarray((recur * slope).T)
     x, z = np.empty((n, 4 * size), np.float32), np.empty((4 * size, n), np.float32)
     h, c, new = np.zeros((size, n), np.float32), np.zeros((size, n), np.float32), np.empty((size, n), np.float32)
-    with np.errstate(over="ignore"):
-        for t, codes in enumerate(steps):
-            np.matmul(recur, h, out=z)
-            z += np.take(weights, codes, axis=0, out=x, mode="clip").T
-            np.exp(z, out=z)
-            z += 1
-            np.divide(1, z, out=z)
-            g = z[3 * size :]
-            g *= 2
-            g -= 1
-            g *= z[:size]
-            c *= z[size : 2 * size]
-            c += g
-            np.multiply(c, -2, out=new)
-            np.exp(new, out=new)
-            new += 1
-            np.divide(2, new, out=new)
-            new -= 1
-            h = np.multiply(z[2 * size : 3 * size], new, out=out[t])
+    low, high = np.float32(0), np.float32(1)
+    for t, codes in enumerate(steps):
+        np.matmul(recur, h, out=z)
+        z += np.take(weights, codes, axis=0, out=x, mode="clip").T
+        np.clip(z, low, high, out=z)
+        g = z[3 * size :]
+        g *= 2
+        g -= 1
+        g *= z[:size]
+        c *= z[size : 2 * size]
+        c += g
+        np.clip(c, -high, high, out=new)
+        h = np.multiply(z[2 * size : 3 * size], new, out=out[t])
 
 
 def _emissions(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
@@ -219,7 +217,8 @@ def _synthetic(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
 
     def nothing() -> str:
         return r.choice([f"{r.randint(1, 9)}.{r.randint(0, 9)}.", number(r.randint(1, 7)), f"{r.randint(0, 23)}:{number(2)}", f"version {number(1)}.{number(1)}.{number(1)}",
-                         f"19{number(2)}-{number(2)}-{number(2)}", f"AKIA{number(4)}{plain(12, 12).upper()}", f"password={number(5)}{plain()}", f'"{number(9)}{plain(5, 5)}{number(9)}"', f"@{plain()}", f"{number(3)},{number(3)}"])
+                         f"19{number(2)}-{number(2)}-{number(2)}", f"AKIA{number(4)}{plain(12, 12).upper()}", f"password={number(5)}{plain()}", f'"{number(9)}{plain(5, 5)}{number(9)}"', f"@{plain()}", f"{number(3)},{number(3)}", f"{plain()}.{r.choice(['com', 'org', 'log', 'txt'])}", f"www.{plain()}.{plain()}.net",
+                         f"v{number(1)}.{number(2)}.{number(1)}-{plain(2, 4)}", f"{plain(2, 2).upper()}{number(2)} " + " ".join(number(4) for _ in range(5)) + f" {number(2)}"])
 
     make = {"email": email, "ip": ip, "card": card, "phone": phone}
     out = []
@@ -253,7 +252,8 @@ def _worded(n: int, seed: int = 11) -> list[tuple[str, list[Span]]]:
     for _ in range(n):
         text, spans = prose(1, 6), []
         if r.random() < 0.7:
-            value = f"{plain(3, 9)}{r.choice('._')}{plain(3, 9)} at {plain(3, 9)}.{r.choice(['com', 'org', 'example.com', 'net'])}"
+            name = plain(3, 9) + (f"{r.choice('._')}{plain(3, 9)}" if r.random() < 0.85 else "")
+            value = f"{name} at {plain(3, 9)}.{r.choice(['com', 'org', 'example.com', 'net'])}"
             text += " "
             spans.append(("email", len(text), len(text) + len(value)))
             text += value + r.choice(["", "", ".", ","])
@@ -261,9 +261,9 @@ def _worded(n: int, seed: int = 11) -> list[tuple[str, list[Span]]]:
     return out
 
 
-def training_windows(texts: list[str], synthetic: int = 700) -> tuple[np.ndarray, np.ndarray]:
+def training_windows(texts: list[str], synthetic: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """Windows of character classes and their tags (0: none), from generated texts and from the base spans of ``texts``."""
-    labelled = _synthetic(synthetic) + _worded(synthetic // 2)
+    labelled = _synthetic(synthetic) + _worded(synthetic * 3 // 4)
     for text in texts:
         spans = base_spans(text)
         near = [max(0, m.start() - WINDOW // 2) for m in list(TRIGGER.finditer(text))[:: WINDOW // 2]]
@@ -322,18 +322,42 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS, h
     return Tagger({n: v.astype(np.float32) for n, v in p.items()})
 
 
+def _open(scores: np.ndarray, sizes: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Places that a best path may tag other than 0, of texts end to end.
+
+    A stretch of other tags gains at most the sum of its places' gains less what entering and leaving it costs. The
+    best sum of any stretch through a place is a difference of running sums: the highest behind it less the lowest
+    before it.
+    """
+    enter, leave = trans[0, 0] - trans[0, 1:].max(), trans[0, 0] - trans[1:, 0].max()
+    inner = trans[1:, 1:].max() - trans[0, 0]
+    gain = (scores[:, 1:].max(1) - scores[:, 0]).astype(np.float64) + inner
+    ends = np.cumsum(sizes)
+    real = sizes > 0
+    first, last = (ends - sizes)[real], ends[real] - 1
+    gain[first] += enter + (start[1:] - start[0]).max()
+    gain[last] += leave
+    if not len(gain):
+        return np.zeros(0, dtype=bool)
+    total = np.cumsum(gain)
+    before = total - gain
+    # no stretch runs over the end of a text: every text's sums lie below those of the one before
+    lowest = np.minimum(np.minimum.reduceat(before, first), np.minimum.reduceat(total, first)) - before[first]
+    highest = np.maximum(np.maximum.reduceat(total, first) - before[first], 0)
+    drop = np.concatenate([[0.0], np.cumsum(lowest[:-1] - highest[1:] - 1)]) - before[first]
+    drop = np.repeat(drop, sizes[real])
+    total, before = total + drop, before + drop
+    best = np.maximum.accumulate(total[::-1])[::-1] - np.minimum.accumulate(before)
+    return best >= inner + enter + leave - 1e-3
+
+
 def _settled(scores: np.ndarray, sizes: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The best tags of texts end to end, as ``viterbi`` finds them.
 
-    Where no tag can make up for its lower score by its transitions on both sides, the best path has tag 0. Such
-    places cut the texts into short pieces that are decoded side by side, each between tags 0.
+    Places that no best path tags other than 0 cut the texts into short pieces that are decoded side by side, each
+    between tags 0.
     """
-    into = np.maximum((trans - trans[:, :1]).max(0), start - start[0])
-    from_ = np.maximum((trans - trans[:1]).max(1), 0)
-    lead = scores[:, 0] - 1e-3
-    free = np.zeros(len(scores), dtype=bool)
-    for k in range(1, scores.shape[1]):
-        free |= scores[:, k] + (into + from_)[k] >= lead
+    free = _open(scores, sizes, trans, start)
     tags = np.zeros(len(scores), dtype=np.int64)
     edge = np.zeros(len(scores) + 1, dtype=bool)
     edge[np.concatenate([[0], np.cumsum(sizes)])] = True
@@ -348,66 +372,106 @@ def _settled(scores: np.ndarray, sizes: np.ndarray, trans: np.ndarray, start: np
     return tags
 
 
+def _free(scores: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Places where another tag than 0 could make up for its lower score by its transitions on both sides."""
+    into = np.maximum((trans - trans[:, :1]).max(0), start - start[0])
+    from_ = np.maximum((trans - trans[:1]).max(1), 0)
+    lead = scores[:, 0] - 1e-3
+    free = np.zeros(len(scores), dtype=bool)
+    for k in range(1, scores.shape[1]):
+        free |= scores[:, k] + (into + from_)[k] >= lead
+    return free
+
+
 def _blended(texts: list[str], p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Tag scores of all characters of the texts end to end, and the texts' sizes. All windows of a text are read."""
+    """Tag scores of all characters of the texts end to end, and the texts' sizes. All windows of a text are read;
+    where two windows share characters, each counts the more the farther its edge is."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     counts = -(-sizes // STEP)  # a window begins at every STEP-th character
-    windows = np.zeros((counts.sum(), WINDOW), dtype=np.uint8)
+    windows = np.zeros((counts.sum(), READ), dtype=np.uint8)
     at = 0
     for text, n in zip(texts, counts.tolist()):
         if n:
-            ids = np.zeros((n - 1) * STEP + WINDOW, dtype=np.uint8)
+            ids = np.zeros((n - 1) * STEP + READ, dtype=np.uint8)
             ids[: len(text)] = char_classes(text)
-            windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(ids, WINDOW)[::STEP]
+            windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(ids, READ)[::STEP]
             at += n
-    scores = np.empty((sizes.sum(), len(p["bias"])), np.float32)
-    emit = np.empty((len(windows), WINDOW, scores.shape[1]), np.float32)
+    tags = len(p["bias"])
+    scores = np.empty((sizes.sum(), tags), np.float32)
+    emit = np.empty((len(windows), READ, tags), np.float32)
     for j in range(0, len(windows), CHUNK):
         emit[j : j + CHUNK] = _emissions(p, windows[j : j + CHUNK])
-    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
-    emit *= weight[:, None]
+    share = (np.arange(1, SHARED + 1, dtype=np.float32) / (SHARED + 1))[:, None]
     at = to = 0
     for size, n in zip(sizes.tolist(), counts.tolist()):
         if n:
-            total = np.zeros((n + WINDOW // STEP - 1, STEP, scores.shape[1]), np.float32)
-            mass = np.zeros(total.shape[:2], np.float32)
-            for k in range(WINDOW // STEP):
-                total[k : k + n] += emit[at : at + n, k * STEP : (k + 1) * STEP]
-                mass[k : k + n] += weight[k * STEP : (k + 1) * STEP]
-            total /= mass[:, :, None]
-            scores[to : to + size] = total.reshape(-1, scores.shape[1])[:size]
+            own = emit[at : at + n]
+            own[1:, :SHARED] = own[1:, :SHARED] * share + own[:-1, STEP:] * share[::-1]
+            scores[to : to + size] = np.concatenate([own[:, :STEP].reshape(-1, tags), own[-1, STEP:]])[:size]
             at += n
             to += size
     return scores, sizes
 
 
+def _parts(texts: list[str], p: dict[str, np.ndarray]) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
+    """All texts, ``HELD`` characters at a time: index and first character of each piece, and the pieces' scores and
+    sizes. A longer text is cut where its tag is 0 on any path, so that its pieces are decoded as the whole is."""
+    index: list[int] = []
+    held = 0
+    for i, text in enumerate([*texts, None]):
+        if index and (text is None or held + len(text) > HELD):
+            yield index, [0] * len(index), *_blended([texts[k] for k in index], p)
+            index, held = [], 0
+        if text is None:
+            return
+        if len(text) <= HELD:
+            index.append(i)
+            held += len(text)
+            continue
+        begin, scores = 0, np.empty((0, len(p["bias"])), np.float32)
+        for a in range(0, len(text), HELD):
+            low = max(0, a - STEP)
+            new = _blended([text[low : a + HELD + READ]], p)[0][a - low : a - low + HELD]
+            scores = np.concatenate([scores, new])
+            cut = len(scores)
+            if a + HELD < len(text):
+                settled = np.flatnonzero(~_free(scores, p["trans"], p["start"]))
+                if not len(settled) or not settled[-1]:
+                    continue
+                cut = int(settled[-1])
+            # the settled place ends one piece and begins the next
+            piece = scores[: cut + 1]
+            yield [i], [begin], piece, np.array([len(piece)])
+            begin, scores = begin + cut, scores[cut:]
+
+
 def tagged(texts: list[str], tagger: Tagger) -> list[list[Span]]:
     """The network's spans of each text. It reads the whole text; an address may be all words (``anna at post.org``),
     the numbers of the other kinds hold a digit."""
     p = tagger.params
     found: list[list[Span]] = [[] for _ in texts]
-    scores, sizes = _blended(texts, p)
-    if not len(scores):
-        return found
-    tags = _settled(scores, sizes, p["trans"], p["start"])
-    ends = np.cumsum(sizes)
-    cut = np.diff(tags, prepend=0) != 0
-    cut[(ends - sizes)[sizes > 0]] = True
-    first = np.flatnonzero(cut)
-    last = np.append(first[1:], len(tags))
-    for x, y in zip(first[tags[first] > 0].tolist(), last[tags[first] > 0].tolist()):
-        i = int(np.searchsorted(ends, x, side="right"))
-        text, kind = texts[i], KINDS[tags[x] - 1]
-        begin = int(ends[i] - sizes[i])
-        s, e = x - begin, y - begin
-        while s < e and text[s] in " \n\t.,;:\"'":
-            s += 1
-        while e > s and text[e - 1] in " \n\t.,;:\"'":
-            e -= 1
-        prob = np.exp(scores[x:y] - scores[x:y].max(1, keepdims=True))
-        sure = float((prob[:, tags[x]] / prob.sum(1)).mean())
-        if e - s >= 7 and sure >= MIN_PROB and (kind == "email" or TRIGGER.search(text, s, e)):
-            found[i].append((kind, s, e))
+    for index, begins, scores, sizes in _parts(texts, p):
+        if not len(scores):
+            continue
+        tags = _settled(scores, sizes, p["trans"], p["start"])
+        ends = np.cumsum(sizes)
+        cut = np.diff(tags, prepend=0) != 0
+        cut[(ends - sizes)[sizes > 0]] = True
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(tags))
+        for x, y in zip(first[tags[first] > 0].tolist(), last[tags[first] > 0].tolist()):
+            i = int(np.searchsorted(ends, x, side="right"))
+            text, kind = texts[index[i]], KINDS[tags[x] - 1]
+            shift = begins[i] - int(ends[i] - sizes[i])
+            s, e = x + shift, y + shift
+            while s < e and text[s] in " \n\t.,;:\"'":
+                s += 1
+            while e > s and text[e - 1] in " \n\t.,;:\"'":
+                e -= 1
+            prob = np.exp(scores[x:y] - scores[x:y].max(1, keepdims=True))
+            sure = float((prob[:, tags[x]] / prob.sum(1)).mean())
+            if e - s >= 7 and sure >= MIN_PROB and (ADDRESS if kind == "email" else TRIGGER).search(text, s, e):
+                found[index[i]].append((kind, s, e))
     return found
 
 

@@ -24,7 +24,7 @@ from recordmill.llm.common import file_system, workspace, written
 TOKENIZER = "byte_bpe_50k.json"  # of the public tokenizer files
 END_ID = 2
 FILE_IDS = 16 << 20  # ids of one file
-CACHE_WORDS = 600_000  # words whose ids a task remembers
+CACHE_WORDS = 900_000  # words whose ids a worker remembers
 MAGIC = b"IDHUFF01"
 
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -124,22 +124,37 @@ class Encoder:
         at: list[int] = []
         edges = [0]
         known = self.later.__getitem__
+        # ids that are not remembered: of first words and of texts that are encoded as a whole, at places from -1 down
+        once, ends = array("i"), array("q")
         for text in texts:
-            if text and irregular(text):
-                self.pool.extend(self.ids(text))
-                self.offsets.append(len(self.pool))
-                at.append(len(self.offsets) - 2)
-            elif text:
-                words = text.split(" ")
-                at.append(self._place(words[0], ""))
+            if text:
+                whole = irregular(text)
+                words = [text] if whole else text.split(" ")
+                once.extend(self.ids(text) if whole else self._word(words[0], ""))
+                ends.append(len(once))
+                at.append(-len(ends))
                 at.extend(map(known, words[1:]))
             edges.append(len(at))
-        place, offsets = np.array(at, dtype=np.int64), np.array(self.offsets, dtype=np.int64)
+        place, n = np.array(at, dtype=np.int64), len(self.offsets) - 1
+        place = np.where(place < 0, n - 1 - place, place)
+        offsets = np.concatenate([np.array(self.offsets, dtype=np.int64), len(self.pool) + np.array(ends, dtype=np.int64)])
+        pool = np.concatenate([np.array(self.pool, dtype=np.int32), np.array(once, dtype=np.int32)])
         size = offsets[place + 1] - offsets[place]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        pool = np.array(self.pool, dtype=np.int32)
-        ids = pool[np.repeat(offsets[place] - ends[:-1], size) + np.arange(ends[-1])]
-        return ids, np.diff(ends[edges])
+        stop = np.concatenate([[0], np.cumsum(size)])
+        ids = pool[np.repeat(offsets[place] - stop[:-1], size) + np.arange(stop[-1])]
+        return ids, np.diff(stop[edges])
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker. Spark hands a worker one task after another, and words encoded for one are
+    known to the next; a new worker starts without any. The functions of this package come anew with every task, so
+    the encoder is kept with the tokenizer's own module."""
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("_word_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def tokenized(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
@@ -150,7 +165,7 @@ def tokenized(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
     path = tokenizer_path(tokenizer)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         row = 0
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]

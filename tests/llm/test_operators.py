@@ -116,8 +116,15 @@ def test_pii_network(spark, docs, no_docs, sf_dir):
     held_out = pii._synthetic(120, seed=1234)
     found = pii.tagged([t for t, _ in held_out], tagger)
     hits = sum(len(set(a) & set(b)) for a, (_, b) in zip(found, held_out))
-    assert hits / sum(len(b) for _, b in held_out) > 0.7
-    assert hits / max(1, sum(map(len, found))) > 0.8
+    assert hits / sum(len(b) for _, b in held_out) > 0.9
+    assert hits / max(1, sum(map(len, found))) > 0.9
+    for kind in pii.KINDS:
+        want = [s for _, b in held_out for s in b if s[0] == kind]
+        got = sum(len({s for s in a if s[0] == kind} & set(b)) for a, (_, b) in zip(found, held_out))
+        assert got / len(want) >= 0.85, kind
+    # writings that are none: hosts, file names, versions, account numbers
+    for text in ("see example.com or server.log", "release v1.24.3-rc1 of www.host.post.net", "account DE89 3704 0044 0532 0130 00 there"):
+        assert pii.tagged([text], tagger) == [[]], text
     rows = pii.detected(docs, tagger).collect()
     assert len(rows) == len(ROWS)
     texts = {i: t for i, t, _ in ROWS}
@@ -141,7 +148,7 @@ def test_pii_network_reads_windows_without_digits(spark, sf_dir):
         found = pii.tagged([f"{before}{value} {prose(40)}"], tagger)[0]
         hits += ("email", len(before), len(before) + len(value)) in found
         every += len(found)
-    assert hits >= 0.5 * 60 and hits >= 0.7 * every
+    assert hits >= 0.8 * 60 and hits >= 0.9 * every
 
 
 def test_pii_tags_are_those_of_one_pass(spark, sf_dir):
@@ -158,6 +165,31 @@ def test_pii_tags_are_those_of_one_pass(spark, sf_dir):
     scores, sizes = pii._blended(texts, p)
     assert sizes.tolist() == list(map(len, texts))
     assert (pii._settled(scores, sizes, p["trans"], p["start"]) == viterbi(scores, sizes, p["trans"], p["start"])).all()
+    texts = [r.text or "" for r in common.read(spark, sf_dir, "documents").select("text").limit(60).collect()]
+    scores, sizes = pii._blended(texts, p)
+    # sums over a whole text need doubles
+    exact = viterbi(scores.astype(float), sizes, p["trans"].astype(float), p["start"].astype(float))
+    assert (pii._settled(scores, sizes, p["trans"], p["start"]) == exact).all()
+
+
+def test_pii_decoding_finds_the_best_path_of_any_scores():
+    from recordmill.llm.crf import viterbi
+
+    for seed in range(100):
+        r = np.random.default_rng(seed)
+        sizes = r.integers(0, 9, 12)
+        scores, trans, start = r.normal(0, 2, (sizes.sum(), 5)), r.normal(0, 1.5, (5, 5)), r.normal(0, 1, 5)
+        scores[:, 0] += r.integers(0, 5)
+        assert (pii._settled(scores, sizes, trans, start) == viterbi(scores, sizes, trans, start)).all()
+
+
+def test_pii_of_a_long_text_is_that_of_the_whole(spark, sf_dir, monkeypatch):
+    tagger = pii.fit(common.read(spark, sf_dir, "documents"), epochs=6)
+    text = " ".join(t for t, _ in pii._synthetic(60, seed=3)) + "\n" + " ".join(t for t, _ in pii._worded(60, seed=3))
+    whole = pii.tagged([text, "a"], tagger)
+    for n in (1, 2, 7):
+        monkeypatch.setattr(pii, "HELD", n * pii.STEP)
+        assert pii.tagged([text, "a"], tagger) == whole
 
 
 def plain_secrets(text):
