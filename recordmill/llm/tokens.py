@@ -12,6 +12,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -78,11 +79,16 @@ class Encoder:
         self.sign = {"": "", " ": self.letters[32]}
         self.line_end = self.ids("\n")
         self.marks: dict[str, list[int]] = {}
-        self._forget()
+        self.later = _Places(self._place)
+        self.pool, self.offsets = array("i"), array("q", [0])
 
     def _forget(self) -> None:
+        """Keep the half of the words that came first, which has the frequent ones; places follow their order."""
+        kept = len(self.later) // 2
+        first = list(islice(self.later.items(), kept))
         self.later = _Places(self._place)
-        self.pool, self.offsets = array("i"), array("q", [0])
+        self.later.update(first)
+        self.pool, self.offsets = self.pool[: self.offsets[kept]], self.offsets[: kept + 1]
 
     def _place(self, word: str, blank: str) -> int:
         self.pool.extend(self._word(word, blank))
