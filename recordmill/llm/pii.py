@@ -39,7 +39,7 @@ SAMPLE_ROWS = 200  # rows of the table whose base spans are added to the trainin
 EPOCHS = 18
 BATCH = 128
 MIN_PROB = 0.6
-CHUNK = 512  # windows read side by side
+CHUNK = 1024  # windows read side by side
 PLAIN_EVERY = 16 * WINDOW  # characters from one training window of a text, taken wherever it falls, to the next
 
 SCHEMA = (
@@ -94,14 +94,26 @@ def base_spans(text: str) -> list[Span]:
     return ordered(out, KINDS)
 
 
-def char_classes(text: str) -> np.ndarray:
-    table = np.full(128, CLASSES - 1, dtype=np.int64)
+def _class_table() -> bytes:
+    table = bytearray([CLASSES - 1] * 128 + [len(CHARS) + 2] * 128)
     for i, c in enumerate(CHARS):
         table[ord(c)] = i
-    table[ord("A") : ord("Z") + 1] = len(CHARS)
-    table[ord("0") : ord("9") + 1] = len(CHARS) + 1
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return np.where(code < 128, table[np.minimum(code, 127)], len(CHARS) + 2)
+    table[ord("A") : ord("Z") + 1] = bytes([len(CHARS)] * 26)
+    table[ord("0") : ord("9") + 1] = bytes([len(CHARS) + 1] * 10)
+    return bytes(table)
+
+
+CLASS_OF = _class_table()
+
+
+def char_classes(text: str) -> np.ndarray:
+    """A class per character; those beyond Latin-1 are classed as its last one is."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        raw = np.minimum(code, 255).astype(np.uint8).tobytes()
+    return np.frombuffer(raw.translate(CLASS_OF), dtype=np.uint8)
 
 
 @dataclass
@@ -175,13 +187,12 @@ def _run(weights: np.ndarray, recur: np.ndarray, steps: np.ndarray, out: np.ndar
 
 def _emissions(p: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     """Tag scores (windows, steps, tags) of windows of character classes."""
-    steps = np.ascontiguousarray(ids.T)
+    steps = np.ascontiguousarray(ids.T, dtype=np.intp)
     size = p["re_f"].shape[0]
-    both = np.empty((2, len(steps), size, len(ids)), np.float32)
-    _run(p["in_f"], p["re_f"], steps, both[0])
-    _run(p["in_b"], p["re_b"], steps[::-1], both[1])
-    out = np.matmul(p["out"][:size].T, both[0]) + np.matmul(p["out"][size:].T, both[1][::-1])
-    return out.transpose(2, 0, 1) + p["bias"]
+    both = np.empty((len(steps), 2 * size, len(ids)), np.float32)
+    _run(p["in_f"], p["re_f"], steps, both[:, :size])
+    _run(p["in_b"], p["re_b"], steps[::-1], both[::-1, size:])
+    return np.matmul(p["out"].T, both).transpose(2, 0, 1) + p["bias"]
 
 
 def _synthetic(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
