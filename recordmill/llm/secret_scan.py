@@ -74,15 +74,33 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 4) * (0.4 + 0.2 * classes) * (0.3 if " " in value.strip() else 1.0)
 
 
-def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """Pairs of target name and literal (name, value, start, end), in order of the text.
+def literals(parts: list) -> dict[tuple[int, int], str]:
+    """The literals of a value by their places, each once: a part is a literal (start, end, text) or the parts of
+    another name, which all names that use it share."""
+    out: dict[tuple[int, int], str] = {}
+    seen, stack = {id(parts)}, [iter(parts)]
+    while stack:
+        for p in stack[-1]:
+            if isinstance(p, tuple):
+                out[p[0], p[1]] = p[2]
+            elif id(p) not in seen:
+                seen.add(id(p))
+                stack.append(iter(p))
+                break
+        else:
+            stack.pop()
+    return out
+
+
+def assignments(text: str) -> Iterator[tuple[str, list]]:
+    """Target names with the parts of the value they get (see ``literals``), in order of the text.
 
     A line holding ``name = value``, ``name: value``, ``"name": "value"``, ``name => value`` or ``name: type = value``
-    gives a pair; a sum of quoted literals and known names gives one pair for each of its parts, scored as a whole;
+    gives a pair; a sum of quoted literals and known names has the places of its parts and is scored as a whole;
     a value that is the name of an earlier literal hands that literal on to the new name. A value without quotes is
     one literal up to a blank, quote, comma, semicolon or bracket.
     """
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, list] = {}
     at = 0
     for line in text.split("\n"):
         if "=" in line or ":" in line:
@@ -95,7 +113,7 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
                 if left[0] not in ("name", "quoted"):
                     continue
                 name = left[1].strip("\"'")
-                parts: list[tuple[str, int, int]] = []
+                parts: list = []
                 j = i + 1
                 if mark == ":" and (typed := TYPED.match(line, begin - at)):
                     while j < len(tokens) and tokens[j][2] < at + typed.end():
@@ -104,12 +122,12 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
                     k, value, a, b = tokens[j]
                     more = j + 2 < len(tokens) and tokens[j + 1][1] == "+" and (tokens[j + 2][0] == "quoted" or tokens[j + 2][1] in known)
                     if k == "quoted":
-                        parts.append((value[1:-1], a + 1, b - 1))
+                        parts.append((a + 1, b - 1, value[1:-1]))
                     elif (run := UNQUOTED.match(line, a - at)) and (k != "mark" or (value == "+" and not parts)):
                         if value in known and (more or at + run.end() == b):
-                            parts += known[value]
+                            parts.append(known[value])
                         elif not parts:
-                            parts.append((run.group(), a, at + run.end()))
+                            parts.append((a, at + run.end(), run.group()))
                             break
                     else:
                         break
@@ -118,22 +136,22 @@ def assignments(text: str) -> Iterator[tuple[str, str, int, int]]:
                     j += 2
                 if parts:
                     known[name] = parts
-                    whole = "".join(p[0] for p in parts)
-                    for _, a, b in parts:
-                        yield name, whole, a, b
+                    yield name, parts
         at += len(line) + 1
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
     """The base spans, and all spans with those that the lexer adds (kind ``assign``)."""
     base = base_spans(text)
-    added = []
+    added: set[Span] = set()
     if "=" in text or ":" in text:
-        for name, value, a, b in assignments(text):
-            target = name_score(name)
-            if target and b > a and target + literal_score(value) >= MIN_SCORE and literal_score(value) >= 0.5:
-                added.append(("assign", a, b))
-    return base, ordered(base + apart(list(set(added)), base), KINDS)
+        for name, parts in assignments(text):
+            if target := name_score(name):
+                found = literals(parts)
+                score = literal_score("".join(found.values()))
+                if target + score >= MIN_SCORE and score >= 0.5:
+                    added.update(("assign", a, b) for a, b in found if b > a)
+    return base, ordered(base + apart(list(added), base), KINDS)
 
 
 def scanned(docs: DataFrame) -> DataFrame:

@@ -215,6 +215,20 @@ def test_secrets_of_assignments():
     assert added == ["a8F3kq9Zx1", "Ab1+", "Zz92kQ0x"]
 
 
+def test_secrets_of_names_that_hand_each_other_on():
+    import time
+
+    lines = ['k0 = "a8F3kq9Zx1"'] + [f"k{i} = k{i - 1} + k{i - 1}" for i in range(1, 60)] + ["client_secret_key = k59"]
+    started = time.monotonic()
+    text = "\n".join(lines)
+    assert [text[a:b] for _, a, b in secret_scan.scan(text)[1]] == ["a8F3kq9Zx1"]
+    chain = ['s0 = "q"'] + [f's{i} = s{i - 1} + "Zz{i}Kx"' for i in range(1, 3000)] + ["db_pass = s2999"]
+    assert len(secret_scan.scan("\n".join(chain))[1]) == 3000
+    loop = 'a_secret_key = "Zx81Qp20Lm44"\n' + "a_secret_key = a_secret_key + a_secret_key\n" * 200
+    assert len(secret_scan.scan(loop)[1]) == 1
+    assert time.monotonic() - started < 5
+
+
 @pytest.mark.parametrize("text, want", [
     ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"]),
     ("client_secret_key: aB3/x9Kq+Zr72Lw==", ["aB3/x9Kq+Zr72Lw=="]),
