@@ -20,12 +20,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest id."""
+    """Of each class of linked documents the one with the smallest id, null last.
+
+    Rows are told apart by id and text together: rows without an id, or of one id with different texts, are judged one
+    by one, and rows that agree in both are copies, of which one stays. Texts without words are classes of their own.
+    """
     small_batches(spark)
-    classes = ngram_join.joined(docs)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    stay = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
-    # rows that agree in id and text are copies of each other
+    docs, mark = docs.select(*COLUMNS), F.xxhash64("doc_id", "text")
+    classes = ngram_join.joined(docs.select(mark.alias("doc_id"), "text")).select(F.col("doc_id").alias("mark"), "class_id").distinct()
+    by_id = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("first")
+    first = docs.select("doc_id", mark.alias("mark")).join(classes, "mark").groupBy("class_id").agg(by_id).select("first.mark")
+    stay = docs.withColumn("mark", mark).join(first, "mark", "left_semi")
     return stay.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
 
 
