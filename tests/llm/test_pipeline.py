@@ -36,6 +36,20 @@ def test_stages(spark, sf_dir, tmp_path):
     assert last.count() == docs.count()
 
 
+def test_near_duplicates_without_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (None, long + " end"), (None, long + " stop"), (1, long), (None, other), (None, other + " x"), (7, None), (None, None), (None, None),
+        (9, "one id"), (9, "two texts of it"), (9, "one id"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, mark string")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), "").collect()), key=str)
+    assert [t for i, t in kept if t and t.startswith("w")] == [long]
+    assert len([t for _, t in kept if t and t.startswith("v")]) == 1
+    assert [(i, t) for i, t in kept if not t or " " in t and t[0] in "ot"] == [(7, None), (9, "one id"), (9, "two texts of it"), (None, None)]
+
+
 def test_every_operator_is_registered():
     names = entry_points.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
