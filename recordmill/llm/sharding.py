@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from recordmill.llm.common import workspace
 
-# Parameters: they bound what the driver holds (one row per block), whatever the data.
 OLD_SHARDS = 12
 NEW_SHARDS = 16
-BLOCKS = 32  # of each old shard
+PLACES = 32  # of each old shard; a place is at least one block
+BLOCK_BYTES = 512 << 20  # a place beyond it is cut into more blocks
+MAX_BLOCKS = 1 << 18  # the driver holds one row per block; beyond, blocks grow instead of their number
 
 Block = tuple[int, int]  # old shard, number
 
@@ -118,35 +119,72 @@ def plan(blocks: dict[Block, tuple[int, int]], old: int, new: int) -> Plan:
     return Plan(shard, offset, moved, sum(f for (i, j), f in flow.items() if i != j))
 
 
-def lay_out(docs: DataFrame, folder: str, old: int = OLD_SHARDS, blocks: int = BLOCKS) -> str:
-    """Write the documents in their old shards, one file per block of a shard; text, size and checksum go along."""
+def cuts(place: DataFrame, block_bytes: int, max_blocks: int) -> dict[Block, int]:
+    """Blocks of each place that needs more than one: (old shard, place) to their number.
+
+    One pass that groups by place (some hundred), summed before the shuffle.
+    """
+    sizes = {(r.old_shard, r.place): r.bytes for r in place.groupBy("old_shard", "place").agg(F.sum("size").alias("bytes")).collect()}
+    # rounding up adds at most one block a place
+    room = max(1, max_blocks - len(sizes))
+    size = max(block_bytes, -(-sum(sizes.values()) // room))
+    return {k: -(-b // size) for k, b in sizes.items() if b > size}
+
+
+def lay_out(docs: DataFrame, folder: str, old: int, places: int, block_bytes: int, max_blocks: int) -> str:
+    """Write the documents in their old shards, one file per block; text, size and checksum go along.
+
+    A place is a hash of the row. Within a place that is cut, rows are dealt by a hash that includes their number in
+    the scan, so that repeated rows, which share a place, go to all its blocks.
+    """
     bits = F.xxhash64("doc_id", "text")
     place = docs.select(
         "doc_id", "text",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.pmod(bits, F.lit(old)).cast("int").alias("old_shard"),
-        F.pmod(F.shiftright(bits, 20), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.shiftright(bits, 20), F.lit(places)).cast("int").alias("place"),
     )
+    cut = cuts(place, block_bytes, max_blocks)
+    keys, parts = ["old_shard", "block"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if cut:
+        table = docs.sparkSession.createDataFrame([(*k, n) for k, n in sorted(cut.items())], "old_shard int, place int, blocks int")
+        nth = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.coalesce("blocks", F.lit(1))).cast("int")
+        # at most one row per place, a fixed number
+        place = place.join(F.broadcast(table), ["old_shard", "place"], "left")
+        place = place.withColumn("block", F.col("place") + F.lit(places) * nth).drop("place", "blocks")
+    else:
+        place = place.withColumnRenamed("place", "block")
     path = f"{folder}/old"
-    place.repartition("old_shard", "block").write.partitionBy("old_shard", "block").parquet(path)
+    files = old * places + sum(cut.values())
+    dealt = place.repartition(files, *keys) if files > max(parts, old * places) else place.repartition(*keys)
+    dealt.write.partitionBy(*keys).parquet(path)
     return path
 
 
-def resharded(docs: DataFrame, old: int = OLD_SHARDS, new: int = NEW_SHARDS, blocks: int = BLOCKS) -> tuple[DataFrame, Plan]:
+def resharded(
+    docs: DataFrame,
+    old: int = OLD_SHARDS,
+    new: int = NEW_SHARDS,
+    places: int = PLACES,
+    block_bytes: int = BLOCK_BYTES,
+    max_blocks: int = MAX_BLOCKS,
+) -> tuple[DataFrame, Plan]:
     """The rows of the new layout (doc_id, text, size, text_crc32, old_shard, block, shard, before), and the plan.
 
-    ``docs`` needs doc_id and text; other columns are not read. A null text has size 1, as an empty one; repeated
-    rows keep their places side by side in one block; an empty table gives an empty table. Only files of moved
-    blocks are written again, by the tasks that read them, without a shuffle.
+    ``docs`` needs doc_id and text; other columns are not read. It should be a stored table, since its rows are
+    numbered as they are scanned: a scan that is repeated after a loss gives the same numbers. A null text has size 1,
+    as an empty one; repeated rows lie in one place, whose blocks share them if it has more than one; an empty table
+    gives an empty table. A block holds about ``block_bytes`` at most. Only files of moved blocks are written again,
+    by the tasks that read them, without a shuffle.
     """
     spark = docs.sparkSession
     folder = workspace(spark, "shards")
-    path = lay_out(docs, folder, old, blocks)
+    path = lay_out(docs, folder, old, places, block_bytes, max_blocks)
     schema = "doc_id long, text string, size long, text_crc32 long, old_shard int, block int"
     have = spark.read.schema(schema).option("basePath", path).parquet(path)
     counted = have.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-    sizes = {(r.old_shard, r.block): (r.bytes, r.n) for r in counted}  # at most old * blocks rows
+    sizes = {(r.old_shard, r.block): (r.bytes, r.n) for r in counted}  # at most max_blocks rows
     made = plan(sizes, old, new)
     moved = sorted(b for b, j in made.shard.items() if b[0] != j)
     stay = sorted(b for b, j in made.shard.items() if b[0] == j)
@@ -167,5 +205,5 @@ def resharded(docs: DataFrame, old: int = OLD_SHARDS, new: int = NEW_SHARDS, blo
     rows = parts[0] if parts else have
     for more in parts[1:]:
         rows = rows.unionByName(more)
-    # one row per block: the parameters bound it
+    # one row of 16 bytes per block, at most max_blocks of them
     return rows.join(F.broadcast(where), ["old_shard", "block"]), made
