@@ -2,7 +2,8 @@
 
 Layout: ``<root>/<layer>/<table>/<part>``. A write becomes visible when its row is
 appended to the ``commits`` log; a job that dies before leaves only an unread folder.
-A table is its last ``replace`` part and the ``append`` parts after it. A ``file_append``
+A table is its last ``replace`` part and the ``append`` parts after it. An upserted table lies in buckets of its key,
+``<part>/upsert_bucket=<k>-of-<n>``, each a part of its own; of a bucket the newest ``bucket`` part counts. A ``file_append``
 part counts once an event of the file manifest names it, so loaded rows and the manifest
 become visible together. One writer at a time is assumed.
 """
@@ -15,7 +16,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.operators.dedup import keep_first
@@ -43,6 +44,10 @@ LOGS = {
 WIDE_LOGS = ("llm_calls",)
 
 
+BUCKETS = 64  # of an upserted table, unless the caller says otherwise
+BUCKET_OF = "upsert_bucket"
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -80,15 +85,20 @@ class Store:
 
     # --- tables ---------------------------------------------------------------
 
-    def commit(self, layer: str, table: str, kind: str, part: str) -> None:
-        self.append_log("commits", [(layer, table, kind, part, now())])
+    def commit(self, layer: str, table: str, kind: str, *parts: str) -> None:
+        """Make parts visible, all at once."""
+        stamp = now()
+        self.append_log("commits", [(layer, table, kind, part, stamp) for part in parts])
 
     def _parts(self, layer: str, table: str) -> list[str]:
         """Visible parts of a table: one row per write since the last full refresh."""
         log = self.read_log("commits").where((F.col("layer") == layer) & (F.col("table_name") == table))
         last = log.where(F.col("kind") == "replace").agg(F.max("committed_at").alias("last")).scalar()
         log = log.where(F.coalesce(F.col("committed_at") >= last, F.lit(True)))
-        rows = log.orderBy("committed_at").select("kind", "part").collect()
+        rows = log.orderBy("committed_at", "part").select("kind", "part").collect()
+        # later parts of a bucket take the place of earlier ones; the driver holds one row per bucket and write
+        newest = {r.part.split("/")[1]: r.part for r in rows if "/" in r.part}
+        rows = [r for r in rows if "/" not in r.part or newest[r.part.split("/")[1]] == r.part]
         if any(r.kind == "file_append" for r in rows):
             named = self.read_log("file_manifest").where(F.col("part").isNotNull()).select("part").distinct()
             loaded = {r.part for r in log.join(named, "part", "left_semi").select("part").collect()}
@@ -126,13 +136,50 @@ class Store:
     def read_parts(self, layer: str, table: str, parts: Sequence[str]) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.root}/{layer}/{table}/{p}" for p in parts])
 
-    def upsert(self, layer: str, table: str, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+    def upsert(
+        self, layer: str, table: str, new: DataFrame, keys: Sequence[str], order: Sequence[str] = (), buckets: int = BUCKETS
+    ) -> None:
         """Rows of ``new`` replace rows with the same key; of equal keys in ``new`` the first in ``order``, nulls last,
-        then by the remaining columns."""
+        then by the remaining columns.
+
+        The table lies in ``buckets`` hash buckets of its key, one file each, so choose their number such that a bucket
+        fits a task. Only buckets that ``new`` meets are read and written again. The whole table is laid out anew when
+        it is not in these buckets: at the first upsert, after ``replace`` or ``append``, with another number of
+        buckets or other columns.
+        """
         rest = [c for c in new.columns if c not in {*keys, *order}]
         new = keep_first(new, list(keys), [F.col(c).asc_nulls_last() for c in (*order, *rest)])
-        old = self.read(layer, table)
-        self.replace(layer, table, merged(old, new, keys) if old is not None else new)
+        parts = self._parts(layer, table)
+        met = self._write_buckets(layer, table, new, keys, buckets)
+        if not parts:
+            if met:
+                self.commit(layer, table, "replace", *met)
+            else:
+                self.replace(layer, table, new)
+            return
+        if not met:
+            return
+        # from here on the new rows are those that were stored, so that they are computed once
+        old, new = self.read_parts(layer, table, parts), self.read_parts(layer, table, met)
+        if not _laid_out(parts, buckets) or sorted(old.dtypes) != sorted(new.dtypes):
+            met = self._write_buckets(layer, table, merged(old, new, keys), keys, buckets)
+            self.commit(layer, table, "replace", *met)
+            return
+        names = {p.split("/")[1] for p in met}
+        touched = [p for p in parts if p.split("/")[1] in names]
+        if touched:
+            rows = merged(self.read_parts(layer, table, touched), new, keys)
+            met = self._write_buckets(layer, table, rows, keys, buckets)
+        self.commit(layer, table, "bucket", *met)
+
+    def _write_buckets(self, layer: str, table: str, rows: DataFrame, keys: Sequence[str], buckets: int) -> list[str]:
+        """Write rows by bucket, one file each, without making them visible; the parts that have rows, a bucket each."""
+        part = uuid.uuid4().hex
+        path = f"{self.root}/{layer}/{table}/{part}"
+        rows = rows.withColumn(BUCKET_OF, _bucket(rows, keys, buckets))
+        rows.repartition(buckets, BUCKET_OF).write.partitionBy(BUCKET_OF).parquet(path)
+        met = self.spark.read.schema(rows.schema).parquet(path).select(BUCKET_OF).distinct().collect()  # at most ``buckets``
+        return sorted(f"{part}/{BUCKET_OF}={r[0]}" for r in met)
 
     def insert_absent(
         self, layer: str, table: str, new: DataFrame, key: str | Sequence[str], order: Sequence[str]
@@ -181,6 +228,16 @@ class Store:
             self.append_log("step_metrics", [row])
 
 
+def _bucket(rows: DataFrame, keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row by its key, with the number of buckets: ``17-of-64``."""
+    number = F.pmod(F.xxhash64(*[rows[k] for k in keys]), F.lit(buckets))
+    return F.concat(number.cast("string"), F.lit(f"-of-{buckets}"))
+
+
+def _laid_out(parts: Sequence[str], buckets: int) -> bool:
+    return all("/" in p and p.endswith(f"-of-{buckets}") for p in parts)
+
+
 def merged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` without the keys of ``new``, and ``new``.
 

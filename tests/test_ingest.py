@@ -215,6 +215,37 @@ def test_upsert_and_insert_absent(spark, tmp_path):
     assert store.read("core", "none", "k int").count() == 0
 
 
+def test_upsert_writes_only_the_buckets_it_meets(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.upsert("core", "t", spark.range(1000).selectExpr("id as k", "'old' as v"), ["k"], buckets=50)
+    before = set(store._parts("core", "t"))
+    assert len(before) == 50
+    store.upsert("core", "t", spark.createDataFrame([(3, "new"), (1003, "new")], "k long, v string"), ["k"], buckets=50)
+    after = set(store._parts("core", "t"))
+    assert len(after) == 50 and 48 <= len(before & after) <= 49
+    want = sorted([(k, "new" if k in (3, 1003) else "old") for k in (*range(1000), 1003)], key=str)
+    assert rows(store.read("core", "t"), "k", "v") == want
+    # nothing new, another column, an append, another number of buckets
+    store.upsert("core", "t", spark.createDataFrame([], "k long, v string"), ["k"], buckets=50)
+    assert set(store._parts("core", "t")) == after
+    store.upsert("core", "t", spark.createDataFrame([(3, "newer", 1)], "k long, v string, n int"), ["k"], buckets=50)
+    assert rows(store.read("core", "t").where("k in (3, 4)"), "k", "v", "n") == [(3, "newer", 1), (4, "old", None)]
+    store.append("core", "t", spark.createDataFrame([(5000, "more", 2)], "k long, v string, n int"))
+    store.upsert("core", "t", spark.createDataFrame([(5000, "most", 3)], "k long, v string, n int"), ["k"], buckets=7)
+    assert len(store._parts("core", "t")) == 7
+    assert store.read("core", "t").count() == 1002
+    assert rows(store.read("core", "t").where("k = 5000"), "k", "v", "n") == [(5000, "most", 3)]
+
+
+def test_upsert_into_empty_buckets(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.upsert("core", "t", spark.createDataFrame([], "k int, v string"), ["k"])
+    assert store.read("core", "t").columns == ["k", "v"] and store.read("core", "t").count() == 0
+    for k in range(4):
+        store.upsert("core", "t", spark.createDataFrame([(k, "a")], "k int, v string"), ["k"])
+    assert rows(store.read("core", "t"), "k", "v") == [(k, "a") for k in range(4)]
+
+
 def test_reads_of_few_files_load_them_all(spark, tmp_path):
     root = str(tmp_path)
     write(f"{root}/a.csv", "y\n1\n")

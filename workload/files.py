@@ -218,6 +218,23 @@ ORACLE["store_upsert"] = """select o_orderkey, o_custkey, o_orderstatus,
     case when o_orderstatus = 'F' then o_totalprice else -o_totalprice end as o_totalprice from orders"""
 
 
+def _upserted_few(spark: SparkSession, d: str) -> DataFrame:
+    """Few keys change, those of the last day: only their buckets are written again."""
+    store = Store(spark, _scratch(spark))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    store.upsert("core", "orders", orders, ["o_orderkey"], buckets=256)
+    last = orders.agg(F.max("o_orderdate").alias("o_orderdate"))
+    changed = orders.join(last, "o_orderdate").withColumn("o_totalprice", -F.col("o_totalprice"))
+    store.upsert("core", "orders", changed, ["o_orderkey"], buckets=256)
+    return store.read("core", "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+QUERIES["store_upsert_few"] = _upserted_few
+ORACLE["store_upsert_few"] = """select o_orderkey, o_custkey, o_orderdate::varchar as o_orderdate,
+    case when o_orderdate = (select max(o_orderdate) from orders) then -o_totalprice else o_totalprice end as o_totalprice
+    from orders"""
+
+
 def _inserted(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, _scratch(spark))
     texts = table(spark, d, "documents").select(F.sha2("text", 256).alias("hash"), "doc_id", "lang")
