@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordmill.llm import resampling
+from recordmill.llm import resampling, substring
 
 # The five filters, cells counted per part, and every order and step as a filter on the cells.
 FILTER_AUDIT = r"""
@@ -112,4 +112,28 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
 from payloads left join firsts using (payload_digest)
 """
 
-ORACLE = {"op7_warc": WARC, "op11_resampling": RESAMPLING, "op13_filter_audit": FILTER_AUDIT}
+# Windows by their digests; a word goes if the last repeated window that starts at or before it reaches it.
+SUBSTRING = rf"""
+with texts as (
+    select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+    from documents
+), windows as (
+    select r, unnest(range(1, len(w) - {substring.WINDOW - 2})) as i,
+        unnest(list_transform(range(1, len(w) - {substring.WINDOW - 2}), lambda i: md5(array_to_string(w[i:i + {substring.WINDOW - 1}], ' ')))) as digest
+    from texts where len(w) >= {substring.WINDOW}
+), repeated as (
+    select r, i from windows qualify count(*) over (partition by digest) > 1
+), words as (
+    select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from texts
+), marked as (
+    select r, i, word, coalesce(i - max(s) over (partition by r order by i) < {substring.WINDOW}, false) as gone
+    from words left join (select r, i, i as s from repeated) as s using (r, i)
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join (
+    select r, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept
+    from marked group by r
+) as k using (r)
+"""
+
+ORACLE = {"op4_substring": SUBSTRING, "op7_warc": WARC, "op11_resampling": RESAMPLING, "op13_filter_audit": FILTER_AUDIT}
