@@ -136,4 +136,31 @@ from texts left join (
 ) as k using (r)
 """
 
-ORACLE = {"op4_substring": SUBSTRING, "op7_warc": WARC, "op11_resampling": RESAMPLING, "op13_filter_audit": FILTER_AUDIT}
+# All pairs of different shingle sets that share a shingle, and what can be reached by links.
+NGRAM_JOIN = r"""
+with recursive texts as (
+    select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select r, list_sort(list_distinct(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: md5(array_to_string(w[i:i + 4], ' '))))) as s
+    from texts where len(w) > 0
+), named as (select r, md5(array_to_string(s, '')) as class, s from sets
+), classes as (
+    select class, any_value(s) as s, len(any_value(s)) as n, count(*) as n_rows, min(doc_id) as first
+    from named join texts using (r) group by class
+), shingles as (select class, n, unnest(s) as shingle from classes
+), links as (
+    select a.class as one, b.class as other from shingles a join shingles b on a.shingle = b.shingle and a.class <> b.class
+    group by a.class, b.class, a.n, b.n having 10 * count(*) >= 8 * (a.n + b.n - count(*))
+), reach as (
+    select class as one, class as other from classes
+    union
+    select reach.one, links.other from reach join links on reach.other = links.one
+), lowest as (select one as class, min(first) as class_id from reach join classes on other = class group by one
+), linked as (select one as class, sum(n_rows) as linked from links join classes on other = class group by one)
+select doc_id, case when class is null then doc_id else class_id end as class_id,
+    (coalesce(linked, 0) + coalesce(n_rows, 1) - 1)::bigint as n_links, coalesce(n_rows, 1)::bigint as n_copies
+from texts left join named using (r) left join classes using (class) left join lowest using (class) left join linked using (class)
+"""
+
+ORACLE = {"op3_ngram_join": NGRAM_JOIN, "op4_substring": SUBSTRING, "op7_warc": WARC, "op11_resampling": RESAMPLING, "op13_filter_audit": FILTER_AUDIT}
