@@ -23,6 +23,7 @@ MAX_REPEAT_PERCENT = 50
 SAMPLE_ROWS = 1000
 MIN_CONTENT = 0.5
 CHUNK = 64  # lines of one training sequence
+STRETCH = 16  # most lines that a mixed training sequence takes from one document at a time
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -66,19 +67,24 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         total = np.append(total, total[-1])  # the last line has no line end
         per[name] = total[edges[1:] - 1] - total[edges[:-1]]
     in_words = per["word"]
-    n_words = np.array([len(x.split()) for x in lines])
-    # every text's own earlier lines
-    again = np.zeros(len(lines), dtype=bool)
+    line_words = [x.split() for x in lines]
+    n_words = np.array([len(x) for x in line_words])
+    fresh = np.array([len(set(x)) for x in line_words]) / np.maximum(n_words, 1)  # share of different words
+    # how often a line with words occurs in its own text, and whether it did before
+    again, times = np.zeros(len(lines), dtype=bool), np.ones(len(lines), dtype=np.int64)
     at = 0
     for n in sizes:
         if n > 1:
-            seen: set[str] = set()
-            for i in range(at, at + n):
-                if lines[i] in seen:
-                    again[i] = True
-                else:
-                    seen.add(lines[i])
+            own = lines[at : at + n]
+            count = Counter(own)
+            if len(count) < n:
+                times[at : at + n] = [count[x] for x in own]
+                seen: set[str] = set()
+                for i, x in enumerate(own, at):
+                    again[i] = x in seen
+                    seen.add(x)
         at += n
+    times[in_words == 0] = 1
     chars = np.maximum(in_words, 1)
     share = {k: v / chars for k, v in per.items()}
     columns = [
@@ -99,11 +105,46 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         n_words < 8,
         in_words > 12 * np.maximum(n_words, 1),
         again,
+        times > 1,
+        times > 3,
+        (times > 1) & (n_words < 8),
+        (n_words > 3) & (fresh < 0.7),
+        (n_words > 3) & (fresh < 0.4),
         in_words == 0,
     ]
     return np.stack(columns, 1).astype(np.float64), in_words, sizes
 
 
+def mixtures(texts: list[str], labels: list[int], seed: int = 0) -> tuple[list[str], np.ndarray]:
+    """Texts joined from stretches of lines of good (1) and bad (0) documents in turn, and the label of every line.
+
+    A stretch is 1 to ``STRETCH`` lines of one document; each is used at least once, those of the rarer kind again
+    until those of the other kind are used up.
+    """
+    rng = np.random.default_rng(seed)
+    stretches: tuple[list[list[str]], ...] = ([], [])
+    for text, label in zip(texts, labels):
+        lines, at = text.split("\n"), 0
+        while at < len(lines):
+            n = int(rng.integers(1, STRETCH + 1))
+            stretches[label].append(lines[at : at + n])
+            at += n
+    for of_kind in stretches:
+        rng.shuffle(of_kind)
+    joined, marks, used, kind = [], [], [0, 0], 0
+    while min(map(len, stretches)) and any(u < len(s) for u, s in zip(used, stretches)):
+        lines: list[str] = []
+        kind = int(rng.integers(2))
+        for _ in range(int(rng.integers(2, 6))):
+            stretch = stretches[kind][used[kind] % len(stretches[kind])]
+            lines += stretch
+            marks += [kind] * len(stretch)
+            used[kind] += 1
+            kind = 1 - kind
+        joined.append("\n".join(lines))
+    return joined, np.array(marks, dtype=np.int64)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = 60) -> LineModel:
     """Fit on at most ``sample_rows`` labelled documents, taken in order of a hash of the id.
 
@@ -113,13 +154,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, epoc
     """
     known = labels.where("quality is not null").select("doc_id", "quality")
     rows = sample(docs.where("text is not null").select("doc_id", "text"), known, sample_rows).collect()
+    return fitted([r.text for r in rows], [int(r.quality == 1) for r in rows], epochs)
+
+
+def fitted(texts: list[str], labels: list[int], epochs: int = 60) -> LineModel:
+    """The field for texts with labels 1 (content) and 0 (boilerplate).
+
+    It learns from the whole texts, whose lines share a label, and from mixtures of them, where the label changes from
+    stretch to stretch; so the transitions know both how long a kind lasts and that it ends.
+    """
     n_features = line_features([""])[0].shape[1]
     weights, trans, start = np.zeros((n_features, 2)), np.zeros((2, 2)), np.zeros(2)
-    if len({r.quality for r in rows}) < 2:
+    if len(set(labels)) < 2:
         weights[0, 1] = 1.0
         return LineModel(weights, trans, start)
-    features, chars, sizes = line_features([r.text for r in rows])
-    label = np.repeat([int(r.quality == 1) for r in rows], sizes)
+    mixed, marks = mixtures(texts, labels)
+    features, _, sizes = line_features([*texts, *mixed])
+    label = np.concatenate([np.repeat(labels, sizes[: len(texts)]), marks])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     starts = np.concatenate([np.arange(f, f + n, CHUNK) for f, n in zip(first, sizes)])
     ends = np.concatenate([np.minimum(np.arange(f, f + n, CHUNK) + CHUNK, f + n) for f, n in zip(first, sizes)])

@@ -1,6 +1,7 @@
 """Each operator against a plain version of its rules, on a table of edge cases and on an empty one."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter
@@ -62,6 +63,41 @@ def test_quality_keeps_good_and_drops_bad(spark, sf_dir, line_model):
     assert {r.doc_id for r in quality.filtered(docs, line_model).collect()} == kept
 
 
+def test_quality_labels_lines(spark, sf_dir):
+    """Lines of held-out texts that mix good and bad stretches get their own labels; the labels switch inside a text.
+
+    Over five splits of the labelled documents, since the only document of a kind may fall to one side."""
+    larger = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    rows = common.read(spark, larger, "documents").join(common.read(spark, larger, "labels"), "doc_id")
+    rows = sorted(rows.where("text is not null and quality is not null").collect(), key=lambda r: r.doc_id)
+    right = []
+    for seed in range(5):
+        half = np.random.default_rng(seed).random(len(rows)) < 0.5
+        known, held_out = [
+            ([r.text for r, h in zip(rows, half) if h == side], [int(r.quality == 1) for r, h in zip(rows, half) if h == side])
+            for side in (True, False)
+        ]
+        model = quality.fitted(*known)
+        texts, marks = quality.mixtures(*held_out, seed=1)
+        features, chars, sizes = quality.line_features(texts)
+        tags = quality.viterbi(features @ model.weights, sizes, model.trans, model.start)
+        right.append(np.mean(tags == marks))
+        assert np.sum((tags == marks) * chars) > 0.95 * np.sum(chars)
+        ends = np.cumsum(sizes)
+        assert np.mean([len(set(tags[a:b])) == 2 for a, b in zip(ends - sizes, ends)]) > 0.6
+    assert np.median(right) > 0.9
+
+
+def test_quality_mixtures_use_every_line():
+    texts, labels = ["a\nb\nc", "", "x\ny", "z"], [1, 1, 0, 0]
+    joined, marks = quality.mixtures(texts, labels)
+    lines = [x for t in joined for x in t.split("\n")]
+    assert len(lines) == len(marks)
+    assert {(x, m) for x, m in zip(lines, marks)} == {("a", 1), ("b", 1), ("c", 1), ("", 1), ("x", 0), ("y", 0), ("z", 0)}
+    assert quality.mixtures(["a"], [1])[0] == [] and quality.mixtures([], [])[0] == []
+    assert quality.content_share(["any\nline"], quality.fitted(["a"], [1]))[2].tolist() == [7]
+
+
 def test_viterbi_equals_search_over_all_paths():
     from itertools import product
 
