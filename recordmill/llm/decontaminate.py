@@ -2,8 +2,10 @@
 
 A window is as many consecutive words of a text as a benchmark item has. Windows that can reach the threshold get a
 SimHash fingerprint of their words; fingerprints are cut into ``RADIUS + 1`` blocks, so that any two within the
-radius agree in a block (pigeonhole), and windows and items of one size meet on equal blocks. Pairs within the radius
-are then compared exactly: weighted Jaccard similarity of their shingles, a shingle weighing as often as it occurs.
+radius agree in a block (pigeonhole). A block has three or four bits, too few to meet on alone: windows and items of one
+size meet on equal blocks if they also share one of their rarest shingles, which any pair at the threshold does. Pairs
+within the radius are then compared exactly: weighted Jaccard similarity of their shingles, a shingle weighing as often
+as it occurs.
 
 Which windows can reach the threshold follows from their shingles: of m shingles at most m - o are not the item's,
 where o is the least overlap, so one of the first m - o + 1 and one of the last m - o + 1 is. A bit table of the
@@ -104,11 +106,39 @@ def _bit_table(shingles: DataFrame) -> tuple[DataFrame, int]:
     return every.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["v"]).alias("bits")), 1 << power
 
 
+def _text_key(ws: Column) -> Column:
+    return F.md5(F.array_join(ws, " "))
+
+
+def _sharing(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(n, window_key, own) of windows and items of one size that can reach the threshold.
+
+    Shingles are put in one order for all, by the number of items that have them; those of no item come first. Two sets
+    of m shingles that share at least m - spare agree in one of the first spare + 1 of each. So a shingle that many
+    items hold makes candidates only where the rarer ones leave no other choice.
+    """
+    token = F.explode(F.transform("bag", lambda t: F.xxhash64(t))).alias("token")
+    often = items.select("n", "spare", token).groupBy("n", "spare", "token").agg(F.count("*").alias("often"))
+
+    def firsts(sets: DataFrame, name: str) -> DataFrame:
+        known = sets.select("n", name, F.size("bag").alias("m"), token).join(often, ["n", "token"])
+        known = known.groupBy("n", name, "m", "spare").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("known"))
+        of_items = F.col("spare") + 1 - (F.col("m") - F.size("known"))
+        known = known.where(of_items > 0).select("n", name, F.explode(F.slice("known", F.lit(1), of_items)).alias("x"))
+        return known.select("n", name, "x.token")
+
+    return firsts(windows, "window_key").join(firsts(items, "own"), ["n", "token"]).select("n", "window_key", "own").distinct()
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """Texts and the items they hold: (key, item_id, start, similarity), where key is the MD5 of the text."""
     folder = workspace(docs.sparkSession, "decontaminate")
     items = written(
-        prepared(benchmark, threshold).withColumns({"mark": fingerprint(F.col("ws")), "bag": bag(F.col("ws"), F.col("width"))}), folder, "items"
+        prepared(benchmark, threshold).withColumns(
+            {"mark": fingerprint(F.col("ws")), "bag": bag(F.col("ws"), F.col("width")), "own": _text_key(F.col("ws"))}
+        ),
+        folder,
+        "items",
     )
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most WIDTH rows
     parts = [
@@ -156,28 +186,34 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     starts = F.filter(F.array_intersect(near_start, near_end), lambda s: (s >= 0) & (s <= F.col("n_words") - F.col("n")))
     windows = spots.select("key", "n", "width", F.explode(starts).alias("start")).join(held.select("key", "ws"), "key")
     windows = windows.select("key", "n", "width", "start", F.slice("ws", F.col("start") + 1, F.col("n")).alias("window"))
-    windows = written(windows, folder, "windows")
-    # equal windows of any texts once
-    single = windows.select("n", "width", "window").distinct()
-    single = single.withColumns({"mark": fingerprint(F.col("window")), "bag": bag(F.col("window"), F.col("width"))})
+    windows = written(windows.withColumn("window_key", _text_key(F.col("window"))), folder, "windows")
+    # equal windows of any texts once, equal items once
+    single = windows.select("n", "width", "window", "window_key").distinct()
+    single = single.select("n", "window_key", fingerprint(F.col("window")).alias("mark"), bag(F.col("window"), F.col("width")).alias("bag"))
     single = written(single, folder, "fingerprints")
+    own = items.select("n", "spare", "own", "mark", "bag").distinct()
 
+    # windows and items meet where their fingerprints agree in a block, and only those that share a rare shingle
+    candidates = _sharing(single, own).join(single.select("window_key", "mark"), "window_key")
     blocks = _blocks(radius)
 
-    def blocked(df: DataFrame) -> DataFrame:
-        each = F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("mark"), a, b).alias("value")) for i, (a, b) in enumerate(blocks)])
+    def blocked(df: DataFrame, mark: str) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col(mark), a, b).alias("value")) for i, (a, b) in enumerate(blocks)])
         return df.select("*", F.explode(each).alias("x")).select(*df.columns, "x.block", "x.value")
 
-    left = blocked(single.select("n", "window", F.col("mark"), "bag"))
-    right = blocked(items.select("n", "item_id", F.col("mark"), "bag").withColumnRenamed("bag", "item_bag"))
-    right = right.withColumnRenamed("mark", "item_mark")
+    right = blocked(own.select("own", F.col("mark").alias("item_mark")), "item_mark")
     difference = F.col("mark").bitwiseXOR(F.col("item_mark"))
     first = F.array_position(F.array(*[_block(difference, a, b) for a, b in blocks]), F.lit(0).cast("long"))
-    pairs = left.join(right, ["n", "block", "value"]).where((F.bit_count(difference) <= radius) & (first == F.col("block") + 1))
+    pairs = blocked(candidates, "mark").join(right, ["own", "block", "value"])
+    pairs = pairs.where((F.bit_count(difference) <= radius) & (first == F.col("block") + 1)).select("window_key", "own")
+
+    # whole bags of the pairs that are left
+    bags = pairs.join(single.select("window_key", "bag"), "window_key").join(own.select("own", F.col("bag").alias("item_bag")), "own")
     common = F.size(F.array_intersect("bag", "item_bag"))
     similarity = common / (F.size("bag") + F.size("item_bag") - common)
-    found = pairs.select("n", "window", "item_id", similarity.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
-    return windows.join(found, ["n", "window"]).select("key", "item_id", "start", "similarity")
+    found = bags.select("window_key", "own", similarity.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
+    found = found.join(items.select("own", "item_id"), "own")
+    return windows.join(found, "window_key").select("key", "item_id", "start", "similarity")
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:

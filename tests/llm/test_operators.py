@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recordmill.llm import (
     common, decontaminate, huffman, mixture, ngram_join, pii, quality, secret_scan, sharding, substring, tokens, warc,
@@ -461,6 +462,40 @@ def test_decontamination_of_the_given_table(spark, sf_dir):
         assert got[r.doc_id] == sorted(want)
 
 
+def test_decontamination_of_items_that_share_shingles(spark):
+    """All items begin alike, half of them end alike; windows near the threshold, on both sides of it."""
+    r = np.random.default_rng(7)
+    start, end = " ".join(f"which{i}" for i in range(8)), " ".join(f"end{i}" for i in range(8))
+    items = [(k, " ".join([start, *(f"k{k}z{j}" for j in range(14)), *([end] if k % 2 else ["of it"] * 4)])) for k in range(40)]
+    texts = [(100 + k, "before " + " ".join(items[k][1].split()) + " after") for k in range(0, 40, 3)]
+    for n in range(60):
+        ws = items[int(r.integers(40))][1].split()
+        for at in r.choice(len(ws), size=int(r.integers(1, 3)), replace=False):
+            ws[at] = "changed"
+        texts.append((1000 + n, " ".join(["in front", *ws, "at the back"])))
+    texts += [(2000, f"{start} {end} " * 5), (2001, start), (2002, " ".join(t for _, t in items[:5]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rows = {x.doc_id: x for x in decontaminate.judged(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {i: plain_hits(t, items) for i, t in texts}
+    assert {i: x["items"] for i, x in rows.items()} == {i: sorted(w) for i, w in want.items()}
+    assert 14 < sum(map(bool, want.values())) < len(texts)
+
+
+def test_candidates_of_windows_share_a_rare_shingle(spark):
+    """A shingle that all items hold makes no candidates, and none at the threshold is lost."""
+    def table(name, texts):
+        rows = spark.createDataFrame([(t,) for t in texts], "text string").select(common.words("text").alias("ws"), F.col("text").alias(name))
+        width = F.lit(5)
+        return rows.select(name, F.size("ws").alias("n"), decontaminate.bag(F.col("ws"), width).alias("bag"), F.lit(2).alias("spare"))
+
+    same = " ".join(f"s{i}" for i in range(12))
+    items = [same + "".join(f" i{k}w{j}" for j in range(12)) for k in range(30)]
+    windows = [*items, same + "".join(f" other{j}" for j in range(12)), items[3].replace("i3w11", "new"), items[4].replace("s0 ", "new ")]
+    got = decontaminate._sharing(table("window_key", windows).drop("spare"), table("own", items))
+    pairs = {(x.window_key, x.own) for x in got.collect()}
+    assert pairs == {(t, t) for t in items} | {(windows[31], items[3]), (windows[32], items[4])}
+
+
 # --- archives, token files, shards -------------------------------------------------------------------------------
 
 
