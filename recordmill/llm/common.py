@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import sys
 import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,32 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pieces(texts: Sequence[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``size`` characters in all, so that what is made of them at a time is bounded however
+    long the texts of a batch are together; a longer text is a range of its own."""
+    start = total = 0
+    for i, text in enumerate(texts):
+        if i > start and total + len(text) > size:
+            yield start, i
+            start, total = i, 0
+        total += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def worker_memory() -> dict:
+    """What this Python worker keeps from task to task, by name. The functions of this package come anew with every
+    task, so it is kept with the interpreter."""
+    return vars(sys).setdefault("_kept_from_task_to_task", {})
+
+
+def let_go() -> None:
+    """Free what earlier tasks of other operators left in this Python worker."""
+    if held := worker_memory():
+        held.clear()
+        gc.collect()
+
+
 def sample(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
     """At most ``n`` rows of ``docs`` whose doc_id is among the first ``n`` of ``keys`` in order of a hash.
 

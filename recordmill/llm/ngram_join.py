@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import workspace, written
+from recordmill.llm.common import let_go, pieces, workspace, written
 from recordmill.llm.components import components
 from recordmill.llm.shingles import min_hashes, shingle_sets
 
@@ -114,16 +114,20 @@ def described(docs: DataFrame) -> DataFrame:
     number of shingles, MinHash values, bands."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            sets = shingle_sets([t or "" for t in batch.column("text").to_pylist()], WIDTH)
-            marks = min_hashes(sets, HASHES)
-            names = [class_of(s.tobytes()) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ref"), pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([m.tobytes() for m in marks], pa.binary()),
-                 pa.array(list(marks.view(np.int64)), pa.list_(pa.int64()))],
-                ["doc_id", "ref", "class", "n", "marks", "bands"],
-            )
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in pieces(texts):
+                sets = shingle_sets(texts[a:b], WIDTH)
+                marks = min_hashes(sets, HASHES)
+                names = [class_of(s.tobytes()) if len(s) else None for s in sets]
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("ref"), pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([m.tobytes() for m in marks], pa.binary()),
+                     pa.array(list(marks.view(np.int64)), pa.list_(pa.int64()))],
+                    ["doc_id", "ref", "class", "n", "marks", "bands"],
+                )
 
     ref = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("ref")
     schema = "doc_id long, ref long, class binary, n long, marks binary, bands array<long>"
@@ -200,10 +204,13 @@ def with_sets(texts: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in shingle_sets([t or "" for t in batch.column("text").to_pylist()], WIDTH)]
-            own = [class_of(s) == c for s, c in zip(sets, batch.column("class").to_pylist())]
-            out = [batch.column(c) for c in ("class", "rows", "marks")] + [pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["class", "rows", "marks", "shingles"]).filter(pa.array(own, pa.bool_()))
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in pieces(texts):
+                rows = batch.slice(a, b - a)
+                sets = [s.tobytes() for s in shingle_sets(texts[a:b], WIDTH)]
+                own = [class_of(s) == c for s, c in zip(sets, rows.column("class").to_pylist())]
+                out = [rows.column(c) for c in ("class", "rows", "marks")] + [pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(out, ["class", "rows", "marks", "shingles"]).filter(pa.array(own, pa.bool_()))
 
     some = texts.select("class", "rows", "marks", "text").mapInArrow(each, "class binary, rows long, marks binary, shingles binary")
     return some.groupBy("class").agg(*[F.any_value(c).alias(c) for c in ("rows", "marks", "shingles")])

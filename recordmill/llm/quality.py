@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recordmill.llm.common import sample
+from recordmill.llm.common import let_go, pieces, sample
 from recordmill.llm.crf import gradients, viterbi
 
 # Fixed values of the base rules.
@@ -219,6 +219,14 @@ def base_rules(text: str) -> tuple[int, int, int, int, int]:
     return n, word_chars, symbols, again, repeated
 
 
+def _measured(texts: list[str], model: LineModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: the base values, the share of content, and whether the base rules fail."""
+    base = np.array([base_rules(t) for t in texts], dtype=np.int64)
+    _, chars, content = content_share(texts, model)
+    failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
+    return base, content / np.maximum(chars, 1), failed
+
+
 def judged(docs: DataFrame, model: LineModel, min_content: float = MIN_CONTENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are not read), with the columns of ``SCHEMA``.
 
@@ -228,28 +236,25 @@ def judged(docs: DataFrame, model: LineModel, min_content: float = MIN_CONTENT)
     """
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
-            if not len(batch):
-                continue
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            base = np.array([base_rules(t) for t in texts], dtype=np.int64)
-            lines, chars, content = content_share(texts, model)
-            share = content / np.maximum(chars, 1)
-            failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_words": base[:, 0],
-                    "word_chars": base[:, 1],
-                    "n_symbols": base[:, 2],
-                    "n_dup_lines": base[:, 3],
-                    "n_repeat_words": base[:, 4],
-                    "base_failed": failed,
-                    "kept": ~failed & (share >= min_content),
-                    "n_lines": lines,
-                    "content_share": share,
-                }
-            )
+            for a, b in pieces(texts):
+                base, share, failed = _measured(texts[a:b], model)
+                yield pd.DataFrame(
+                    {
+                        "doc_id": batch["doc_id"].iloc[a:b].astype("Int64").reset_index(drop=True),
+                        "n_words": base[:, 0],
+                        "word_chars": base[:, 1],
+                        "n_symbols": base[:, 2],
+                        "n_dup_lines": base[:, 3],
+                        "n_repeat_words": base[:, 4],
+                        "base_failed": failed,
+                        "kept": ~failed & (share >= min_content),
+                        "n_lines": [t.count("\n") + 1 for t in texts[a:b]],
+                        "content_share": share,
+                    }
+                )
 
     return docs.select("doc_id", "text").mapInPandas(judge, SCHEMA)
 
@@ -258,12 +263,13 @@ def filtered(docs: DataFrame, model: LineModel, min_content: float = MIN_CONTENT
     """The rows of ``docs`` that ``judged`` would keep, with all their columns; no shuffle."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            if texts:
-                base = np.array([base_rules(t) for t in texts], dtype=np.int64)
-                _, chars, content = content_share(texts, model)
-                failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
-                yield batch.filter(pa.array(~failed & (content / np.maximum(chars, 1) >= min_content)))
+            kept = []
+            for a, b in pieces(texts):
+                _, share, failed = _measured(texts[a:b], model)
+                kept += (~failed & (share >= min_content)).tolist()
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordmill.llm import huffman
-from recordmill.llm.common import file_system, workspace, written
+from recordmill.llm.common import file_system, worker_memory, workspace, written
 
 TOKENIZER = "byte_bpe_50k.json"  # of the public tokenizer files
 END_ID = 2
@@ -153,11 +153,8 @@ class Encoder:
 
 def worker_encoder(path: str) -> Encoder:
     """The encoder of this Python worker. Spark hands a worker one task after another, and words encoded for one are
-    known to the next; a new worker starts without any. The functions of this package come anew with every task, so
-    the encoder is kept with the tokenizer's own module."""
-    import tokenizers
-
-    held = vars(tokenizers).setdefault("_word_encoders", {})
+    known to the next; a new worker starts without any. Tasks of other operators that read whole texts let it go."""
+    held = worker_memory()
     if path not in held:
         held[path] = Encoder(path)
     return held[path]

@@ -53,6 +53,21 @@ def test_quality_base_rules(docs, no_docs, line_model):
     assert all(not r.kept for r in quality.judged(docs, line_model).collect() if r.base_failed)
 
 
+def test_pieces_of_a_batch():
+    texts = ["a" * n for n in (3, 0, 4, 50, 1, 1, 8, 0)]
+    got = list(common.pieces(texts, 8))
+    assert got == [(0, 3), (3, 4), (4, 6), (6, 8)]
+    assert list(common.pieces([])) == [] and list(common.pieces([""])) == [(0, 1)]
+
+
+def test_batches_in_pieces_give_the_same_rows(docs, line_model, monkeypatch):
+    want = sorted(map(str, quality.judged(docs, line_model).collect())), by_id(ngram_join.described(docs))
+    default = common.pieces
+    monkeypatch.setattr(quality, "pieces", lambda texts: default(texts, 500))
+    monkeypatch.setattr(ngram_join, "pieces", lambda texts: default(texts, 500))
+    assert (sorted(map(str, quality.judged(docs, line_model).collect())), by_id(ngram_join.described(docs))) == want
+
+
 def test_quality_keeps_good_and_drops_bad(spark, sf_dir, line_model):
     docs, labels = common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")
     rows = quality.judged(docs, line_model).join(labels, "doc_id").where("not base_failed").collect()
