@@ -90,9 +90,11 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def _key(columns: Sequence[Column]) -> Column:
-    """The values of a key as one text; null if one of them is."""
-    known = reduce(Column.__and__, [c.isNotNull() for c in columns])
-    return F.when(known, F.to_json(F.struct(*[c.alias(f"v{i}") for i, c in enumerate(columns)])))
+    """The values of a key as one text; null if one of them is. Of several values each but the last stands behind its
+    length, so no two keys share a text."""
+    *first, last = [c.cast("string") for c in columns]
+    parts = [p for c in first for p in (F.length(c).cast("string"), F.lit(":"), c)]
+    return F.concat(*parts, last) if parts else last
 
 
 def _entries(table: str, checks: Sequence[Check]) -> list[Column]:

@@ -141,3 +141,10 @@ def test_all_checks_read_a_table_once(spark, tmp_path):
     assert plan.count("parquet") == 2
     with pytest.raises(KeyError, match="q"):
         dq.run_checks(tables, [dq.relationship("c", "k", "q", "id")], "r", "2024-01-01")
+
+
+def test_keys_are_told_apart_by_every_value(spark):
+    rows = [("a", "b:c", 1), ("a:b", "c", 2), ("a", "b:c", 3), (None, "c", 4), (None, "c", 4)]
+    t = spark.createDataFrame(rows, "x string, y string, n int").withColumn("at", F.timestamp_micros(F.col("n").cast("long")))
+    results = dq.run_checks({"t": t}, [dq.unique("t", "x", "y"), dq.unique("t", "at"), dq.unique("t", "n")], "r", "2024-01-01 00:00:00")
+    assert {r.check_name: r.observed_value for r in results.collect()} == {"unique.x_y": 1, "unique.at": 1, "unique.n": 1}
