@@ -27,6 +27,8 @@ CALL = (
     "document_id string, input_hash_sha256 string, response_text string, error_message string, "
     "started_at timestamp, ended_at timestamp, latency_ms bigint"
 )
+# Prompts that a Python worker is handed at a time, at most, and their bytes.
+PROMPTS, PROMPT_BYTES = 1000, 4 << 20
 Predict = Callable[[Sequence[str]], Sequence[str]]
 
 
@@ -99,7 +101,8 @@ def call(asked: DataFrame, predict: Predict, limits: Limits | None = None, tasks
 
     Calls are slow and rows small, so the prompts are spread by number, not by size. Every prompt has one row: its
     answer, or the error of its last try; prompts that were asked together and failed are asked one by one, so an
-    error stays with its document and a call that hangs costs its deadline, not the run.
+    error stays with its document and a call that hangs costs its deadline, not the run. A worker holds some
+    ``PROMPT_BYTES`` of prompts at a time, however many its task has and however long they are.
     """
     limits = limits or Limits()
 
@@ -121,6 +124,8 @@ def call(asked: DataFrame, predict: Predict, limits: Limits | None = None, tasks
                 }
             )
 
+    asked.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", PROMPTS)
+    asked.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", PROMPT_BYTES)
     tasks = tasks or asked.sparkSession.sparkContext.defaultParallelism
     spread = asked.select("document_id", "input_hash_sha256", "prompt").repartition(tasks, "document_id", "input_hash_sha256")
     return spread.mapInPandas(ask, CALL)

@@ -218,3 +218,13 @@ def test_the_call_log_is_written_by_many_tasks_and_seen_whole(spark, tmp_path, m
     assert store.read_log("llm_calls").count() == 40
     parts = [p for p in (tmp_path / "store" / "etl" / "llm_calls").rglob("*.parquet")]
     assert len(parts) > 2
+
+
+def test_a_worker_is_handed_few_long_prompts_at_a_time(spark):
+    asked = spark.range(24).selectExpr("cast(id as string) document_id", "'h' input_hash_sha256", "repeat('x', 1048576) prompt")
+
+    def size(texts):
+        return [str(sum(map(len, texts)))] * len(texts)
+
+    answers = [int(r.response_text) for r in call(asked, size, tasks=1).select("response_text").collect()]
+    assert len(answers) == 24 and max(answers) <= 8 << 20
