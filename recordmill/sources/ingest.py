@@ -38,7 +38,8 @@ CORRUPT = "__raw_line"
 
 
 def _odd_quotes(line: Column) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.contains(line, F.lit('"')) & (quotes % 2 == 1)
 
 
 def _clean_header(line: Column) -> Column:
@@ -74,18 +75,14 @@ def fingerprint(spark: SparkSession, spec: SourceSpec, paths: str | Sequence[str
     files = listing(spark, spec, paths).drop("modified_at")
     if not files.columns or files.isEmpty():
         return _with_names(spark.createDataFrame([], FACTS), spec)
-    # the lower bits of the id count the rows of a task, which reads its splits one after another
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    splits = lines_of(spark, paths).withColumn("place", place).groupBy("file_path", "block").agg(
+    # sums and flags only, so that lines are grouped by hash, without a sort; the first line comes with the digest
+    splits = lines_of(spark, paths).groupBy("file_path", "block").agg(
         F.sum(F.octet_length("value").cast("bigint") + 1).alias("n_bytes"),
-        F.min_by("value", "place").alias("line"),
         F.bool_or(F.contains(F.lower("value"), F.lit(spec.empty_marker.lower()))).alias("marked"),
         F.bool_or(_odd_quotes(F.col("value"))).alias("odd"),
     )
     splits = written(splits, "facts")
-    whole = splits.groupBy("file_path").agg(
-        F.min_by("line", "block").alias("line"), F.bool_or("marked").alias("marked"), F.bool_or("odd").alias("odd")
-    )
+    whole = splits.groupBy("file_path").agg(F.bool_or("marked").alias("marked"), F.bool_or("odd").alias("odd"))
     content = F.concat_ws(":", F.col("file_size_bytes").cast("string"), F.coalesce("tree", F.lit("")))
     found = files.join(whole, "file_path", "left").join(digests(spark, paths, splits), "file_path", "left").select(
         "file_path", "file_size_bytes",

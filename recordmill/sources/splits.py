@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,13 +28,17 @@ FAN = 4096  # leaves of a node
 
 
 def without_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, r"^file:/+", "/")
+    # the usual form needs no pattern, which counts where a path goes with every row
+    usual = F.startswith(path, F.lit("file:///")) & ~F.startswith(path, F.lit("file:////"))
+    other = F.when(F.startswith(path, F.lit("file:/")), F.regexp_replace(path, r"^file:/+", "/")).otherwise(path)
+    return F.when(usual, F.substring(path, len("file:///"), 1 << 30)).otherwise(other)
 
 
 def plain_path(encoded: Column) -> Column:
     """File path as stored: metadata columns are percent-encoded, a plus sign is itself."""
     decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-    return without_scheme(decoded)
+    coded = F.contains(encoded, F.lit("%"))
+    return F.when(coded, without_scheme(decoded)).otherwise(without_scheme(encoded))
 
 
 def lines_of(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -74,7 +79,7 @@ class _Leaves:
         self.start, self.held = self.at, bytearray()
         return out
 
-    def add(self, data: bytes) -> Iterator[tuple]:
+    def add(self, data: bytes | memoryview) -> Iterator[tuple]:
         view = memoryview(data)
         while len(view):
             room = LEAF - self.at % LEAF
@@ -94,8 +99,20 @@ _LEAF_ROWS = pa.schema(
 )
 
 
+def _joined(lines: pa.Array) -> bytes | memoryview:
+    """The lines with a line end behind each."""
+    if lines.type != pa.binary() or lines.nbytes > 1 << 30:  # beyond the offsets of one joined value
+        return b"\n".join(lines.to_pylist()) + b"\n"
+    whole = pa.concat_arrays([lines, pa.array([b""], pa.binary())])
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole), b"\n")
+    return memoryview(text[0].as_buffer())
+
+
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (split, first, last, value), the lines of a split one after another, to leaves."""
+    """Rows (split, first, last, value), the lines of a split one after another, to leaves.
+
+    The first line of a file comes along as a piece of leaf -1.
+    """
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _LEAF_ROWS.types)], schema=_LEAF_ROWS)
@@ -110,7 +127,9 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if now is None or now.split != split:
                 found += now.end() if now else ()
                 now = _Leaves(split, batch.column("first")[a].as_py(), batch.column("last")[a].as_py())
-            found += now.add(b"\n".join(batch.column("value").slice(a, b - a).to_pylist()) + b"\n")
+                if now.at == 0:
+                    found.append((split, -1, 0, None, batch.column("value")[a].as_py()))
+            found += now.add(_joined(batch.column("value").slice(a, b - a)))
         if found:
             yield out(found)
     if now and (rest := list(now.end())):
@@ -118,7 +137,7 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(spark: SparkSession, paths: str | Sequence[str], splits: DataFrame) -> DataFrame:
-    """(file_path, tree): the SHA-256 hash tree of every file, whatever its size and its splits.
+    """(file_path, tree, line): the SHA-256 hash tree of every file, whatever its size and its splits, and its first line.
 
     Leaves are the file's bytes in blocks of ``LEAF``, nodes ``FAN`` leaves: a node is the SHA-256 of its leaves' hex
     digests in order, ``tree`` that of its nodes' digests. A line end is counted behind the last line, be it there or
@@ -135,15 +154,19 @@ def digests(spark: SparkSession, paths: str | Sequence[str], splits: DataFrame)
     found = rows.mapInArrow(_leaves, "split long, leaf long, at long, digest string, piece binary")
     pieces = F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("at", "piece"))))
     joined = F.aggregate(pieces, F.lit(b""), lambda a, p: F.concat(a, p["piece"]))
+    first_line = F.max(F.when(F.col("leaf") < 0, F.col("piece").cast("string")))
     leaf = found.join(placed.select("split", "file_path"), "split").groupBy("file_path", "leaf").agg(
-        F.coalesce(F.max("digest"), F.sha2(joined, 256)).alias("digest")
+        F.coalesce(F.max("digest"), F.sha2(joined, 256)).alias("digest"), first_line.alias("line")
     )
+    leaf = leaf.withColumn("digest", F.when(F.col("leaf") >= 0, F.col("digest")))
     node = leaf.groupBy("file_path", F.floor(F.col("leaf") / FAN).alias("node")).agg(
-        F.sha2(F.expr("listagg(digest) within group (order by leaf)").cast("binary"), 256).alias("digest")
-    )
+        F.sha2(F.expr("listagg(digest) within group (order by leaf)").cast("binary"), 256).alias("digest"),
+        F.max("line").alias("line"),
+    )
     return node.groupBy("file_path").agg(
-        F.sha2(F.expr("listagg(digest) within group (order by node)").cast("binary"), 256).alias("tree")
-    )
+        F.sha2(F.expr("listagg(digest) within group (order by node)").cast("binary"), 256).alias("tree"),
+        F.max("line").alias("line"),
+    )
 
 
 def tree_of(data: bytes) -> str:

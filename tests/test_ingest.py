@@ -1,7 +1,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
+
 from recordmill.plans.core import rejected_values
+from recordmill.sources import splits
 from recordmill.sources.ingest import fingerprint, ingest, ingest_all, manifest
 from recordmill.sources.specs import EMPTY_MARKER, NO_TEACHER, SPECS, SourceSpec
 from recordmill.sources.store import Store
@@ -311,3 +314,16 @@ def test_the_state_does_not_read_stored_rows(spark, tmp_path):
     batches = [p for p in query.recentProgress if p["numInputRows"]]
     assert read == [50] * 8 and [p["numInputRows"] for p in batches] == [50] * 8
     assert [p["stateOperators"][0]["numRowsTotal"] for p in batches] == [50 * (i + 1) for i in range(8)]
+
+
+def test_the_first_line_comes_with_the_digest(spark, tmp_path):
+    for name, text in {"a": "h;è\nx\n", "b": "only", "c": "\nsecond\n", "d": 'h\r\n"q\n"\n'}.items():
+        write(f"{tmp_path}/f+ %/{name}.csv", text)
+    files = str(tmp_path / "f+ %" / "*.csv")
+    facts = {r.file_path.rsplit("/", 1)[1][0]: r for r in fingerprint(spark, SPECS["students"], files).collect()}
+    assert {k: r.header for k, r in facts.items()} == {"a": "h;è", "b": "only", "c": "", "d": "h"}
+    assert {k: r.multiline for k, r in facts.items()} == {"a": False, "b": False, "c": False, "d": True}
+    assert all(r.file_path.startswith(f"{tmp_path}/f+ %/") for r in facts.values())
+    # no line is sorted to find the first one
+    per_split = splits.lines_of(spark, files).groupBy("file_path", "block").agg(F.count("*").alias("n_bytes"))
+    assert "line" in splits.digests(spark, files, per_split).columns
