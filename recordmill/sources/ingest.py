@@ -16,6 +16,7 @@ import csv
 import re
 import unicodedata
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -33,6 +34,8 @@ from recordmill.sources.store import Store, now
 # are taken, so many by so many.
 FILES_PER_READ = 50_000
 BYTES_PER_READ = 8 << 40
+# Groups of one header line that are read at the same time.
+GROUPS_AT_A_TIME = 4
 DELIMITERS = (";", "\t", ",")
 CORRUPT = "__raw_line"
 
@@ -305,21 +308,31 @@ def _load(spark, spec, store, run_id, stamp, listed: DataFrame, scope: str, read
             continue
         groups.setdefault((f.header, f.multiline), []).append(f.file_path)
 
-    parts = []
-    for number, ((header, multiline), group) in enumerate(sorted(groups.items())):
+    def load(number: int, header: str, multiline: bool, group: list[str]) -> tuple[str | None, bool, str | None]:
+        """Write the rows of a group; its part, whether rows of it were put aside, and its error."""
+        part = f"{run_id}-{spec.name}-{stamp:%H%M%S%f}-{read}-{number}"
         try:
             good, long_rows, seen = read_group(spark, spec, group, header, multiline)
-            part = f"{run_id}-{spec.name}-{stamp:%H%M%S%f}-{read}-{number}"
             store.write_part("staging", spec.table, staged(good, spec, run_id, stamp), part)
-            if seen.get["long"]:
+            aside = bool(seen.get["long"])
+            if aside:
                 store.write_part("quarantine", spec.table, _quarantined(long_rows, run_id, stamp), part)
-                store.commit("quarantine", spec.table, "file_append", part)
-            # counts only once the manifest names the part
-            store.commit("staging", spec.table, "file_append", part)
-            parts.append(part)
-            outcome.update({p: ("LOADED", None, part) for p in group})
+            return part, aside, None
         except Exception as error:  # noqa: BLE001 - one bad group must not stop the run
-            outcome.update({p: ("FAILED", str(error), None) for p in group})
+            return None, False, str(error)
+
+    # a group is a few jobs one after another, so several groups at a time fill the executors
+    ordered = [(i, *key, group) for i, (key, group) in enumerate(sorted(groups.items()))]
+    with ThreadPoolExecutor(GROUPS_AT_A_TIME) as pool:
+        written_parts = list(pool.map(lambda g: load(*g), ordered))
+    for (*_, group), (part, _, error) in zip(ordered, written_parts):
+        outcome.update({p: ("FAILED", error, None) if part is None else ("LOADED", None, part) for p in group})
+    parts = [part for part, _, _ in written_parts if part]
+    # parts count only once the manifest names them
+    if aside := [part for part, long, _ in written_parts if long]:
+        store.commit("quarantine", spec.table, "file_append", *aside)
+    if parts:
+        store.commit("staging", spec.table, "file_append", *parts)
 
     loaded = _rows_per_file(store, spec, parts)
     store.append_log("file_manifest", _events(spark, found, outcome, loaded, spec, run_id, stamp))

@@ -1,9 +1,11 @@
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from recordmill.plans.core import rejected_values
+from recordmill.sources import ingest as ingest_module
 from recordmill.sources import splits
 from recordmill.sources.ingest import fingerprint, ingest, ingest_all, manifest
 from recordmill.sources.specs import EMPTY_MARKER, NO_TEACHER, SPECS, SourceSpec
@@ -327,3 +329,19 @@ def test_the_first_line_comes_with_the_digest(spark, tmp_path):
     # no line is sorted to find the first one
     per_split = splits.lines_of(spark, files).groupBy("file_path", "block").agg(F.count("*").alias("n_bytes"))
     assert "line" in splits.digests(spark, files, per_split).columns
+
+
+def test_groups_of_a_read_are_loaded_at_the_same_time(spark, tmp_path, monkeypatch):
+    write(f"{tmp_path}/in/a.csv", "Key;Name\n1;a\n")
+    write(f"{tmp_path}/in/b.csv", "Name;Key\nb;2\n")
+    together, read = threading.Barrier(2, timeout=60), ingest_module.read_group
+
+    def meeting(*args):
+        together.wait()
+        return read(*args)
+
+    monkeypatch.setattr(ingest_module, "read_group", meeting)
+    store = Store(spark, str(tmp_path / "store"))
+    spec = SourceSpec("pairs", "pairs", "*.csv", ";", {"Key": "key", "Name": "name"})
+    assert {e.status for e in ingest(spark, spec, str(tmp_path / "in"), store, "r").collect()} == {"LOADED"}
+    assert sorted(map(tuple, store.read("staging", "pairs").select("key", "name").collect())) == [("1", "a"), ("2", "b")]
