@@ -6,7 +6,6 @@ at its end, the places of all these. Codes come from the counts of all ids of al
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -16,11 +15,13 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordmill.llm import huffman
-from recordmill.llm.common import file_system, worker_memory, workspace, written
+from recordmill.llm.common import file_system, pieces, worker_memory, workspace, written
 
 TOKENIZER = "byte_bpe_50k.json"  # of the public tokenizer files
 END_ID = 2
@@ -29,18 +30,23 @@ CACHE_WORDS = 900_000  # words whose ids a worker remembers
 MAGIC = b"IDHUFF01"
 
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
+PIECE = 4 << 20  # characters of the texts that are encoded at a time
 # A text with blanks other than single spaces and single line ends between words is encoded as a whole.
-OTHER_BLANK = re.compile(r"[^\S \n]")
+OTHER_BLANKS = (
+    "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+ASCII_BLANKS = OTHER_BLANKS[:8]
 DOUBLE_BLANKS = ("  ", "\n\n", " \n", "\n ")
-# Letters, then marks: two pieces for the tokenizer, the first with the blank before it.
-MARKS = ".,;:!?"
-LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
+# Letters or digits, then marks: two pieces for the tokenizer, the first with the blank before it.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS_END = "\u0250"  # letters before it are letters for the tokenizer's library too
+ENDINGS = 10_000  # runs of marks that are remembered
 
 
 def irregular(text: str) -> bool:
-    return (
-        text[:1] in " \n" or text[-1:] in " \n" or any(b in text for b in DOUBLE_BLANKS) or OTHER_BLANK.search(text) is not None
-    )
+    blanks = ASCII_BLANKS if text.isascii() else OTHER_BLANKS
+    return text[:1] in " \n" or text[-1:] in " \n" or any(b in text for b in DOUBLE_BLANKS) or any(b in text for b in blanks)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -50,14 +56,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class _Places(dict):
-    """Words after a blank to their place in the pool; an unknown one is encoded and remembered."""
+    """Words after a blank, or after a line end that they start with, to their place in the pool; an unknown one is
+    encoded and remembered."""
 
     def __init__(self, encode) -> None:
         super().__init__()
         self.encode = encode
 
     def __missing__(self, word: str) -> int:
-        self[word] = place = self.encode(word, " ")
+        self[word] = place = self.encode(word)
         return place
 
 
@@ -90,65 +97,100 @@ class Encoder:
         self.later.update(first)
         self.pool, self.offsets = self.pool[: self.offsets[kept]], self.offsets[: kept + 1]
 
-    def _place(self, word: str, blank: str) -> int:
-        self.pool.extend(self._word(word, blank))
+    def _place(self, word: str) -> int:
+        if word[0] == "\n":
+            self.pool.extend(self.line_end)
+            self.pool.extend(self._word(word[1:], ""))
+        else:
+            letters = word.rstrip(MARKS)
+            if not self._is_piece(letters):
+                self.pool.extend(self.ids(" " + word))
+            elif len(letters) < len(word):
+                # the letters alone are remembered too, for all the marks that may follow them
+                at = self.later[letters]
+                self.pool.extend(self.pool[self.offsets[at] : self.offsets[at + 1]])
+                self.pool.extend(self._ending(word[len(letters) :]))
+            else:
+                self.pool.extend(self._piece(word, " "))
         self.offsets.append(len(self.pool))
         return len(self.offsets) - 2
 
     def ids(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
-    def _word(self, word: str, blank: str) -> list[int]:
-        """Ids of a word, or of words with line ends between them.
+    @staticmethod
+    def _is_piece(letters: str) -> bool:
+        if letters.isascii():
+            return letters.isalpha() or letters.isdigit()
+        return letters.isalpha() and max(letters) < LETTERS_END
+
+    def _piece(self, letters: str, blank: str) -> list[int]:
+        """The tokenizer does not cut a piece before it merges, so its model gets it at once; of ASCII only the blank
+        has a character of its own."""
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenize(self.sign[blank] + shown)]
+
+    def _ending(self, marks: str) -> list[int]:
+        if marks not in self.marks:
+            if len(self.marks) >= ENDINGS:
+                self.marks.clear()
+            self.marks[marks] = [t.id for t in self.tokenize(marks)]
+        return self.marks[marks]
 
-        Letters, and marks after them, are a piece each, which the tokenizer does not cut before it merges, so its
-        model gets them at once; of ASCII only the blank has a character of its own.
-        """
+    def _word(self, word: str, blank: str) -> list[int]:
+        """Ids of a word without line ends: letters or digits, and marks after them, are a piece each."""
         letters = word.rstrip(MARKS)
-        ascii_ = letters.isascii()
-        if letters.isalpha() and (ascii_ or LETTERS.fullmatch(letters)):
-            shown = letters if ascii_ else letters.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.tokenize(self.sign[blank] + shown)]
-            if len(letters) < len(word):
-                marks = word[len(letters) :]
-                if marks not in self.marks:
-                    self.marks[marks] = [t.id for t in self.tokenize(marks)]
-                ids += self.marks[marks]
-            return ids
-        if "\n" in word:
-            head, *rest = word.split("\n")
-            ids = self._word(head, blank)
-            for line in rest:
-                ids += self.line_end + self._word(line, "")
-            return ids
-        return self.ids(blank + word)
+        if not self._is_piece(letters):
+            return self.ids(blank + word)
+        ids = self._piece(letters, blank)
+        return ids + self._ending(word[len(letters) :]) if len(letters) < len(word) else ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of ids of each."""
         if len(self.offsets) > self.remember:
             self._forget()
-        at: list[int] = []
-        edges = [0]
-        known = self.later.__getitem__
-        # ids that are not remembered: of first words and of texts that are encoded as a whole, at places from -1 down
-        once, ends = array("i"), array("q")
+        # a text that is not empty starts with ids that are not remembered, of its first word or of it as a whole
+        once, ends, rests, counts = array("i"), array("q", [0]), [], []
         for text in texts:
+            n = 0
             if text:
-                whole = irregular(text)
-                words = [text] if whole else text.split(" ")
-                once.extend(self.ids(text) if whole else self._word(words[0], ""))
+                if irregular(text):
+                    once.extend(self.ids(text))
+                else:
+                    head, _, rest = text.replace("\n", " \n").partition(" ")
+                    once.extend(self._word(head, ""))
+                    if rest:
+                        rests.append(rest)
+                        n = rest.count(" ") + 1
                 ends.append(len(once))
-                at.append(-len(ends))
-                at.extend(map(known, words[1:]))
-            edges.append(len(at))
-        place, n = np.array(at, dtype=np.int64), len(self.offsets) - 1
-        place = np.where(place < 0, n - 1 - place, place)
-        offsets = np.concatenate([np.array(self.offsets, dtype=np.int64), len(self.pool) + np.array(ends, dtype=np.int64)])
-        pool = np.concatenate([np.array(self.pool, dtype=np.int32), np.array(once, dtype=np.int32)])
-        size = offsets[place + 1] - offsets[place]
-        stop = np.concatenate([[0], np.cumsum(size)])
-        ids = pool[np.repeat(offsets[place] - stop[:-1], size) + np.arange(stop[-1])]
-        return ids, np.diff(stop[edges])
+                n += 1
+            counts.append(n)
+        # Arrow finds the different words of these texts, and only those are looked up
+        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ").flatten().dictionary_encode()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = np.array(list(map(self.later.__getitem__, different)), dtype=np.int64)
+        offsets = np.frombuffer(self.offsets, dtype=np.int64)
+        begin, size = offsets[known], offsets[known + 1] - offsets[known]
+        pool = np.concatenate([_stretches(np.frombuffer(self.pool, dtype=np.int32), begin, size), np.array(once, dtype=np.int32)])
+        size = np.concatenate([size, np.diff(np.array(ends, dtype=np.int64))])
+        begin = np.cumsum(size) - size
+        counts = np.array(counts, dtype=np.int64)
+        stop = np.cumsum(counts)
+        first = (stop - counts)[counts > 0]
+        place = np.empty(int(counts.sum()), dtype=np.int64)
+        later = np.ones(len(place), dtype=bool)
+        later[first] = False
+        place[first] = len(known) + np.arange(len(first))
+        place[later] = words.indices.to_numpy()
+        size = size[place]
+        own = np.concatenate([[0], np.cumsum(size)])
+        return _stretches(pool, begin[place], size), own[stop] - own[stop - counts]
+
+
+def _stretches(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` of these begins and sizes, end to end."""
+    ends = np.cumsum(size)
+    return values[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -172,11 +214,11 @@ def tokenized(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         row = 0
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            for i in range(0, len(texts), 500):
-                ids, sizes = encoder.encode(texts[i : i + 500])
+            for i, j in pieces(texts, PIECE):
+                ids, sizes = encoder.encode(texts[i:j])
                 ends = np.cumsum(sizes)
                 own = [np.append(ids[b - n : b], np.int32(end_id)).astype("<i4").tobytes() for b, n in zip(ends, sizes)]
-                some = batch.iloc[i : i + 500]
+                some = batch.iloc[i:j]
                 yield pd.DataFrame(
                     {"part": some["part"], "row": np.arange(row, row + len(some)), "doc_id": some["doc_id"].astype("Int64"), "ids": own}
                 )

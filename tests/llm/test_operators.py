@@ -574,6 +574,30 @@ def test_tokens(docs, no_docs):
     assert tokens.encoded(no_docs).collect() == []
 
 
+def test_tokens_of_a_text_are_looked_up_once_a_word_and_once_a_stem():
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    asked, tokenize = [], encoder.tokenize
+    encoder.tokenize = lambda piece: asked.append(piece) or tokenize(piece)
+    texts = ["so hewh hewh, hewh. hewh.\nhewh (1234) 1234### é's hewhé hewhé!", "so hewh###\nhewh hewh&&& hewhé###"] * 2
+    ids, sizes = encoder.encode(texts)
+    whole = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == list(map(len, whole)) and ids.tolist() == sum(whole, [])
+    blank = encoder.sign[" "]
+    assert asked.count(blank + "hewh") == 1  # one merge, whatever marks or line ends come after
+    assert asked.count("###") == 1 and sum(p.startswith(blank + "hewh") for p in asked) == 2
+
+
+def test_tokens_of_all_letters_blanks_and_marks():
+    encoder = tokens.Encoder(tokens.tokenizer_path(), remember=100)
+    signs = [chr(i) for i in range(1, 0x250)] + list(tokens.OTHER_BLANKS) + ["中", "ɐ", "\u0301", "²", "٣", "🙂"]
+    texts = [t for c in signs for t in (f"a{c} b{c}b {c} {c}b", f"a b{c}!'\nb{c}", f"a b1{c}#\n{c}", c)]
+    ids, sizes = encoder.encode(texts)
+    whole = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == list(map(len, whole)) and ids.tolist() == sum(whole, [])
+    other = {chr(i) for i in range(0x110000) if chr(i).isspace()} - {" ", "\n"}
+    assert set(tokens.OTHER_BLANKS) == other and set(tokens.ASCII_BLANKS) == {b for b in other if b.isascii()}
+
+
 def test_tokens_of_the_untouched_tokenizer(spark):
     from tokenizers import Tokenizer
 
