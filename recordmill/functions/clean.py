@@ -64,9 +64,11 @@ def strict_year(c: Column | str) -> Column:
 
 
 def date_dmy(c: Column | str) -> Column:
-    """D/M/YYYY with one or two digits; other shapes and impossible days are null."""
+    """D/M/YYYY with one or two digits; other shapes and impossible days are null. The parts are turned round,
+    as a cast reads a date in a fraction of the time that a pattern takes."""
     text = blank_to_null(c)
-    return F.when(text.rlike(DAY_MONTH_YEAR), F.try_to_date(text, "d/M/yyyy"))
+    day, month, year = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
+    return F.when(text.rlike(DAY_MONTH_YEAR), F.concat_ws("-", year, month, day).try_cast("date"))
 
 
 def date_dmy_loose(c: Column | str) -> Column:

@@ -52,6 +52,9 @@ def text_list(
     if ranges:
         return _in_ranges(named, keys, by, separator, alias, list(aggregates), cell_bytes, ranges)
     size = _bytes(F.col("__item"), separator)
+    if keys:
+        # lists do not get smaller before they move, so items move as plain rows and not as lists of one or two items
+        named = named.repartition(*keys)
     grouped = named.groupBy(*keys).agg(*aggregates, _listagg(separator, by).alias(alias), size.alias("__bytes"))
     measures = [c for c in grouped.columns if c not in {*keys, alias, "__bytes"}]
     text = _fitting(F.col(alias), F.coalesce("__bytes", F.lit(0)), keys, alias, cell_bytes)

@@ -56,6 +56,9 @@ def ore_di_formazione(attivita_interne: DataFrame, students: DataFrame, ordered:
         "corsi_ore",
         [total_of("Hard").alias("ore_hard"), total_of("Soft").alias("ore_soft")],
     )
+    if ordered:
+        # a sort reads its input twice, for its ranges and for its rows; after this shuffle the lists are made once
+        grouped = grouped.repartition("matricola")
     mart = grouped.join(_people(students, *PERSON), "matricola", "left").select(
         "matricola", *PERSON, "ciclo", "anno", "ore_hard", "ore_soft", "corsi_ore"
     )

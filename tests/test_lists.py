@@ -41,6 +41,11 @@ def test_one_row_per_group_whatever_its_size(spark):
     assert got.count() == len(expected(rows, ";\n"))
 
 
+def test_items_move_as_plain_rows(spark):
+    text = lists(spark, make_rows())._jdf.queryExecution().executedPlan().toString()
+    assert text.index("partial_listagg") < text.index("hashpartitioning(k")
+
+
 def test_a_list_beyond_a_cell_fails_and_names_its_group(spark):
     with pytest.raises(PySparkException, match='does not fit a cell: {"k":"hot"}'):
         lists(spark, make_rows(), cell_bytes=20_000).collect()

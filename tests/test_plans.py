@@ -42,6 +42,20 @@ def test_building_a_list_mart_runs_no_job(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_an_ordered_list_mart_makes_its_lists_once(spark):
+    core = spark.sql(
+        "select * from values ('1', '35', 2024, 'Hard', 'c', 1.5, 1), ('1', '35', 2024, 'Soft', 'b', 2.0, 1), "
+        "('2', '35', 2024, 'Hard', 'c', 9.0, 1) as t(matricola, ciclo, anno, tipo_form, nome_insegnamento, ore_riconosciute, punti)"
+    )
+    people = spark.sql("select * from values ('1', 'A', 'B') as t(matricola_dottorando, cognome, nome)")
+    mart = marts.ore_di_formazione(core, people, ordered=True)
+    assert [(r.matricola, r.cognome, r.corsi_ore.count("TIPO")) for r in mart.collect()] == [("2", None, 1), ("1", "A", 2)]
+    # read from above: the sort reads a shuffle of finished lists, for its ranges and for its rows
+    text = plan(mart)
+    assert "BroadcastHashJoin" in text
+    assert text.index("rangepartitioning") < text.index("hashpartitioning(matricola") < text.index("listagg(")
+
+
 def test_one_name_on_a_third_of_the_rows(spark):
     left = spark.createDataFrame([(i, "Hot Name" if i % 3 == 0 else f"n {i}") for i in range(300)], "id int, name string")
     right = spark.createDataFrame([(i, "hot  name" if i % 3 == 0 else f"N {i}") for i in range(300)], "doc int, title string")

@@ -50,6 +50,21 @@ def test_typing(spark, kind, values, wanted):
     assert typed(spark, kind, values) == wanted
 
 
+def test_dates_are_cast_and_equal_those_of_the_pattern(spark):
+    days = ["0", "1", "01", "9", "28", "29", "30", "31", "32", "001", "", "x"]
+    months = ["0", "1", "02", "2", "4", "12", "13", ""]
+    years = ["0000", "0001", "1582", "1900", "2000", "2023", "2024", "9999", "24", "02024", "2024/1", "2024 "]
+    rows = [(f"{d}/{m}/{y}",) for d in days for m in months for y in years] + [(None,), ("/",), ("1/1",), ("1/1/2024\n",)]
+    texts = spark.createDataFrame(rows, "t string")
+    trimmed = clean.blank_to_null("t")
+    wanted = F.when(trimmed.rlike(clean.DAY_MONTH_YEAR), F.try_to_date(trimmed, "d/M/yyyy"))
+    got = texts.select("t", clean.date_dmy("t").alias("got"), wanted.alias("wanted"))
+    assert got.where("not (got <=> wanted)").select("t").collect() == []
+    assert got.where("got is not null").count() > 100
+    plan = texts.select(clean.date_dmy("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "d/M/yyyy" not in plan
+
+
 def test_surrogate_key_tells_null_from_empty(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), (None, "a"), ("a", None)], "x string, y string")
     ids = [r.id for r in df.select(surrogate_key(["x", "y"]).alias("id")).collect()]
