@@ -26,7 +26,7 @@ from recordmill.llm.common import file_system, pieces, worker_memory, workspace,
 TOKENIZER = "byte_bpe_50k.json"  # of the public tokenizer files
 END_ID = 2
 FILE_IDS = 16 << 20  # ids of one file
-CACHE_WORDS = 900_000  # words whose ids a worker remembers
+CACHE_WORDS = 650_000  # words whose ids a worker remembers
 MAGIC = b"IDHUFF01"
 
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -165,9 +165,7 @@ class Encoder:
                 ends.append(len(once))
                 n += 1
             counts.append(n)
-        # Arrow finds the different words of these texts, and only those are looked up
-        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ").flatten().dictionary_encode()
-        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        different, indices = _different(rests)
         known = np.array(list(map(self.later.__getitem__, different)), dtype=np.int64)
         offsets = np.frombuffer(self.offsets, dtype=np.int64)
         begin, size = offsets[known], offsets[known + 1] - offsets[known]
@@ -181,12 +179,24 @@ class Encoder:
         later = np.ones(len(place), dtype=bool)
         later[first] = False
         place[first] = len(known) + np.arange(len(first))
-        place[later] = words.indices.to_numpy()
+        place[later] = indices
         size = size[place]
         own = np.concatenate([[0], np.cumsum(size)])
         return _stretches(pool, begin[place], size), own[stop] - own[stop - counts]
 
 
+def _different(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The different words of these texts, and of every word its place among them: only different ones are looked up.
+
+    Arrow finds them. Its pool keeps what it has once taken, so that is given back to the system every time.
+    """
+    words = pc.split_pattern(pa.array(texts, pa.large_string()), " ").flatten().dictionary_encode()
+    different, indices = words.dictionary.to_numpy(zero_copy_only=False).tolist(), np.array(words.indices)
+    del words
+    pa.default_memory_pool().release_unused()
+    return different, indices
+
+
 def _stretches(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches of ``values`` of these begins and sizes, end to end."""
     ends = np.cumsum(size)

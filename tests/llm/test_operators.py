@@ -3,8 +3,11 @@
 import hashlib
 import os
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -598,6 +601,27 @@ def test_tokens_of_all_letters_blanks_and_marks():
     assert set(tokens.OTHER_BLANKS) == other and set(tokens.ASCII_BLANKS) == {b for b in other if b.isascii()}
 
 
+def test_tokens_of_many_words_take_bounded_memory():
+    """A process of its own, as a Python worker is: what 1.2 million different words add to its largest size."""
+    code = """
+import re
+from recordmill.llm import tokens
+from recordmill.llm.common import pieces
+def largest():
+    return int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+encoder = tokens.Encoder(tokens.tokenizer_path())
+encoder.encode(["a b"])
+before = largest()
+for at in range(0, 1_200_000, 400_000):
+    texts = [" ".join(map(str, range(i, i + 1000))) for i in range(10_000_000 + at, 10_400_000 + at, 1000)]
+    for i, j in pieces(texts, tokens.PIECE):
+        encoder.encode(texts[i:j])
+print(largest() - before)
+"""
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300, cwd=Path(tokens.__file__).parents[2])
+    assert int(ran.stdout) < 210, f"{ran.stdout.strip()} MB"
+
+
 def test_tokens_of_the_untouched_tokenizer(spark):
     from tokenizers import Tokenizer
 
